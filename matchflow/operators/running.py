@@ -265,14 +265,18 @@ def rows_per_chunk(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, str(ROWS_PER_CHUNK)))
 
 
-def _hot_cuts(profile: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame | None:
+def hot_cuts(
+    profile: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None
+) -> DataFrame | None:
     """One row per group above ``limit`` rows: its keys and its ascending cut points.
 
-    None if no group is that large. The cut points are written out, because approximate
-    quantiles may come out differently when a plan is run again, and every branch of the plan
-    must cut at the same points.
+    None if no group is that large. ``profile`` is the frame to be cut, or a cheaper one with the
+    same key and order columns and at least its rows. The cut points are written out, because
+    approximate quantiles may come out differently when a plan is run again, and every branch
+    of the plan must cut at the same points.
     """
-    axis = profile.select(*keys, _axis(profile, order).alias("__axis"))
+    keys, limit = list(keys), limit or rows_per_chunk(profile)
+    axis = profile.select(*keys, _axis(profile, order[0]).alias("__axis"))
     hot = axis.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
     if hot.isEmpty():
         return None
@@ -295,17 +299,11 @@ def _hot_cuts(profile: DataFrame, keys: Sequence[str], order: str, limit: int) -
     return materialise(quantiles.filter(F.col("__grid").isNotNull()).select(*keys, cuts.alias(_CUTS)), "cuts")
 
 
-def cut(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], profile: DataFrame | None = None, limit: int | None = None
-) -> DataFrame:
-    """Number the chunks of hot groups; without hot groups ``df`` comes back as it is.
+def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame | None) -> DataFrame:
+    """Number the chunks of hot groups: 0.. in those, null in all others.
 
-    The chunk number is null in ordinary groups and 0.. in hot ones. ``profile`` may be a cheaper
-    frame with the same key and order columns and at least the rows of ``df``; it is only used to
-    find the hot groups and their cut points.
+    Without hot groups ``df`` comes back as it is.
     """
-    profile = df if profile is None else profile
-    cuts = _hot_cuts(profile, keys, order[0], limit or rows_per_chunk(df))
     if cuts is None:
         return df
     out = _attach(df, cuts, keys, bounded=True)
@@ -404,7 +402,7 @@ def running(
         profile = None if profile is None else profile.withColumn(_ALL, F.lit(0))
     keys = list(keys)
     if not already_cut:
-        df = cut(df, keys, order, profile, limit)
+        df = cut(df, keys, order, hot_cuts(df if profile is None else profile, keys, order, limit))
     hot = CHUNK in df.columns
     base = _valued(df, stats)
     depth = _depth(stats)

@@ -1,0 +1,27 @@
+"""State that a streaming job carries from one micro-batch to the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+class CarriedState:
+    """Per-group state of ``operators.running`` kept as a table with two slots.
+
+    Micro-batch n reads the slot that n - 1 wrote and writes the other one. A batch that is run
+    again after a failure finds the state it started from untouched, and only overwrites its own
+    slot, so every batch is repeatable. The table has one row per live group.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def _slot(self, batch_id: int) -> str:
+        return f"{self.path}/slot{batch_id % 2}"
+
+    def before(self, batch_id: int) -> DataFrame | None:
+        return None if batch_id == 0 else self.spark.read.parquet(self._slot(batch_id - 1))
+
+    def after(self, state: DataFrame, batch_id: int) -> None:
+        state.write.mode("overwrite").parquet(self._slot(batch_id))
