@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from matchflow.functions import football
-from matchflow.operators.running import CHUNK, Previous, Total, cut, hot_cuts, running
+from matchflow.operators.running import CHUNK, Previous, Total, attach, cut, has_hot_groups, hot_cuts, running
 
 # sides as numbers keep first- and last-side aggregates in fixed-width hash buffers
 _SIDE_CODES = {"home": 1, "away": 2}
@@ -35,19 +36,26 @@ def shift_second_half(
     match: str = "match_id",
     second: str = "event_sec",
     period: str = "match_period",
+    hot: bool = True,
 ) -> DataFrame:
     """Move second-half events behind the first half.
 
     ``fixed`` adds an hour. ``first_half_max`` adds the last first-half second of the match, and
-    gives null for a match without first-half events.
+    gives null for a match without first-half events. The maximum is an aggregate that is joined
+    back; without ``hot`` matches a window over the match does.
     """
     if offset == "fixed":
         return events.withColumn(second, football.absolute_second(F.col(second), F.col(period)))
     if offset != "first_half_max":
         raise ValueError(f"unknown half offset {offset!r}")
-    ends = events.groupBy(match).agg(F.max(F.when(F.col(period) == "1H", F.col(second))).alias("__half"))
+    half = F.max(F.when(F.col(period) == "1H", F.col(second)))
+    if hot:
+        ends = events.groupBy(match).agg(half.alias("__half"))
+        timed = events.join(ends, match, "left")
+    else:
+        timed = events.withColumn("__half", half.over(Window.partitionBy(match)))
     moved = F.when(F.col(period) == "2H", F.col(second) + F.col("__half")).otherwise(F.col(second))
-    return events.join(ends, match).withColumn(second, moved).drop("__half")
+    return timed.withColumn(second, moved).drop("__half")
 
 
 def _credited(credit: str) -> Column:
@@ -62,10 +70,11 @@ def _sides_of_second(side: str, event: str) -> list[Column]:
     return [F.min_by(code, event).alias("__first_side"), F.max_by(code, event).alias("__last_side")]
 
 
-def _with_possession(seconds: DataFrame, match: str, second: str, credit: str, **options) -> DataFrame:
-    """Per (match, second): time since the second before and how much of it each side gets."""
+def _with_possession(rows: DataFrame, match: str, order: Sequence[str], credit: str, **options) -> DataFrame:
+    """Time since the row before and how much of it each side gets."""
+    second = order[0]
     previous = {"__previous": Previous(second), "__previous_side": Previous("__last_side")}
-    lagged = running(seconds, [match], [second], previous, **options)
+    lagged = running(rows, [match], order, previous, **options)
     diff = F.coalesce(F.col(second) - F.col("__previous"), F.lit(0.0))
     lagged = lagged.withColumn("time_diff", diff)
     return lagged.withColumns(
@@ -86,13 +95,18 @@ def possession(
 ) -> DataFrame:
     """Add the time since the event before and the part of it that each side gets.
 
-    Only the first event of a second can have time before it, so the differences are taken
-    between seconds and joined back: a second with very many events is no hot window group.
+    A plain lag over the match, unless some match is hot. Then the differences are taken between
+    seconds and joined back to the first event of each second, the only one with time before it,
+    so that a second with very many events is no hot window group either.
     """
-    seconds = events.groupBy(match, second).agg(F.min(event).alias("__first"), *_sides_of_second(side, event))
-    timed = _with_possession(seconds, match, second, credit, profile=events)
     names = ["time_diff", "home_possession_time", "away_possession_time"]
-    joined = events.join(timed.select(match, second, "__first", *names), [match, second], "left")
+    if not has_hot_groups(events, [match]):
+        coded = events.withColumns(dict.fromkeys(["__first_side", "__last_side"], _side_code(F.col(side))))
+        timed = _with_possession(coded, match, [second, event], credit, already_cut=True)
+        return timed.drop("__first_side", "__last_side")
+    seconds = events.groupBy(match, second).agg(F.min(event).alias("__first"), *_sides_of_second(side, event))
+    timed = _with_possession(seconds, match, [second], credit, profile=events)
+    joined = attach(events, timed.select(match, second, "__first", *names), [match, second])
     own = F.col(event) == F.col("__first")
     return joined.withColumns({n: F.when(own, F.col(n)).otherwise(F.lit(0.0)) for n in names}).drop("__first")
 
@@ -102,29 +116,36 @@ def cumulative_stats(
     flags: dict[str, Column],
     credit: str = "current",
     per_match: Sequence[str] = (),
+    offset: str | None = None,
     match: str = "match_id",
     second: str = "event_sec",
     event: str = "event_id",
     side: str = "side",
+    period: str = "match_period",
 ) -> DataFrame:
     """One row per (match, second): twelve counters, possession and home-away differences.
 
     All events up to and including the second count, so ties are counted together. ``per_match``
-    names columns that are constant within a match and are kept, such as its result.
+    names columns that are constant within a match and are kept, such as its result. With an
+    ``offset`` the second half is moved first, see ``shift_second_half``.
 
     Events are first counted per (match, second); running sums then need one row per second.
-    While no match is hot, one shuffle by match serves the counting and both windows. Hot
-    matches are counted with map-side combining and cut along time instead.
+    While no match is hot, one shuffle by match serves the offset, the counting and both windows.
+    Hot matches are counted with map-side combining and cut along time instead.
     """
     counters = football.side_counters(flags, F.col(side))
-    rows = events.select(match, *per_match, second, event, side, *[c.alias(n) for n, c in counters.items()])
-    cuts = hot_cuts(events, [match], [second])
-    if cuts is None:
+    columns = dict.fromkeys([match, *per_match, second, event, side, *([period] if offset else [])])
+    rows = events.select(*columns, *[c.alias(n) for n, c in counters.items()])
+    hot = has_hot_groups(events, [match])
+    if not hot:
         rows = rows.repartition(match)
+    if offset:
+        rows = shift_second_half(rows, offset, match, second, period, hot)
+    cuts = hot_cuts(rows, [match], [second]) if hot else None
     counts = [F.count_if(F.col(n)).alias(n) for n in counters]
     seconds = rows.groupBy(match, *per_match, second).agg(*counts, *_sides_of_second(side, event))
     seconds = cut(seconds, [match], [second], cuts)
-    timed = _with_possession(seconds, match, second, credit, already_cut=True, keep_chunks=True)
+    timed = _with_possession(seconds, match, [second], credit, already_cut=True, keep_chunks=True)
     totals = {n: Total(n) for n in [*counters, "home_possession_time", "away_possession_time"]}
     summed = running(timed, [match], [second], totals, already_cut=True)
     return summed.drop("__first_side", "__last_side", "time_diff", CHUNK).withColumns(football.differences())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from matchflow.operators.running import Low, Mean, RollingMean, Stat, Std, running
+from matchflow.operators.running import Low, Mean, RollingMean, Stat, Std, has_hot_groups, running
 
 ROLLING_LAPS = 5
 
@@ -39,9 +40,15 @@ def lap_features(
     """Running statistics and final position per lap.
 
     ``complete_only`` drops rows with a null, which removes the first lap of every driver, since
-    one position has no sample deviation. The final positions are hashed by the same keys as the
-    windows, so their join adds no shuffle of the laps.
+    one position has no sample deviation. The final position is a window over the same shuffle
+    as the statistics, or an aggregate that is joined back if some driver's laps are too many for
+    one task.
     """
-    stats = running(laps, [race, driver], [lap], position_statistics(position, ddof))
-    out = stats.join(final_positions(laps, race, driver, lap, position), [race, driver])
+    keys = [race, driver]
+    if has_hot_groups(laps, keys):
+        stats = running(laps, keys, [lap], position_statistics(position, ddof))
+        out = stats.join(final_positions(laps, race, driver, lap, position), keys)
+    else:
+        stats = running(laps, keys, [lap], position_statistics(position, ddof), already_cut=True)
+        out = stats.withColumn("final_position", F.max_by(position, lap).over(Window.partitionBy(*keys)))
     return out.dropna("any") if complete_only else out

@@ -254,7 +254,7 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp, not {dtype.simpleString()}")
 
 
-def _attach(df: DataFrame, other: DataFrame, keys: Sequence[str], bounded: bool) -> DataFrame:
+def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], bounded: bool = False) -> DataFrame:
     """Left join on null-safe keys; ``bounded`` marks a side whose size is proven small."""
     renamed = other.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
@@ -265,6 +265,16 @@ def rows_per_chunk(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, str(ROWS_PER_CHUNK)))
 
 
+def _hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None) -> DataFrame:
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return rows.filter(F.col("__rows") > (limit or rows_per_chunk(df)))
+
+
+def has_hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Whether some group has more rows than one task should sort. Reads only the keys."""
+    return not _hot_groups(df, keys, limit).isEmpty()
+
+
 def hot_cuts(
     profile: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None
 ) -> DataFrame | None:
@@ -277,13 +287,13 @@ def hot_cuts(
     """
     keys, limit = list(keys), limit or rows_per_chunk(profile)
     axis = profile.select(*keys, _axis(profile, order[0]).alias("__axis"))
-    hot = axis.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
+    hot = _hot_groups(axis, keys, limit)
     if hot.isEmpty():
         return None
     shares = ",".join(f"{i / MAX_CHUNKS:.4f}" for i in range(1, MAX_CHUNKS))
     grid = F.split(F.lit(shares), ",").cast("array<double>")
     quantiles = (
-        _attach(axis, hot, keys, bounded=True)
+        attach(axis, hot, keys, bounded=True)
         .filter(F.col("__rows").isNotNull())
         .groupBy(*keys)
         .agg(
@@ -306,7 +316,7 @@ def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFram
     """
     if cuts is None:
         return df
-    out = _attach(df, cuts, keys, bounded=True)
+    out = attach(df, cuts, keys, bounded=True)
     axis = _axis(df, order[0])
     out = out.withColumn(CHUNK, F.when(F.col(_CUTS).isNotNull(), F.lit(0)))
     step = 1 << (MAX_CHUNKS.bit_length() - 1)
@@ -346,7 +356,7 @@ def _group_state(df: DataFrame, by: Sequence[str], order: Sequence[str], stats:
             .groupBy(*by)
             .agg(F.sort_array(F.collect_list(F.struct((-F.col("__back")).alias("rank"), *values))).alias(_TAIL))
         )
-        state = tails if state is None else _attach(state, tails, by, bounded=False)
+        state = tails if state is None else attach(state, tails, by)
     return state
 
 
@@ -418,10 +428,10 @@ def running(
     out = base.withColumns(local)
     if hot:
         carry = _carry(base.filter(F.col(_CUTS).isNotNull()), keys, order, stats)
-        out = _attach(out, carry, [*keys, CHUNK], bounded=True)
+        out = attach(out, carry, [*keys, CHUNK], bounded=True)
     if initial is not None:
         names = {f"__s{i}": f"__i{i}" for i, s in enumerate(stats.values()) if not s.depth}
-        out = _attach(out, initial.withColumnsRenamed({**names, _TAIL: _INITIAL_TAIL}), keys, bounded=False)
+        out = attach(out, initial.withColumnsRenamed({**names, _TAIL: _INITIAL_TAIL}), keys)
 
     tail = F.col(_CARRY_TAIL) if hot else None
     if initial is not None:

@@ -241,21 +241,22 @@ def possession_previous(spark, folder):
     return _possession(spark, folder, "previous")
 
 
-def _cumulative(events: DataFrame, credit: str = "current") -> DataFrame:
+def _cumulative(events: DataFrame, credit: str = "current", offset: str | None = "first_half_max") -> DataFrame:
     flags = football.flags_by_code(F.col("event_name"), fx.int_list("tags_list"))
-    return football_ops.cumulative_stats(events, flags, credit)
+    return football_ops.cumulative_stats(events, flags, credit, offset=offset)
 
 
 @register
 def cumulative_match_stats(spark, folder):
     """Flagship: match statistics up to every second with an event."""
-    return rounded(_cumulative(football_ops.shift_second_half(_events(spark, folder))))
+    return rounded(_cumulative(_events(spark, folder)))
 
 
 @register
 def cumulative_match_stats_ties(spark, folder):
     """As the flagship, on a clock that only shows hours, so that many events share a second."""
-    return rounded(_cumulative(_events(spark, folder).withColumn("event_sec", F.floor(F.col("event_sec") / 3600) * 3600.0), "previous"))
+    hours = _events(spark, folder).withColumn("event_sec", F.floor(F.col("event_sec") / 3600) * 3600.0)
+    return rounded(_cumulative(hours, "previous", offset=None))
 
 
 # --- laps -------------------------------------------------------------------------------------
@@ -484,7 +485,7 @@ def stream_overs(spark, folder):
 
 def _result_history(spark: SparkSession, folder: str) -> DataFrame:
     """Match statistics with the result of the match, from the goals of its last second."""
-    stats = _cumulative(football_ops.shift_second_half(_events(spark, folder)))
+    stats = _cumulative(_events(spark, folder))
     last = stats.groupBy("match_id").agg(F.max_by("goals_diff", "event_sec").alias("__diff"))
     result = F.when(F.col("__diff") > 0, "home").when(F.col("__diff") < 0, "away").otherwise("draw")
     return materialise(stats.join(last, "match_id").withColumn("result", result).drop("__diff"), "history")

@@ -109,8 +109,9 @@ def carry_overs(
     """Add score and wickets so far and the first inning's totals; stream or batch input.
 
     Skipped overs add the mean runs and wickets per over, truncated to whole numbers. Overs that
-    come late or again give no row.
+    come late or again give no row, and neither do overs without a match.
     """
+    overs = overs.filter(F.col("match_id").isNotNull())
     columns = overs.columns
     processor = OverProcessor(columns, mean_runs or MEAN_RUNS, mean_wickets or MEAN_WICKETS, ttl_ms)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in overs.schema.fields]
