@@ -154,7 +154,8 @@ def first_missing(ordinal: Column, size: int) -> Column:
 
     The ordinals that occur are bits of one number, so the aggregate combines map-side.
     """
-    seen = F.coalesce(F.bit_or(F.when(ordinal.between(0, size - 1), F.shiftleft(F.lit(1).cast("bigint"), ordinal))), F.lit(0))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), ordinal)
+    seen = F.coalesce(F.bit_or(F.when(ordinal.between(0, size - 1), bit)), F.lit(0))
     lowest_gap = (seen + 1).bitwiseAND(F.bitwise_not(seen))
     return F.round(F.log2(lowest_gap)).cast("int")
 
