@@ -13,9 +13,7 @@ from pyspark.sql.window import Window
 
 from matchflow.functions import cricket
 from matchflow.functions.columns import flag, numbered_columns, other_key, padded, season_number
-
-PLAYERS = 11
-
+from matchflow.schemas import PLAYERS
 
 def document_rows(overs: DataFrame, inning: str | None = "inning", season_mode: str = "stream") -> DataFrame:
     """One row per over document: runs and wickets of the over, its last delivery, its match facts.

@@ -15,7 +15,7 @@ from matchflow.operators import aggregates, joins, overs
 from matchflow.operators import football as football_ops
 from matchflow.operators.laps import final_positions, lap_features, position_statistics
 from matchflow.operators.running import Std, running
-from matchflow.plans import tables
+from matchflow.plans import cricket, tables
 from matchflow.plans.tables import load
 from matchflow.session import fresh_path, materialise
 from matchflow.sinks.tables import save_path
@@ -557,14 +557,8 @@ def train_score_winner(spark, folder):
 @register
 def model_metrics(spark, folder):
     train, test = split.split_by_key(_winner_history(spark, folder), "match_id")
-    scored = models.train_winner_model(train).transform(test)
-    p = models.vector_to_array("probability")
-    truth = F.when(F.col("winner") == 1, p[1]).otherwise(p[0])
-    scored = scored.withColumns({"p1": p[1], "truth": truth, "said": F.col("prediction").cast("int")})
-    report = evaluate.classification_metrics(scored, "winner", "said", F.col("truth"))
-    report = report.unionByName(evaluate.roc_auc(scored, "winner", "p1"))
     path = fresh_path(spark, "metrics")
-    save_path(report.filter(F.col("metric_value").isNotNull()), path, "APPEND", schemas.METRICS)
+    save_path(cricket.metrics(models.train_winner_model(train), test), path, "APPEND", schemas.METRICS)
     return spark.read.schema(schemas.METRICS).parquet(path)
 
 

@@ -106,6 +106,13 @@ OVER_STREAM_ROW = _struct(match_id=LONG, **_OVER_COLUMNS, predicted_winner=STRIN
 OVER_HISTORY = T.StructType(
     [T.StructField(n, t, nullable=False) for n, t in {**_OVER_COLUMNS, "winner": LONG}.items()]
 )
+PLAYERS = 11
+OVER_HISTORY_WITH_PLAYERS = T.StructType(
+    [
+        *OVER_HISTORY.fields,
+        *[T.StructField(f"team_{n}_player_{i}", STRING) for n in (1, 2) for i in range(1, PLAYERS + 1)],
+    ]
+)
 METRICS = T.StructType(
     [T.StructField("metric_name", STRING, nullable=False), T.StructField("metric_value", DOUBLE, nullable=False)]
 )
