@@ -37,13 +37,18 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     names = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
     long = df.select([F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "column_name", "value")
     long = long.filter(F.col("value").isNotNull())
-    summary = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    described = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).cast("double").alias("min"),
+            F.max(c).cast("double").alias("max"),
+        ).alias(c)
+        for c in names
+    ]
+    summary = df.agg(*described).select(F.inline(F.array(*names)))
     # one row per column and quartile: the two ranks (from 0) that it lies between
     quartiles = summary.select(
         "column_name", "count", F.explode(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")

