@@ -71,6 +71,12 @@ def years_since(date: Column | str, year: int | Column) -> Column:
     return (F.lit(year) if isinstance(year, int) else year) - F.year(_col(date))
 
 
+def seconds_since(timestamp: str, start: str) -> Column:
+    """Seconds between a start and a timestamp without time zone, whatever the session's zone."""
+    passed = f"`{timestamp}` - TIMESTAMP_NTZ '{start}'"
+    return F.expr(f"CAST(CAST({passed} AS INTERVAL SECOND) AS DECIMAL(18, 6))").cast("double")
+
+
 def rounded(value: Column | str, digits: int = 2) -> Column:
     """Round half to even."""
     return F.bround(_col(value), digits)

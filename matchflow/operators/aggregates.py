@@ -14,6 +14,9 @@ from matchflow.functions.columns import literal_map, rounded
 from matchflow.operators.running import Count, Total, running
 
 
+QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
+
+
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Total, non-null and null count per column, from one scan that only counts."""
     names = list(columns or df.columns)
@@ -35,10 +38,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     gather all distinct values of a column in one task.
     """
     names = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
-    long = df.select([F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "column_name", "value")
-    long = long.filter(F.col("value").isNotNull())
     described = [
         F.struct(
+            F.lit(i).alias("__at"),
             F.lit(c).alias("column_name"),
             F.count(c).alias("count"),
             F.avg(c).alias("mean"),
@@ -46,33 +48,32 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             F.min(c).cast("double").alias("min"),
             F.max(c).cast("double").alias("max"),
         ).alias(c)
-        for c in names
+        for i, c in enumerate(names)
     ]
     summary = df.agg(*described).select(F.inline(F.array(*names)))
-    # one row per column and quartile: the two ranks (from 0) that it lies between
-    quartiles = summary.select(
-        "column_name", "count", F.explode(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    ).select(
-        F.col("column_name").alias("__column"), "q", ((F.col("count") - 1) * F.col("q")).alias("__rank")
-    )
-    counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = running(counted, ["column_name"], ["value"], {"__upto": Total("__n")}, profile=long)
-    low, high = F.floor("__rank"), F.ceil("__rank")
+
+    # columns go by number here, which keeps the grouping keys at a fixed width
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    long = df.select(F.posexplode(values).alias("__at", "value")).filter(F.col("value").isNotNull())
+    counted = long.groupBy("__at", "value").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running(counted, ["__at"], ["value"], {"__upto": Total("__n")}, profile=long)
+    # one row per described column: bounded by the schema
+    ranked = ranked.join(F.broadcast(summary.select("__at", "count")), "__at")
     holds = lambda rank: (F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank)
-    # three rows per described column: bounded by the schema
-    picked = ranked.join(F.broadcast(quartiles), F.col("column_name") == F.col("__column")).filter(
-        holds(low) | holds(high)
-    )
-    weight = F.col("__rank") - low
-    values = picked.groupBy("column_name", "q").agg(
-        F.max(F.when(holds(low), F.col("value") * (1 - weight))).alias("__low"),
-        F.max(F.when(holds(high), F.col("value") * weight)).alias("__high"),
-    )
-    at = lambda q, name: F.max(F.when(F.col("q") == q, F.col("__low") + F.col("__high"))).alias(name)
-    spread = values.groupBy("column_name").agg(at(0.25, "q25"), at(0.5, "median"), at(0.75, "q75"))
-    return summary.join(spread, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "q25", "median", "q75", "max"
-    )
+    found = []
+    for q, name in QUARTILES.items():
+        rank = (F.col("count") - 1) * q
+        for end, at in (("low", F.floor(rank)), ("high", F.ceil(rank))):
+            found.append(F.max(F.when(holds(at), F.col("value"))).alias(f"__{name}_{end}"))
+    picked = ranked.groupBy("__at").agg(*found)
+
+    def quartile(q: float, name: str) -> Column:
+        rank = (F.col("count") - 1) * q
+        low, high = F.col(f"__{name}_low"), F.col(f"__{name}_high")
+        return (low + (high - low) * (rank - F.floor(rank))).alias(name)
+
+    quartiles = [quartile(q, name) for q, name in QUARTILES.items()]
+    return summary.join(picked, "__at", "left").select("column_name", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def value_shares(df: DataFrame, value: str, labels: dict | None = None) -> DataFrame:

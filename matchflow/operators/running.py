@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
+from matchflow.functions.columns import seconds_since
 from matchflow.session import materialise
 
 ROWS_PER_CHUNK = 20_000_000
@@ -248,7 +249,7 @@ def _axis(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(name).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{name}`)").cast("double")
+        return seconds_since(name, "1970-01-01")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(name).cast("double")
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp, not {dtype.simpleString()}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchflow.functions import columns as fx
+
 # fixed values: event classes and tag lists of the event table, and the tag dictionary
 EVENT_NAMES = {"purchase": "Shot", "click": "Pass", "error": "Foul", "view": "Duel"}
 TAG_LISTS = {0: "[101, 1801]", 1: "[1801]", 2: "[703]", 3: ""}
@@ -28,7 +30,7 @@ def match_events(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.col("user_id").alias("match_id"),
-        (F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)") / 1e6).alias("event_sec"),
+        fx.seconds_since("ts", "2024-01-01").alias("event_sec"),
         F.when(F.hour("ts") < 12, "1H").otherwise("2H").alias("match_period"),
         F.when(by_id <= 1, "home").when(by_id <= 3, "away").otherwise("unknown").alias("side"),
         names.alias("event_name"),

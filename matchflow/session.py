@@ -28,6 +28,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions for jobs over ``input_bytes`` of files.
+
+    Adaptive execution merges partitions that turn out small, but never splits one for a window
+    or an aggregate, so the number has to be large enough from the start: about one partition per
+    ``partition_bytes`` of compressed input, and never fewer than there are cores.
+    """
+    wanted = max(-(-input_bytes // partition_bytes), spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 _local_folders: dict[str, str] = {}
 
 
