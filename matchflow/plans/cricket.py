@@ -32,7 +32,9 @@ def history(documents: DataFrame, mode: str = "overs", season_mode: str = "strea
 
     An over without deliveries keeps the cumulative values, with no players and no runs.
     """
-    rows = overs.player_columns(overs.document_rows(documents, season_mode=season_mode))
+    rows = overs.document_rows(documents, season_mode=season_mode)
+    # copies of an over would count twice; they are merged before the shuffle
+    rows = overs.player_columns(rows.dropDuplicates(["match_id", "inning", "over"]))
     rows = rows.fillna("", ["batter", "bowler", "non_striker"]).fillna(0, ["runs_batter", "runs_extras", "runs_total"])
     return overs.over_features(rows, mode)
 

@@ -37,7 +37,10 @@ def load_events(spark: SparkSession, path: str, matches: DataFrame) -> DataFrame
 
 def history(events: DataFrame, matches: DataFrame, tag_names: DataFrame, **options) -> DataFrame:
     """Training rows: match statistics per second with the result of the match."""
-    joined = football.join_matches(events, matches).withColumn("tags", fx.int_list("tags_list"))
+    # a number orders the events of one second; hash aggregates cannot keep text in their buffers
+    number = F.coalesce(F.col("event_id").try_cast("bigint"), F.xxhash64("event_id"))
+    joined = football.join_matches(events.withColumn("event_id", number), matches)
+    joined = joined.withColumn("tags", fx.int_list("tags_list"))
     labelled = joins.label_tags(joined, "tags", tag_names, ["match_id", "event_id"])
     flags = rules.flags_by_label(F.col("event_name"), F.col("tags_labels"))
     options = {"offset": "first_half_max", "per_match": ["result"], **options}

@@ -5,6 +5,6 @@ from matchflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, shuffle_partitions=4)
+    session = local_session(4, shuffle_partitions=2)
     yield session
     session.stop()
