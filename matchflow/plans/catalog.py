@@ -20,9 +20,9 @@ from matchflow.plans.tables import load
 from matchflow.session import fresh_path, materialise
 from matchflow.sinks.tables import save_path
 from matchflow.sources import files, messages, nested
-from matchflow.streaming.football import start_match_statistics
+from matchflow.streaming.football import parse_events, start_match_statistics
 from matchflow.streaming.laps import parse_laps, start_lap_statistics
-from matchflow.streaming.overs import start_over_statistics
+from matchflow.streaming.overs import parse_overs, start_over_statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = (
@@ -81,6 +81,54 @@ def nested_laps_roundtrip(spark, folder):
     return parse_laps(_laps(spark, folder).select(value.alias("value")))
 
 
+@register
+def event_message_roundtrip(spark, folder):
+    feed = tables.event_feed(load(spark, folder, "events"))
+    sent = messages.event_messages(nested.single_event_documents(feed))
+    return rounded(
+        parse_events(sent).select(
+            "matchId", "id", "eventSec", "eventName", "teamId", F.concat_ws(",", F.col("tagsList").cast("array<string>")).alias("tags"),
+            F.col("positions.origin.x").alias("x"), F.col("positions.destination.y").alias("y"),
+        )
+    )
+
+
+@register
+def event_document_flatten(spark, folder):
+    feed = tables.event_feed(load(spark, folder, "events"))
+    flat = nested.flatten_events(nested.single_event_documents(feed))
+    return rounded(flat.drop("player_id", "sub_event_id", "pos_orig_y", "pos_dest_x"))
+
+
+@register
+def match_document_flatten(spark, folder):
+    flat = nested.flatten_matches(nested.single_match_documents(tables.match_feed(load(spark, folder, "orders"))))
+    result = football.match_result(*[F.col(c) for c in ("winner", "team1_teamId", "team1_side", "team2_teamId", "team2_side")])
+    return flat.select(
+        "match_id", "gameweek", "competitionId", "status", "team1_teamId", "team2_side",
+        F.col("`team1_formation.bench`").alias("bench"), result.alias("result"),
+    )
+
+
+@register
+def over_document_rows(spark, folder):
+    feed = tables.over_feed(load(spark, folder, "events"))
+    sent = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
+    return parse_overs(sent)
+
+
+@register
+def over_players(spark, folder):
+    feed = tables.over_feed(load(spark, folder, "events"))
+    rows = overs.player_columns(overs.document_rows(feed, inning=None))
+    return rows.select("match_id", "winner", "team_1_player_2", "team_1_player_3", "team_2_player_11").distinct()
+
+
+@register
+def overs_to_first_gap(spark, folder):
+    return files.up_to_first_gap(_overs(spark, folder), size=12).select("match_id", "inning", "over", "over_runs")
+
+
 @register
 def event_flags(spark, folder):
     events = _tagged(_events(spark, folder))

@@ -272,6 +272,20 @@ UNION ALL SELECT 'r2_score', round(1 - avg((y - f) * (y - f)) / var_pop(y), 4) F
 UNION ALL SELECT 'explained_variance', round(1 - var_pop(y - f) / var_pop(y), 4) FROM g"""
 
 
+OVER_FEED = """
+docs AS (
+  SELECT user_id AS match_id, event_id, CAST(floor(value) AS INTEGER) AS v, event_id % 4 AS n, hour(ts) % 12 AS "over",
+         CASE WHEN hour(ts) < 12 THEN 'Reds' ELSE 'Blues' END AS team,
+         CASE WHEN user_id % 2 = 0 THEN 'Reds' ELSE 'Blues' END AS toss,
+         CASE WHEN user_id % 5 = 0 THEN 'Reds' ELSE 'Blues' END AS winner,
+         user_id % 3 = 0 AS field
+  FROM events),
+teams AS (
+  SELECT *, CASE WHEN field THEN CASE toss WHEN 'Reds' THEN 'Blues' ELSE 'Reds' END ELSE toss END AS team_1,
+         CASE WHEN field THEN toss ELSE CASE toss WHEN 'Reds' THEN 'Blues' ELSE 'Reds' END END AS team_2
+  FROM docs)"""
+
+
 def oracle_sql() -> dict[str, str]:
     flags = ", ".join(f"{cond} AS {name}" for name, cond in FLAGS.items())
     labels = "array_to_string([CASE t WHEN 101 THEN 'Goal' WHEN 1801 THEN 'accurate' ELSE 'Unknown' END FOR t IN tags], ',')"
@@ -284,6 +298,42 @@ WHERE (match_period = '2H' AND event_sec + 3600 BETWEEN 86400 AND 1000000)
 WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
         "nested_laps_roundtrip": _with(LAPS) + """
 SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, position, milliseconds FROM laps""",
+        "event_message_roundtrip": _with(EVENTS) + """
+SELECT CAST(match_id AS VARCHAR) AS "matchId", event_id AS id,
+       round(CASE WHEN match_period = '2H' THEN event_sec + 3600 ELSE event_sec END, 4) AS "eventSec",
+       event_name AS "eventName", team_id AS "teamId", array_to_string(tags, ',') AS tags,
+       CAST(event_id % 100 AS DOUBLE) AS x, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 50 AS DOUBLE) END AS y
+FROM ev""",
+        "event_document_flatten": _with(EVENTS) + """
+SELECT CAST(match_id AS VARCHAR) AS match_id, CAST(event_id AS VARCHAR) AS event_id, event_name, '' AS sub_event_name,
+       '' AS tags, team_id, match_period, round(event_sec, 4) AS event_sec, CAST(event_id % 100 AS DOUBLE) AS pos_orig_x,
+       CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 50 AS DOUBLE) END AS pos_dest_y,
+       CASE len(tags) WHEN 0 THEN '' ELSE '[' || array_to_string(tags, ', ') || ']' END AS tags_list
+FROM ev""",
+        "match_document_flatten": """WITH m AS (
+  SELECT o_orderkey, o_custkey % 20 AS t, o_orderkey % 3 AS w, o_orderdate, o_custkey, o_orderstatus AS s, o_orderpriority FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id, CAST(month(o_orderdate) AS INTEGER) AS gameweek,
+       CAST(o_custkey % 5 AS INTEGER) AS "competitionId", CASE WHEN s <> 'P' THEN s ELSE '' END AS status,
+       t AS "team1_teamId", 'away' AS team2_side, o_orderpriority AS bench,
+       CASE WHEN s = 'P' THEN NULL WHEN w = 0 THEN 'home' WHEN w = 1 THEN 'away' ELSE 'draw' END AS result
+FROM m""",
+        "over_document_rows": _with(OVER_FEED) + """
+SELECT match_id, CASE WHEN team = team_1 THEN 1 ELSE 2 END AS inning, CAST("over" AS INTEGER) AS "over",
+       CASE WHEN n > 0 THEN 'b' || ((event_id + n) % 9) END AS batter, CASE WHEN n > 0 THEN 'c' END AS bowler,
+       CASE WHEN n > 0 THEN 'd' END AS non_striker,
+       CASE WHEN n > 0 THEN CAST((v + n) % 7 AS BIGINT) END AS runs_batter, CASE WHEN n > 0 THEN CAST(0 AS BIGINT) END AS runs_extras,
+       CASE WHEN n > 0 THEN CAST((v + n) % 7 AS BIGINT) END AS runs_total,
+       CAST(coalesce(list_sum([(v + i) % 7 FOR i IN range(1, n + 1)]), 0) AS INTEGER) AS over_runs,
+       CAST(coalesce(list_sum([CASE WHEN (event_id + i) % 5 = 0 THEN 1 ELSE 0 END FOR i IN range(1, n + 1)]), 0) AS INTEGER) AS over_wickets,
+       CAST(field AS INTEGER) AS toss_decision, CAST(toss = team_2 AS INTEGER) AS toss_winner, CAST(2009.5 AS DOUBLE) AS season,
+       CAST(team = team_2 AS INTEGER) AS current_team, team_1, team_2
+FROM teams""",
+        "over_players": _with(OVER_FEED) + """
+SELECT DISTINCT match_id, CAST(winner = team_2 AS INTEGER) AS winner, 'y' AS team_1_player_2,
+       'Placeholder 0' AS team_1_player_3, 'Placeholder 8' AS team_2_player_11 FROM teams""",
+        "overs_to_first_gap": _with(OVERS) + """, nth AS (
+  SELECT *, row_number() OVER (PARTITION BY match_id, inning ORDER BY "over") - 1 AS n FROM overs)
+SELECT match_id, inning, "over", over_runs FROM nth WHERE "over" = n""",
         "event_flags": _with(EVENTS) + f"SELECT event_id, {flags} FROM ev",
         "tag_labels": _with(EVENTS) + f"SELECT event_id, {labels} AS labels, {label_flags} FROM ev",
         "tag_labels_by_join": _with(EVENTS) + f"SELECT event_id, {labels} AS labels FROM ev",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchflow import schemas
 from matchflow.functions import columns as fx
 
 # fixed values: event classes and tag lists of the event table, and the tag dictionary
@@ -76,3 +78,80 @@ def match_facts(overs: DataFrame) -> DataFrame:
             "current_team": (F.col("inning") == 2).cast("int"),
         }
     )
+
+
+def _shaped(df: DataFrame, schema: T.StructType, **values: Column) -> DataFrame:
+    """All columns of a feed schema; those without a value are null."""
+    return df.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
+def event_feed(events: DataFrame) -> DataFrame:
+    """The flat event feed, whose message and document forms are built from it."""
+    e = match_events(events)
+    return _shaped(
+        e,
+        schemas.EVENTS,
+        id=F.col("event_id"),
+        matchId=F.col("match_id"),
+        matchPeriod=F.col("match_period"),
+        eventSec=F.col("event_sec"),
+        eventName=F.col("event_name"),
+        teamId=F.col("team_id"),
+        tagsList=F.col("tags_list"),
+        pos_orig_x=F.col("event_id") % 100,
+        pos_dest_y=F.when(F.col("event_id") % 2 == 0, F.col("event_id") % 50),
+    )
+
+
+def match_feed(orders: DataFrame) -> DataFrame:
+    """The flat match feed: an order is a match of two neighbouring teams."""
+    team = F.col("o_custkey") % 20
+    return _shaped(
+        orders,
+        schemas.MATCHES,
+        wyId=F.col("o_orderkey"),
+        gameweek=F.month("o_orderdate"),
+        competitionId=F.col("o_custkey") % 5,
+        status=F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")),
+        winner=F.when(F.col("o_orderstatus") == "P", "").otherwise((team + F.col("o_orderkey") % 3).cast("string")),
+        **{
+            "team1.teamId": team,
+            "team1.side": F.lit("home"),
+            "team1.formation.bench": F.col("o_orderpriority"),
+            "team2.teamId": team + 1,
+            "team2.side": F.lit("away"),
+        },
+    )
+
+
+def over_feed(events: DataFrame) -> DataFrame:
+    """Over documents: an event is an over with up to three deliveries."""
+    number, value = F.col("event_id"), F.floor("value").cast("int")
+
+    def delivery(i: int) -> Column:
+        runs = ((value + i) % 7).cast("int")
+        out = F.array(F.struct(F.lit("p").alias("player_out"), F.lit("k").alias("kind")))
+        return F.struct(
+            F.concat(F.lit("b"), ((number + i) % 9).cast("string")).alias("batter"),
+            F.lit("c").alias("bowler"),
+            F.lit("d").alias("non_striker"),
+            F.struct(runs.alias("batter"), F.lit(0).alias("extras"), runs.alias("total")).alias("runs"),
+            F.when((number + i) % 5 == 0, out).alias("wickets"),
+        )
+
+    match, players = F.col("user_id"), F.array(F.lit("x"), F.lit("y"))
+    return _shaped(
+        events,
+        schemas.OVER_DOCUMENT,
+        match_id=match,
+        team=F.when(F.hour("ts") < 12, "Reds").otherwise("Blues"),
+        players=F.create_map(F.lit("Reds"), players, F.lit("Blues"), players),
+        toss_winner=F.when(match % 2 == 0, "Reds").otherwise("Blues"),
+        toss_decision=F.when(match % 3 == 0, "field").otherwise("bat"),
+        season=F.lit("2009/10"),
+        over_number=F.hour("ts") % 12,
+        winner=F.when(match % 5 == 0, "Reds").otherwise("Blues"),
+        deliveries=F.slice(F.array(*[delivery(i) for i in (1, 2, 3)]), 1, (number % 4).cast("int")),
+    )

@@ -73,6 +73,13 @@ def events_document(events: DataFrame) -> DataFrame:
     return by_match.select(F.create_map(F.col("matchId").cast("string"), F.struct("events")).alias("matches"))
 
 
+def single_event_documents(events: DataFrame) -> DataFrame:
+    """One document per event, for feeds that publish event by event: nothing is gathered."""
+    event = F.create_map("event_id", "event")
+    match = F.create_map(F.col("matchId").cast("string"), F.struct(event.alias("events")))
+    return event_objects(events).select(F.struct(match.alias("matches")).alias("document"))
+
+
 def flatten_events(df: DataFrame, document: str = "document") -> DataFrame:
     """One row per event of the documents in a column, with defaults for missing fields."""
     event = lambda name: F.col(f"__event.{name}")
@@ -112,6 +119,12 @@ def match_objects(matches: DataFrame) -> DataFrame:
     )
 
 
+def single_match_documents(matches: DataFrame) -> DataFrame:
+    """One document per match."""
+    match = F.create_map("match_id", "match").alias("matches")
+    return match_objects(matches).select(F.struct(match).alias("document"))
+
+
 def flatten_matches(df: DataFrame, document: str = "document") -> DataFrame:
     """One row per match: the match fields and both teams' fields as ``team1_*``, ``team2_*``."""
 

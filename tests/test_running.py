@@ -80,7 +80,7 @@ def test_running_equals_brute_force_with_and_without_hot_groups(spark, limit):
     check(running(spark.createDataFrame(rows, SCHEMA), KEYS, ORDER, stats(), limit=limit), rows)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, None]), st.integers(0, 9)), min_size=1, max_size=40), st.integers(1, 9))
 def test_any_small_table_and_chunk_size(spark, pairs, limit):
     rows = [(k, t, v) for t, (k, v) in enumerate(pairs)]
