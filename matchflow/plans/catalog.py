@@ -81,6 +81,23 @@ def nested_laps_roundtrip(spark, folder):
     return parse_laps(_laps(spark, folder).select(value.alias("value")))
 
 
+@register
+def race_documents_roundtrip(spark, folder):
+    """All laps of ten races as documents and back; each document holds 1,000 entries at most."""
+    laps = _laps(spark, folder).withColumnsRenamed({"race_id": "raceId", "driver": "driverId"})
+    documents = nested.laps_document(laps, max_entries=1_000)
+    text = documents.select(F.to_json(F.struct("races")).alias("value"))
+    return parse_laps(text)
+
+
+@register
+def match_documents_roundtrip(spark, folder):
+    """All events of every match as documents and back."""
+    documents = nested.events_document(tables.event_feed(load(spark, folder, "events")), max_entries=50)
+    flat = nested.flatten_events(documents.select(F.struct("matches").alias("document")))
+    return rounded(flat.select("match_id", "event_id", "event_name", "team_id", "match_period", "event_sec"))
+
+
 @register
 def event_message_roundtrip(spark, folder):
     feed = tables.event_feed(load(spark, folder, "events"))

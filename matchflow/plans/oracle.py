@@ -298,6 +298,11 @@ WHERE (match_period = '2H' AND event_sec + 3600 BETWEEN 86400 AND 1000000)
 WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
         "nested_laps_roundtrip": _with(LAPS) + """
 SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, position, milliseconds FROM laps""",
+        "race_documents_roundtrip": _with(LAPS) + """
+SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, position, milliseconds FROM laps""",
+        "match_documents_roundtrip": _with(EVENTS) + """
+SELECT CAST(match_id AS VARCHAR) AS match_id, CAST(event_id AS VARCHAR) AS event_id, event_name, team_id, match_period,
+       round(event_sec, 4) AS event_sec FROM ev""",
         "event_message_roundtrip": _with(EVENTS) + """
 SELECT CAST(match_id AS VARCHAR) AS "matchId", event_id AS id,
        round(CASE WHEN match_period = '2H' THEN event_sec + 3600 ELSE event_sec END, 4) AS "eventSec",

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchflow import schemas
+from matchflow.operators.running import Count, running
+
+MAX_ENTRIES = 100_000  # of one document
 
 # --- laps: race -> lap -> driver ------------------------------------------------------------
 
@@ -17,15 +20,25 @@ def parse_document(text: Column | str, schema: T.StructType) -> Column:
     return F.from_json(text, schema)
 
 
-def laps_document(laps: DataFrame, fields: Sequence[str] = ("position", "milliseconds")) -> DataFrame:
+def _in_parts(df: DataFrame, key: str, order: Sequence[str], max_entries: int) -> DataFrame:
+    """Number the parts of each group, so that no document holds more than ``max_entries``."""
+    numbered = running(df, [key], order, {"__nth": Count()})
+    return numbered.withColumn("__part", F.floor((F.col("__nth") - 1) / F.lit(max_entries))).drop("__nth")
+
+
+def laps_document(
+    laps: DataFrame, fields: Sequence[str] = ("position", "milliseconds"), max_entries: int = MAX_ENTRIES
+) -> DataFrame:
     """One document per race with the given fields of every driver and lap.
 
-    The result is a document, so its size is that of one race; filter to the wanted race or lap.
+    A race with more than ``max_entries`` driver laps becomes several documents of the same form,
+    which flatten to the same rows.
     """
+    parts = _in_parts(laps.select("raceId", "lap", "driverId", *fields), "raceId", ["lap", "driverId"], max_entries)
     entry = F.struct(F.col("driverId").cast("string"), F.struct(*fields))
-    drivers = laps.groupBy("raceId", "lap").agg(F.map_from_entries(F.collect_list(entry)).alias("drivers"))
+    drivers = parts.groupBy("raceId", "__part", "lap").agg(F.map_from_entries(F.collect_list(entry)).alias("drivers"))
     lap = F.struct(F.col("lap").cast("string"), F.struct("drivers"))
-    by_race = drivers.groupBy("raceId").agg(F.map_from_entries(F.collect_list(lap)).alias("laps"))
+    by_race = drivers.groupBy("raceId", "__part").agg(F.map_from_entries(F.collect_list(lap)).alias("laps"))
     races = F.create_map(F.col("raceId").cast("string"), F.struct("laps"))
     return by_race.select(races.alias("races"))
 
@@ -66,10 +79,11 @@ def event_objects(events: DataFrame) -> DataFrame:
     return events.select("matchId", F.col("id").cast("string").alias("event_id"), _event_object().alias("event"))
 
 
-def events_document(events: DataFrame) -> DataFrame:
-    """One document per match; filter to the wanted match first."""
-    entries = F.map_from_entries(F.collect_list(F.struct("event_id", "event"))).alias("events")
-    by_match = event_objects(events).groupBy("matchId").agg(entries)
+def events_document(events: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
+    """One document per match, or several for a match with more than ``max_entries`` events."""
+    parts = _in_parts(events, "matchId", ["id"], max_entries)
+    entry = F.struct(F.col("id").cast("string"), _event_object())
+    by_match = parts.groupBy("matchId", "__part").agg(F.map_from_entries(F.collect_list(entry)).alias("events"))
     return by_match.select(F.create_map(F.col("matchId").cast("string"), F.struct("events")).alias("matches"))
 
 

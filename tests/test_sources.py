@@ -38,6 +38,13 @@ def test_lap_roundtrip(laps):
     assert got == set(LAPS)
 
 
+def test_large_documents_come_in_parts(laps):
+    documents = nested.laps_document(laps, max_entries=2)
+    assert documents.count() == 3  # race 1 has three entries, race 2 one
+    flat = nested.flatten_laps(documents.select(F.struct("races").alias("document")))
+    assert {(int(r.race_id), int(r.driver), r.lap, r.position, r.milliseconds) for r in flat.collect()} == set(LAPS)
+
+
 def test_race_lookup(spark):
     races = spark.createDataFrame([(1, "One", "2009-03-29", 3), (2, "Two", "2009-04-05", 4)], schemas.RACES)
     assert files.lookup_race(races, 2).first().asDict() == {"name": "Two", "date": "2009-04-05"}
