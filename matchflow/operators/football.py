@@ -105,7 +105,8 @@ def possession(
         timed = _with_possession(coded, match, [second, event], credit, already_cut=True)
         return timed.drop("__first_side", "__last_side")
     seconds = events.groupBy(match, second).agg(F.min(event).alias("__first"), *_sides_of_second(side, event))
-    timed = _with_possession(seconds, match, [second], credit, profile=events)
+    seconds = cut(seconds, [match], [second], hot_cuts(events, [match], [second]), split_ties=False)
+    timed = _with_possession(seconds, match, [second], credit, already_cut=True)
     joined = attach(events, timed.select(match, second, "__first", *names), [match, second])
     own = F.col(event) == F.col("__first")
     return joined.withColumns({n: F.when(own, F.col(n)).otherwise(F.lit(0.0)) for n in names}).drop("__first")
@@ -144,7 +145,7 @@ def cumulative_stats(
     cuts = hot_cuts(rows, [match], [second]) if hot else None
     counts = [F.count_if(F.col(n)).alias(n) for n in counters]
     seconds = rows.groupBy(match, *per_match, second).agg(*counts, *_sides_of_second(side, event))
-    seconds = cut(seconds, [match], [second], cuts)
+    seconds = cut(seconds, [match], [second], cuts, split_ties=False)  # one row per second
     timed = _with_possession(seconds, match, [second], credit, already_cut=True, keep_chunks=True)
     totals = {n: Total(n) for n in [*counters, "home_possession_time", "away_possession_time"]}
     summed = running(timed, [match], [second], totals, already_cut=True)

@@ -16,9 +16,10 @@ broadcast hold at most one row per hot group and one row per chunk. A group is h
 than 2 N / rows_per_chunk chunks: at most 100,000 short rows for 10^12 input rows at the default.
 
 Cut points only decide where a group is cut, never a result, so their approximate quantiles
-leave the statistics exact. Rows that share the leading order value stay in one chunk, which
-keeps RANGE frames (``peers=True``) valid; callers with many ties aggregate to one row per
-order value first.
+leave the statistics exact. Rows that share the leading order value stay in one chunk unless they
+are themselves too many; then they are cut along the next order columns, down to plain copies of
+one row. RANGE frames (``peers=True``) need them together; callers aggregate to one row per order
+value first. Order columns after the first that are text are not cut along.
 
 The same merge step takes a per-group ``initial`` state, which is how the streaming jobs carry
 statistics from one micro-batch to the next.
@@ -49,7 +50,8 @@ _RANK = "__rank"
 _TAIL = "__tail"
 _INITIAL_TAIL = "__initial_tail"
 _CARRY_TAIL = "__carry_tail"
-_HELPERS = (_CUTS, _RANK, _TAIL, _INITIAL_TAIL, _CARRY_TAIL)
+_COPY = "__copy"
+_HELPERS = (_CUTS, _COPY, _RANK, _TAIL, _INITIAL_TAIL, _CARRY_TAIL)
 
 
 class Stat:
@@ -310,22 +312,68 @@ def hot_cuts(
     return materialise(quantiles.filter(F.col("__grid").isNotNull()).select(*keys, cuts.alias(_CUTS)), "cuts")
 
 
-def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame | None) -> DataFrame:
+def _numbered(df: DataFrame, keys: Sequence[str], column: str, cuts: DataFrame, cuts_as: str, chunk_as: str) -> DataFrame:
+    """Add the cut points of each row's group and the number of them below the row."""
+    out = attach(df, cuts.withColumnRenamed(_CUTS, cuts_as), keys, bounded=True)
+    axis = _axis(df, column)
+    out = out.withColumn(chunk_as, F.when(F.col(cuts_as).isNotNull(), F.lit(0)))
+    step = 1 << (MAX_CHUNKS.bit_length() - 1)
+    while step:  # binary search
+        below = F.get(F.col(cuts_as), F.col(chunk_as) + (step - 1)) < axis
+        out = out.withColumn(chunk_as, F.col(chunk_as) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return out
+
+
+def _splittable(df: DataFrame, column: str) -> bool:
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision <= 15
+    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def cut(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cuts: DataFrame | None,
+    limit: int | None = None,
+    split_ties: bool = True,
+) -> DataFrame:
     """Number the chunks of hot groups: 0.. in those, null in all others.
 
-    Without hot groups ``df`` comes back as it is.
+    Without hot groups ``df`` comes back as it is. Rows that share the leading order value end up
+    in one chunk. If those are too many for a chunk, they are cut again along the next order
+    column, and copies that agree in all order columns along an arbitrary but fixed number, which
+    is then the last order column. A value with that many rows is always a cut point itself, so
+    its rows are the last ones of their chunk and can be numbered on without disturbing others.
     """
     if cuts is None:
         return df
-    out = attach(df, cuts, keys, bounded=True)
-    axis = _axis(df, order[0])
-    out = out.withColumn(CHUNK, F.when(F.col(_CUTS).isNotNull(), F.lit(0)))
-    step = 1 << (MAX_CHUNKS.bit_length() - 1)
-    while step:  # binary search for the number of cut points below the row
-        below = F.get(F.col(_CUTS), F.col(CHUNK) + (step - 1)) < axis
-        out = out.withColumn(CHUNK, F.col(CHUNK) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return out
+    out = _numbered(df, keys, order[0], cuts, _CUTS, CHUNK)
+    if not split_ties:
+        return out
+    out = out.withColumn(CHUNK, F.col(CHUNK).cast("bigint"))
+    tied_keys, level_cuts = list(keys), _CUTS
+    for at, after in zip(order, [*order[1:], _COPY]):
+        axis = _axis(out, at)
+        tied_keys.append(at)
+        tied = out.filter(F.array_contains(level_cuts, axis) & (F.abs(axis) < 2**53))
+        if after != _COPY and not _splittable(df, after):
+            break
+        if not has_hot_groups(tied, tied_keys, limit):
+            break
+        if after == _COPY:  # written out, so that every copy keeps its number
+            out = materialise(out.withColumn(_COPY, F.monotonically_increasing_id()), "copies")
+            tied = out.filter(F.array_contains(level_cuts, axis) & (F.abs(axis) < 2**53))
+        next_cuts = f"{_CUTS}_{after}"
+        fine = hot_cuts(tied, tied_keys, [after], limit)
+        out = _numbered(out, tied_keys, after, fine, next_cuts, "__fine")
+        # chunks of tied rows come after the other rows of the coarse chunk
+        number = F.col(CHUNK) * (2 * MAX_CHUNKS) + F.coalesce(F.col("__fine") + 1, F.lit(0))
+        out = out.withColumn(CHUNK, number).drop("__fine")
+        level_cuts = next_cuts
+    return out.drop(*[c for c in out.columns if c.startswith(f"{_CUTS}_")])
 
 
 # --- states -------------------------------------------------------------------------------
@@ -400,7 +448,7 @@ def running(
 ) -> DataFrame:
     """Add one column per entry of ``stats``, each computed over the rows up to the current one.
 
-    ``order`` must identify a row within its group unless ``peers`` is set; with ``peers`` all
+    Rows that agree in all ``order`` columns come in an arbitrary order; with ``peers`` all
     rows that share the (single) order value see the same result. No ``keys`` means one group
     over the whole table. ``initial`` is a state from ``advance``.
 
@@ -413,8 +461,11 @@ def running(
         profile = None if profile is None else profile.withColumn(_ALL, F.lit(0))
     keys = list(keys)
     if not already_cut:
-        df = cut(df, keys, order, hot_cuts(df if profile is None else profile, keys, order, limit))
+        cuts = hot_cuts(df if profile is None else profile, keys, order, limit)
+        df = cut(df, keys, order, cuts, limit, split_ties=not peers)
     hot = CHUNK in df.columns
+    if _COPY in df.columns:
+        order = [*order, _COPY]
     base = _valued(df, stats)
     depth = _depth(stats)
 
@@ -450,7 +501,7 @@ def running(
             state = stat.merge(F.col(f"__i{i}"), state)
         results[name] = stat.result(state)
     keep = [c for c in columns if c not in results and c != _ALL]
-    kept = [CHUNK, _CUTS] if hot and keep_chunks else []
+    kept = [c for c in (CHUNK, _CUTS, _COPY) if c in df.columns] if keep_chunks else []
     return out.select(*keep, *[c.alias(n) for n, c in results.items()], *kept)
 
 

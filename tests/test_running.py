@@ -150,3 +150,23 @@ def test_hot_plan_never_windows_by_the_key_alone(spark, capsys):
     running(df, KEYS, ORDER, {"n": Count()}, limit=10).explain()
     plan = capsys.readouterr().out
     assert "hashpartitioning(k" in plan and "__chunk" in plan
+
+
+def tied_rows():
+    """One time holds a third of the group, and one row is there a hundred times."""
+    return [(1, t if t % 3 else 50, t) for t in range(300)] + [(1, 120, 1000)] * 100 + [(2, 5, 1)] * 3
+
+
+def test_hot_ties_and_copies_are_cut_too(spark):
+    df = spark.createDataFrame(tied_rows(), "k int, t int, v int")
+    order, limit = ["t", "v"], 20
+    chunked = cut(df, KEYS, order, hot_cuts(df, KEYS, order, limit), limit)
+    sizes = [r.n for r in chunked.groupBy("k", CHUNK).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 3 * limit and sum(sizes) == 403
+    out = running(df, KEYS, order, {"n": Count(), "total": Total("v"), "prev": Previous("v")}, limit=limit)
+    assert out.columns == ["k", "t", "v", "n", "total", "prev"]
+    got, want = [tuple(r) for r in out.collect()], []
+    for k in (1, 2):
+        rows = sorted(r for r in tied_rows() if r[0] == k)
+        want += [(*r, i + 1, sum(x[2] for x in rows[: i + 1]), rows[i - 1][2] if i else None) for i, r in enumerate(rows)]
+    assert sorted(got, key=str) == sorted(want, key=str)
