@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from matchflow.functions import football
-from matchflow.operators.running import CHUNK, Previous, Total, attach, cut, has_hot_groups, hot_cuts, running
+from matchflow.operators.running import CHUNK, Previous, Total, cut, has_hot_groups, hot_cuts, running
 
 # sides as numbers keep first- and last-side aggregates in fixed-width hash buffers
 _SIDE_CODES = {"home": 1, "away": 2}
@@ -93,23 +93,9 @@ def possession(
     event: str = "event_id",
     side: str = "side",
 ) -> DataFrame:
-    """Add the time since the event before and the part of it that each side gets.
-
-    A plain lag over the match, unless some match is hot. Then the differences are taken between
-    seconds and joined back to the first event of each second, the only one with time before it,
-    so that a second with very many events is no hot window group either.
-    """
-    names = ["time_diff", "home_possession_time", "away_possession_time"]
-    if not has_hot_groups(events, [match]):
-        coded = events.withColumns(dict.fromkeys(["__first_side", "__last_side"], _side_code(F.col(side))))
-        timed = _with_possession(coded, match, [second, event], credit, already_cut=True)
-        return timed.drop("__first_side", "__last_side")
-    seconds = events.groupBy(match, second).agg(F.min(event).alias("__first"), *_sides_of_second(side, event))
-    seconds = cut(seconds, [match], [second], hot_cuts(events, [match], [second]), split_ties=False)
-    timed = _with_possession(seconds, match, [second], credit, already_cut=True)
-    joined = attach(events, timed.select(match, second, "__first", *names), [match, second])
-    own = F.col(event) == F.col("__first")
-    return joined.withColumns({n: F.when(own, F.col(n)).otherwise(F.lit(0.0)) for n in names}).drop("__first")
+    """Add the time since the event before and the part of it that each side gets."""
+    coded = events.withColumns(dict.fromkeys(["__first_side", "__last_side"], _side_code(F.col(side))))
+    return _with_possession(coded, match, [second, event], credit).drop("__first_side", "__last_side")
 
 
 def cumulative_stats(
