@@ -1,4 +1,7 @@
-"""Schemas of the feeds and tables. Feeds are read with these; nothing is inferred."""
+"""Schemas of the feeds and tables. Feeds are read with these; nothing is inferred.
+
+All column and field names here are fixed values: they are those of the feeds and output tables.
+"""
 
 from __future__ import annotations
 
@@ -27,7 +30,7 @@ EVENT_OBJECT = _struct(
 EVENTS_DOCUMENT = _struct(matches=T.MapType(STRING, _struct(events=T.MapType(STRING, EVENT_OBJECT))))
 EVENT_MESSAGE = T.StructType([*EVENT_OBJECT.fields, T.StructField("matchId", STRING)])
 
-# field names of a match and of its two teams, as they stand in the feed
+# fixed values: field names of a match and of its two teams
 MATCH_FIELDS = {
     "roundId": LONG, "gameweek": INT, "teamsData": STRING, "seasonId": LONG, "dateutc": STRING, "venue": STRING,
     "date": STRING, "referees": STRING, "competitionId": INT, "duration": STRING, "label": STRING, "status": STRING,

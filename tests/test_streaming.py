@@ -2,7 +2,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from matchflow import schemas
 from matchflow.operators.laps import position_statistics
