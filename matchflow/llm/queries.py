@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matchflow.llm import byte_bpe, multiset_hash, packing, simhash_bk
+from matchflow.llm import ann_forest, byte_bpe, multiset_hash, packing, simhash_bk
 from matchflow.llm.common import table
 
 
@@ -23,9 +24,13 @@ def op8_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op7_simhash_near_dedup, op8_multiset_fingerprints, op10_byte_bpe)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
