@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchflow.llm import ann_forest, byte_bpe, multiset_hash, packing, simhash_bk
+from matchflow.llm import ann_forest, byte_bpe, multiset_hash, packing, pu_quality, simhash_bk, toxicity
 from matchflow.llm.common import table
 
 
@@ -16,6 +16,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pu_quality.score(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,5 +42,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
