@@ -13,6 +13,7 @@ import base64
 import hashlib
 import heapq
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import islice
 
@@ -22,9 +23,9 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from matchflow.llm.common import map_columns
+from matchflow.llm.common import map_columns, once_per_worker
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 CACHE_LENGTH = 64
 KEYS_PER_BUCKET = 4
 WORD = (1 << 64) - 1
@@ -194,8 +195,10 @@ def encode_digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.
     table = PerfectHash(tokens)
     shared = docs.sparkSession.sparkContext.broadcast((tokens, *table.tables(), table.seed, pattern))
 
+    call = uuid.uuid4().hex
+
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
-        encoder = Encoder(*shared.value)
+        encoder = once_per_worker(call, lambda: Encoder(*shared.value))
         for doc_ids, texts in batches:
             n, a, b = [], [], []
             for text in texts:

@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[str, object] = {}
+
+
+def once_per_worker(call: str, make: Callable[[], object]):
+    """What ``make`` returns, made once per Python worker and call; that of another call is let go."""
+    if call not in _kept:
+        _kept.clear()
+        _kept[call] = make()
+    return _kept[call]
+
+
 def map_columns(df: DataFrame, columns: Sequence[str], work: Callable[[Iterator[list[list]]], Iterable[dict]], schema: str) -> DataFrame:
     """Run ``work`` on each partition; it gets lists of Python values per column, batch by batch.
 
