@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchflow.llm import ann_forest, byte_bpe, multiset_hash, packing, pu_quality, simhash_bk, suffix_dedup, toxicity
+from matchflow.llm import ann_forest, byte_bpe, line_templates, multiset_hash, packing, pu_quality, simhash_bk, suffix_dedup, toxicity
 from matchflow.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pu_quality.score(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -46,5 +50,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_line_templates, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
+ORACLE_SQL: dict[str, str] = {"op3_line_templates": line_templates.ORACLE_SQL}
