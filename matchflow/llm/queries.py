@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchflow.llm import ann_forest, byte_bpe, line_templates, multiset_hash, packing, pu_quality, simhash_bk, suffix_dedup, toxicity
+from matchflow.llm import ann_forest, byte_bpe, line_templates, multiset_hash, packing, pu_quality, revisits, simhash_bk, suffix_dedup, toxicity
 from matchflow.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op4_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.captures_of(table(spark, sf_dir, "pages")))
+    headers = [F.col("headers")[name].alias(name.replace("-", "_")) for name in ("cache-control", "content-length", "content-type", "server")]
+    return found.select("record_id", "key", "outcome", "resolved_id", *headers)
+
+
 def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pu_quality.score(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -50,5 +56,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_line_templates, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
-ORACLE_SQL: dict[str, str] = {"op3_line_templates": line_templates.ORACLE_SQL}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_line_templates, op4_revisit_resolution, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
+ORACLE_SQL: dict[str, str] = {"op3_line_templates": line_templates.ORACLE_SQL, "op4_revisit_resolution": revisits.ORACLE_SQL}
