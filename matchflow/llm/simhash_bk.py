@@ -1,7 +1,8 @@
 """SimHash fingerprints and near duplicates by BK-trees.
 
-Two fingerprints of 64 bits that differ in at most three agree in one of four blocks of 16 bits at least, so the shards of
-the search are the fingerprints with one block in common: each gets a BK-tree, in which a child hangs on its parent by the
+Two fingerprints of 64 bits that differ in at most three agree in one of four blocks of 16 bits at least (in general, with
+more blocks, in as many as these exceed the radius), so the shards of the search are the fingerprints with these blocks in
+common: each gets a BK-tree, in which a child hangs on its parent by the
 Hamming distance between the two, and a search follows only the edges whose distance is within the radius of its own.
 Fingerprints are made distinct first. A shard of more than ``shard_rows`` is cut into several trees, and its fingerprints
 are sent to each of them as queries, so no task holds more than a tree and its queries. A shard returns the links of a
@@ -11,7 +12,7 @@ spanning forest, not all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -134,10 +135,16 @@ def forest(members: np.ndarray, queries: np.ndarray, radius: int) -> tuple[list[
 
 def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Edges a, b whose components are those of all pairs within the radius; ``distinct`` has the column bits."""
-    if blocks <= radius or 64 % blocks:
+    if blocks <= radius or 64 % blocks or (blocks - radius) * (64 // blocks) > 62:
         raise ValueError("more blocks than the radius, dividing 64, are needed")
     width = 64 // blocks
-    keys = [F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("bits", i * width).bitwiseAND((1 << width) - 1).alias("key")) for i in range(blocks)]
+    block = [F.shiftrightunsigned("bits", i * width).bitwiseAND((1 << width) - 1) for i in range(blocks)]
+    keys = []
+    for number, agree in enumerate(combinations(range(blocks), blocks - radius)):
+        key = F.lit(0).cast("bigint")
+        for i in agree:
+            key = F.shiftleft(key, width) + block[i]
+        keys.append(F.struct(F.lit(number).alias("block"), key.alias("key")))
     rows = distinct.select("bits", F.explode(F.array(*keys)).alias("k")).select("bits", "k.block", "k.key")
     hot = rows.groupBy("block", "key").count().where(F.col("count") > shard_rows).select("block", "key", F.ceil(F.col("count") / shard_rows).cast("int").alias("trees"))
     rows = rows.join(hot, ["block", "key"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
@@ -178,7 +185,7 @@ def _cut(columns: list[np.ndarray], starts: np.ndarray) -> Iterator[tuple[tuple,
         yield (columns[0][x], columns[1][x], columns[2][x]), bits[x:y], columns[3][x:y]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Columns doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id of its component).
 
     Every row gets a row. Null and empty texts, and texts without words, have fingerprint zero and are linked like others.
@@ -187,17 +194,55 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, r
     """
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
-    found = components(links(distinct.select("bits"), radius, shard_rows=shard_rows))
+    found = components(links(distinct.select("bits"), radius, blocks, shard_rows))
     rooted = distinct.join(found.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("bits", "root").join(least, "root").select("bits", "component_id")
     return prints.join(named, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; all columns stay as they are.
+def similarity(a: str | None, b: str | None, words: int) -> float:
+    """Jaccard similarity of the sets of ``words``-word shingles; 1 for equal texts."""
+    if a == b:
+        return 1.0
+    x, y = (shingles(t, words) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
 
-    Rows with a null id stay. Of several rows with the same id all stay or go together.
+
+def shingles(text: str | None, words: int) -> set[int]:
+    parts = (text or "").encode().translate(LOWER).split()
+    return {xxhash.xxh3_64_intdigest(b" ".join(parts[i : i + words])) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def drop_near_copies(
+    docs: DataFrame, least: float = 0.8, words: int = 5, rounds: int = 3, shingle: int = SHINGLE, seed: int = SEED, radius: int = 6, blocks: int = 8, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """The rows of ``docs`` without near copies of rows that stay; all columns stay as they are.
+
+    The fingerprints' components are candidates only: a row goes if the Jaccard similarity of its ``words``-word shingles to
+    the row of the smallest id of its component reaches ``least``. Rows that do not are grouped once more among
+    themselves, ``rounds`` times in all; what then is still unlike its group stays. Nothing goes that is unlike all rows that
+    stay. Rows with a null id stay; of several rows with one id all stay or go together, and the smallest text counts.
     """
-    kept = near_duplicates(docs, **settings).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    parts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text").alias("text"))
+    open_ = near_duplicates(parts, shingle, seed, radius, blocks, shard_rows)
+
+    @F.pandas_udf("boolean")
+    def alike(a, b):
+        import pandas as pd
+
+        return pd.Series([similarity(x, y, words) >= least for x, y in zip(a, b)], dtype=bool)
+
+    gone = None
+    for turn in range(rounds):
+        pairs = open_.where("doc_id <> component_id").select("doc_id", "component_id")
+        first = pairs.select("component_id").distinct().join(parts.select(F.col("doc_id").alias("component_id"), F.col("text").alias("first_text")), "component_id")
+        judged = pairs.join(parts, "doc_id").join(first, "component_id").withColumn("copy", alike("text", "first_text"))
+        judged = materialise(judged.select("doc_id", "copy"), "judged")
+        copies = judged.where("copy").select("doc_id")
+        gone = copies if gone is None else gone.unionByName(copies)
+        rest = judged.where("NOT copy").select("doc_id")
+        if turn + 1 == rounds or rest.isEmpty():
+            break
+        open_ = near_duplicates(parts.join(rest, "doc_id", "left_semi"), shingle, seed, radius, blocks, shard_rows)
+    return docs.join(gone, "doc_id", "left_anti")
