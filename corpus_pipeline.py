@@ -1,13 +1,65 @@
-"""From raw documents to packed sequences: the stages of the training-data pipeline."""
+"""From raw documents to packed sequences: the stages of the training-data pipeline.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before has kept. All but the last return the columns of
+the documents; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from matchflow.llm import line_templates, packing, pu_quality, simhash_bk, suffix_dedup
+from matchflow.llm.common import table
+from matchflow.session import materialise
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return pu_quality.keep_good(docs, pu_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """n_chars as of the text that is left."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go from all documents but the first."""
+    return counted(line_templates.drop_recurring(docs).drop("n_lines", "n_dropped"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash_bk.drop_near_copies(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes and more that stand elsewhere too are cut out."""
+    return counted(suffix_dedup.without_repeats(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_array_dedup),
+    ("packing", best_fit_packing),
+]
 
-STAGES: list = []
+#: A trained classifier, whole-text matching and a tokenizer are not for SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet and read again."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    name, stage = STAGES[-1]
+    return materialise(stage(spark, docs, sf_dir), name)
