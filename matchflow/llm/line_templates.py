@@ -2,8 +2,8 @@
 
 A line goes down the tree by its number of tokens and its DEPTH leading tokens; tokens with a digit are a field from the
 start. In the leaf that it reaches, a token stays if it stands at its place in the lines of MIN_DOCUMENTS documents, else the
-place becomes a field too. A line whose places are constant for the share CONSTANT at least has a template: its tokens with
-fields as ``<*>``. A template that MIN_DOCUMENTS documents have is recurring; its lines are dropped from all documents but
+place becomes a field too. A line has a template, its tokens with fields as ``<*>``, if at least the share CONSTANT of its
+tokens without digits stays. A template that MIN_DOCUMENTS documents have is recurring; its lines are dropped from all documents but
 the first by id, which keeps them. Lines of fewer than MIN_TOKENS tokens say too little to be told apart from prose.
 
 Unlike an online tree the result does not depend on the order of the lines. Only lines in leaves that enough documents reach
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchflow.llm.suffix_dedup import keyed
+from matchflow.llm.suffix_dedup import keyed, row_columns, whole_rows
 from matchflow.session import materialise
 
 DEPTH = 3
@@ -44,10 +44,10 @@ def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth:
     often = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("often")).where(F.col("often") >= min_documents).drop("often")
     kept = tokens.drop("docs").join(often.withColumn("stays", F.lit(True)), ["leaf", "place", "token"], "left")
     stays = F.coalesce("stays", F.lit(False)) & (F.col("token") != FIELD)
-    placed = F.struct("place", F.when(stays, F.col("token")).otherwise(FIELD).alias("token"))
+    placed = F.struct("place", F.when(stays, F.col("token")).otherwise(FIELD).alias("token"), (F.col("token") == FIELD).alias("digits"))
     shaped = kept.groupBy("leaf", "line").agg(F.array_sort(F.collect_list(placed)).alias("places"))
-    share = F.size(F.filter("places", lambda p: p["token"] != FIELD)) / F.size("places")
-    templates = shaped.where(share >= constant).select("leaf", "line", F.array_join(F.transform("places", lambda p: p["token"]), " ").alias("template"))
+    stay, digits = F.size(F.filter("places", lambda p: p["token"] != FIELD)), F.size(F.filter("places", lambda p: p["digits"]))
+    templates = shaped.where((stay > 0) & (stay >= constant * (F.size("places") - digits))).select("leaf", "line", F.array_join(F.transform("places", lambda p: p["token"]), " ").alias("template"))
     having = reached.join(templates, ["leaf", "line"])
     per_document = having.groupBy("leaf", "template", "k1", "k2").agg(F.lit(1).alias("one"))
     recurring = per_document.groupBy("leaf", "template").agg(F.count("*").alias("documents"), F.min(F.struct("k1", "k2")).alias("least"))
@@ -69,7 +69,8 @@ def drop_recurring(
     have no lines; an empty text has one, which is never dropped. A null id counts as 0 for which document is first; of two
     documents of one id the text's hash decides. Columns n_lines and n_dropped of the input are replaced, others stay.
     """
-    rows = keyed(docs.drop("n_lines", "n_dropped"))
+    docs = docs.drop("n_lines", "n_dropped")
+    rows = keyed(whole_rows(docs))
     found = recurring_lines(rows, min_documents, min_tokens, depth, constant).where("NOT first")
     drops = found.groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
     lines = F.split("text", "\n")
@@ -78,7 +79,7 @@ def drop_recurring(
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(count(lines)).cast("bigint"))
     out = out.withColumn("n_dropped", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - count(F.col("left"))).cast("bigint"))
-    return out.withColumn("text", F.array_join("left", "\n")).select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    return out.withColumn("text", F.array_join("left", "\n")).select(*row_columns(docs), "n_lines", "n_dropped")
 
 
 #: DuckDB SQL for the rows of the query, with the parameters above. Of one id there is one text in the given tables.
@@ -101,10 +102,11 @@ WITH lines AS (
 ), shaped AS (
     SELECT n, lead, m,
            string_agg(CASE WHEN o.token IS NULL OR t.token = '{FIELD}' THEN '{FIELD}' ELSE t.token END, ' ' ORDER BY t.place) AS template,
-           count(*) FILTER (WHERE o.token IS NOT NULL AND t.token <> '{FIELD}') AS kept
+           count(*) FILTER (WHERE o.token IS NOT NULL AND t.token <> '{FIELD}') AS stay,
+           count(*) FILTER (WHERE t.token <> '{FIELD}') AS plain
     FROM tokens t LEFT JOIN often o USING (n, lead, place, token) GROUP BY n, lead, m
 ), having_it AS (
-    SELECT doc_id, n, lead, m, template FROM per_doc JOIN shaped USING (n, lead, m) WHERE kept / n >= {CONSTANT}
+    SELECT doc_id, n, lead, m, template FROM per_doc JOIN shaped USING (n, lead, m) WHERE stay > 0 AND stay >= {CONSTANT} * plain
 ), recurring AS (
     SELECT n, lead, template, min(doc_id) AS first_id FROM having_it GROUP BY ALL HAVING count(DISTINCT doc_id) >= {MIN_DOCUMENTS}
 ), dropped AS (

@@ -27,7 +27,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchflow.llm.common import map_columns
@@ -126,6 +126,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "k2": F.xxhash64(F.coalesce("text", F.lit("")), F.col("doc_id").isNull())})
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row as one column, so that no other column's name clashes with those of the work."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"))
+
+
+def row_columns(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` out of whole_rows, the text as it has become."""
+    return [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+
+
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
     """Rows (target, kind, blob) sorted by target: each target with its kinds and blobs."""
     rows = ((t, kind, blob) for batch in batches for t, kind, blob in zip(*(c.to_pylist() for c in batch.columns)))
@@ -532,7 +542,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **settings) -> DataFr
 
     Null texts stay null, all other columns stay as they are.
     """
-    rows = keyed(docs)
+    rows = keyed(whole_rows(docs))
     found = rows.join(repeated_spans(rows, length, **settings), ["k1", "k2"], "left")
 
     @F.pandas_udf("string")
@@ -546,4 +556,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **settings) -> DataFr
 
         return pd.Series([one(t, s) for t, s in zip(texts, all_spans)], dtype=object)
 
-    return found.withColumn("text", kept("text", "spans")).select(docs.columns)
+    return found.withColumn("text", kept("text", "spans")).select(*row_columns(docs))
