@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,10 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
         width = (1 << BUCKETS_LOG) + EXTRA
         return Model(np.zeros(width), np.ones(width), np.zeros(width), float(odds))
     mean, scale = u.mean(axis=0), u.std(axis=0) + 1e-3
-    p, u = (np.clip((x - mean) / scale, -6, 6) for x in (p, u))
+    for x in (p, u):  # in place: the driver holds each sample once
+        x -= mean
+        x /= scale
+        np.clip(x, -6, 6, out=x)
     weights, intercept = descend(non_negative_gradient(p, u, prior), len(mean), PENALTY)
     return Model(mean, scale, weights, intercept)
 
@@ -98,11 +102,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
 def _vectors(docs: DataFrame) -> np.ndarray:
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
         for ids, texts in batches:
-            yield {"doc_id": ids, "x": [features(t or "").astype(np.float32).tobytes() for t in texts]}
-
-    rows = map_columns(docs, ["doc_id", "text"], work, "doc_id bigint, x binary").toPandas()
-    rows = rows.assign(x=rows["x"].map(bytes)).sort_values(["doc_id", "x"])
-    return np.array([np.frombuffer(x, np.float32) for x in rows["x"]], np.float64).reshape(len(rows), (1 << BUCKETS_LOG) + EXTRA)
+            yield {"doc_id": ids, "x": [zstandard.compress(features(t or "").astype(np.float32).tobytes()) for t in texts]}
+
+    rows = map_columns(docs, ["doc_id", "text"], work, "doc_id bigint, x binary").collect()
+    rows = sorted((r["doc_id"], bytes(r["x"])) for r in rows)
+    out = np.empty((len(rows), (1 << BUCKETS_LOG) + EXTRA), np.float32)
+    for i, (_, packed) in enumerate(rows):
+        out[i] = np.frombuffer(zstandard.decompress(packed), np.float32)
+    return out
 
 
 def score(docs: DataFrame, model: Model, folds: int = FOLDS, held_out: int = HELD_OUT, threshold: float = THRESHOLD) -> DataFrame:
