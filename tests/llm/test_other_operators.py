@@ -33,7 +33,7 @@ def labelled(spark, rows):
 
 def test_risk_is_never_negative():
     x = np.eye(3)
-    as_bad = pu_quality.non_negative_gradient(x, x[:1], 0.9)(np.array([5.0, 5.0, 5.0]), 0.0)[0]
+    as_bad = pu_quality.non_negative_gradient(x, x[:1], 0.9)(np.array([-5.0, 5.0, 5.0]), 0.0)[0]
     assert as_bad[1] > 0  # the risk of the bad is below zero here, so the step undoes it
 
 
