@@ -11,6 +11,7 @@ every shard wastes one bin at most, and all bins below ``reopen`` are packed onc
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -22,25 +23,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from matchflow.llm.common import map_columns
+from matchflow.llm.common import map_columns, once_per_worker
 from matchflow.session import materialise
 
 CAPACITY = 2048
 SEPARATOR = 0
 SHARD_PIECES = 4096
 REOPEN = 0.98
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 CACHE_LENGTH = 64
+LATIN_END = "\u0250"  # letters below are letters in every version of Unicode
 UNSAFE = re.compile(r" (?!\S)|<\|")  # white space after a space, and what may begin a special token
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies: itself, or the next unused from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Ids of a word after a space, as little-endian unsigned 32-bit integers; itself the bounded cache of words."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.letters = byte_letters()
+        self.model = tokenizer.model
+        self.marks = {mark: self.plain(mark) for mark in ",."}
+
+    def letters_only(self, word: str) -> bytes:
+        """Ids of a space and letters, which the splitter leaves whole: the model alone is asked."""
+        piece = (" " + word).encode().decode("latin-1").translate(self.letters)
+        return np.asarray([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -51,7 +68,11 @@ class WordIds(dict):
             if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
                 line_break = self.plain("\n")
                 return line_break.join([self[lines[0]], *map(self.plain, lines[1:])])
-        out = self.plain(" " + word)
+        stem, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
+        if stem.isalpha() and max(stem) < LATIN_END:
+            out = self.letters_only(stem) + mark
+        else:
+            out = self.plain(" " + word)
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -82,8 +103,10 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     end = np.asarray([SEPARATOR], "<u4").tobytes()
 
+    call = uuid.uuid4().hex
+
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
-        words = WordIds(Tokenizer.from_str(shared.value))
+        words = once_per_worker(call, lambda: WordIds(Tokenizer.from_str(shared.value)))
         for doc_ids, texts in batches:
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for doc_id, text in zip(doc_ids, texts):
