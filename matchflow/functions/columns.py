@@ -82,11 +82,11 @@ def rounded(value: Column | str, digits: int = 2) -> Column:
     return F.bround(_col(value), digits)
 
 
-def season_number(season: Column | str, mode: str = "stream") -> Column:
+def season_number(season: Column | str, mode: str = "stream", strict: bool = True) -> Column:
     """Season text as a number: ``2020`` is 2020, ``2007/08`` is the middle of its two years.
 
     ``mode="stream"`` reads the second part as a two-digit year of this century (2007.5);
-    ``mode="batch"`` takes it as it stands (1007.5). Text that fits neither form is an error.
+    ``mode="batch"`` takes it as it stands (1007.5). Text that fits neither form is an error, or null unless ``strict``.
     """
     text = _col(season).cast("string")
     parts = F.split(text, "/")
@@ -96,5 +96,7 @@ def season_number(season: Column | str, mode: str = "stream") -> Column:
         F.when(F.size(parts) == 1, first.cast("double"))
         .when(F.size(parts) == 2, (first + century + second) / F.lit(2.0))
     )
+    if not strict:
+        return number
     invalid = F.raise_error(F.concat(F.lit("Invalid season: "), text)).cast("double")
     return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(number, invalid))

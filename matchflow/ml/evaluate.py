@@ -34,12 +34,12 @@ def classification_metrics(
     classes = (
         pairs.select(F.explode(sides).alias("s"), "loss")
         .groupBy("s.c")
-        .agg(F.sum("s.actual").alias("actual"), F.sum("s.said").alias("said"), F.sum("s.hit").alias("hit"), (F.sum("loss") / 2).alias("loss"))
+        .agg(F.sum("s.actual").alias("actual"), F.sum("s.said").alias("said"), F.sum("s.hit").alias("hit"), F.sum("loss").alias("loss"))
     )
     precision = F.coalesce(F.try_divide("hit", "said"), F.lit(0.0))
     recall = F.coalesce(F.try_divide("hit", "actual"), F.lit(0.0))
     per_class = classes.select(
-        "actual", "hit", precision.alias("precision"), recall.alias("recall")
+        "actual", "hit", "loss", precision.alias("precision"), recall.alias("recall")
     ).withColumn(
         "f1",
         F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)),
@@ -49,9 +49,9 @@ def classification_metrics(
         F.avg("precision").alias("precision"),
         F.avg("recall").alias("recall"),
         F.avg("f1").alias("f1_score"),
+        # every pair's loss stands at its label and at its prediction
+        *([(F.sum("loss") / 2 / F.sum("actual")).alias("log_loss")] if probability is not None else []),
     )
-    if probability is not None:
-        metrics = metrics.withColumn("log_loss", pairs.agg(F.sum("loss") / F.sum("n")).scalar())
     return _long(metrics)
 
 

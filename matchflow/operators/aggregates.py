@@ -20,8 +20,8 @@ QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Total, non-null and null count per column, from one scan that only counts."""
     names = list(columns or df.columns)
-    counts = df.agg(F.count(F.lit(1)).alias("__total"), *[F.count(F.col(f"`{c}`")).alias(c) for c in names])
-    long = counts.unpivot("__total", names, "column_name", "non_null_count")
+    counts = [F.struct(F.lit(c).alias("column_name"), F.count(F.col(f"`{c}`")).alias("non_null_count")).alias(f"c{i}") for i, c in enumerate(names)]
+    long = df.agg(F.count(F.lit(1)).alias("__total"), *counts).select("__total", F.inline(F.array(*[f"c{i}" for i in range(len(names))])))
     return long.select(
         "column_name",
         F.col("__total").alias("total_rows"),
@@ -42,18 +42,18 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.struct(
             F.lit(i).alias("__at"),
             F.lit(c).alias("column_name"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        ).alias(c)
+            F.count(F.col(f"`{c}`")).alias("count"),
+            F.avg(F.col(f"`{c}`")).alias("mean"),
+            F.stddev_samp(F.col(f"`{c}`")).alias("std"),
+            F.min(F.col(f"`{c}`")).cast("double").alias("min"),
+            F.max(F.col(f"`{c}`")).cast("double").alias("max"),
+        ).alias(f"c{i}")
         for i, c in enumerate(names)
     ]
-    summary = df.agg(*described).select(F.inline(F.array(*names)))
+    summary = df.agg(*described).select(F.inline(F.array(*[f"c{i}" for i in range(len(names))])))
 
     # columns go by number here, which keeps the grouping keys at a fixed width
-    values = F.array(*[F.col(c).cast("double") for c in names])
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
     long = df.select(F.posexplode(values).alias("__at", "value")).filter(F.col("value").isNotNull())
     counted = long.groupBy("__at", "value").agg(F.count(F.lit(1)).alias("__n"))
     ranked = running(counted, ["__at"], ["value"], {"__upto": Total("__n")}, profile=long)

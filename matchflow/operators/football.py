@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from matchflow.functions import football
-from matchflow.operators.running import CHUNK, Previous, Total, cut, has_hot_groups, hot_cuts, running
+from matchflow.operators.joins import one_per_key
+from matchflow.operators.running import CHUNK, Previous, Total, attach, cut, has_hot_groups, hot_cuts, running
 
 # sides as numbers keep first- and last-side aggregates in fixed-width hash buffers
 _SIDE_CODES = {"home": 1, "away": 2}
@@ -20,13 +21,16 @@ def _side_code(side: Column) -> Column:
 
 
 def join_matches(events: DataFrame, matches: DataFrame) -> DataFrame:
-    """Events of known matches with the side of their team and the result of their match."""
+    """Events of known matches with the side of their team and the result of their match.
+
+    A match that was landed more than once counts once, with its largest row.
+    """
     teams = [F.col(c).try_cast("bigint").alias(c) for c in ("team1_teamId", "team2_teamId")]
     sides = matches.select("match_id", *teams, "team1_side", "team2_side", "winner")
     columns = ("team1_teamId", "team1_side", "team2_teamId", "team2_side")
     result = football.match_result(F.col("winner"), *[F.col(c) for c in columns])
     side = football.team_side(F.col("team_id"), *[F.col(c) for c in columns])
-    dimension = sides.withColumn("result", result).drop("winner")
+    dimension = one_per_key(sides.withColumn("result", result).drop("winner"), "match_id")
     return events.join(dimension, "match_id").withColumn("side", side).drop(*columns)
 
 
@@ -51,7 +55,7 @@ def shift_second_half(
     half = F.max(F.when(F.col(period) == "1H", F.col(second)))
     if hot:
         ends = events.groupBy(match).agg(half.alias("__half"))
-        timed = events.join(ends, match, "left")
+        timed = attach(events, ends, [match])
     else:
         timed = events.withColumn("__half", half.over(Window.partitionBy(match)))
     moved = F.when(F.col(period) == "2H", F.col(second) + F.col("__half")).otherwise(F.col(second))

@@ -26,14 +26,21 @@ def enrich(
     return facts.join(side, F.col(key) == F.col("__key"), how).drop("__key")
 
 
+def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per key: of several, as after a repeated landing, the largest by its columns from left to right."""
+    rest = [c for c in df.columns if c not in keys]
+    largest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row"))
+    return largest.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+
+
 def enrich_age(facts: DataFrame, drivers: DataFrame, year: int, key: str = "driver") -> DataFrame:
     """Add the age that each driver reaches in ``year``; null for drivers not in the table."""
-    ages = drivers.select("driverId", years_since("dob", year).alias("age")).distinct()
+    ages = drivers.select("driverId", years_since("dob", year).alias("age")).groupBy("driverId").agg(F.max("age").alias("age"))
     return enrich(facts, ages, key, "driverId", ["age"])
 
 
 def enrich_circuit(facts: DataFrame, races: DataFrame, key: str = "race_id") -> DataFrame:
-    return enrich(facts, races, key, "raceId", ["circuitId"])
+    return enrich(facts, one_per_key(races.select("raceId", "circuitId"), "raceId"), key, "raceId", ["circuitId"])
 
 
 def enrich_side(
@@ -41,13 +48,13 @@ def enrich_side(
 ) -> DataFrame:
     """Side of the event's team, ``unknown`` for a foreign team or an unknown match.
 
-    ``matches`` has the columns of the match dimension and one row per match. ``events`` may be a
-    stream.
+    ``matches`` has the columns of the match dimension; a match that is in it more than once counts once. ``events`` may
+    be a stream.
     """
     dimension = matches.select(
         F.col("matchId").alias("__key"), *[F.col(c) for c in ("team1_id", "team2_id", "team1_side", "team2_side")]
     )
-    joined = events.join(dimension, F.col(key) == F.col("__key"), "left")
+    joined = events.join(one_per_key(dimension, "__key"), F.col(key) == F.col("__key"), "left")
     value = football.team_side(*[F.col(c) for c in (team, "team1_id", "team1_side", "team2_id", "team2_side")])
     return joined.withColumn(side, value).drop("__key", "team1_id", "team2_id", "team1_side", "team2_side")
 
@@ -66,32 +73,28 @@ def label_tags(
     df: DataFrame,
     tags: str,
     names: DataFrame,
-    row_keys: Sequence[str],
     labels: str = "tags_labels",
     default: str = "Unknown",
     map_entries: int = MAP_ENTRIES,
 ) -> DataFrame:
-    """Add the label of every tag code in an array column.
+    """Add the label of every tag code in an array column; null for a null array.
 
-    A dictionary of at most ``map_entries`` rows becomes a literal map and needs no join. A larger
-    one is joined to the exploded codes, whose labels are put back in order per row; ``row_keys``
-    identify a row.
+    Of several labels of one code the largest counts, and entries without a code do not. A dictionary of at most
+    ``map_entries`` codes becomes a literal map and needs no join. A larger one is joined to the exploded codes of numbered
+    rows, which carries every row through one shuffle; both ways give the same result, copies of rows included.
     """
-    entries = names.select("Tag", "Label").limit(map_entries + 1).collect()
+    one_name = names.where(F.col("Tag").isNotNull()).groupBy("Tag").agg(F.max("Label").alias("Label"))
+    entries = one_name.limit(map_entries + 1).collect()
     if len(entries) <= map_entries:
         pairs = {row.Tag: row.Label for row in entries}
         known = literal_map(pairs) if pairs else F.lit(None).cast("map<int,string>")
         return df.withColumn(labels, map_labels(tags, known, default))
-    codes = df.select(*row_keys, F.posexplode(tags).alias("__at", "Tag"))
-    one_name = names.groupBy("Tag").agg(F.max("Label").alias("Label"))
-    named = codes.join(one_name, "Tag", "left").select(
-        *row_keys, F.struct("__at", F.coalesce("Label", F.lit(default)).alias("label")).alias("__named")
-    )
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    rows = df.select(F.monotonically_increasing_id().alias("__id"), whole)
+    codes = rows.select("__id", "__row", F.posexplode_outer(F.col("__row")[tags]).alias("__at", "Tag"))
+    named = codes.join(one_name, "Tag", "left")
+    label = F.when(F.col("__at").isNotNull(), F.struct("__at", F.coalesce("Label", F.lit(default)).alias("label")))
     # a row's labels are as many as its codes, so the collected arrays stay small
-    back = named.groupBy(*row_keys).agg(
-        F.transform(F.array_sort(F.collect_list("__named")), lambda x: x["label"]).alias(labels)
-    )
-    no_labels = F.array().cast("array<string>")
-    return df.join(back, list(row_keys), "left").withColumn(labels, F.coalesce(labels, no_labels))
-
-
+    back = named.groupBy("__id").agg(F.first("__row").alias("__row"), F.array_sort(F.collect_list(label)).alias("__named"))
+    found = F.when(F.col("__row")[tags].isNotNull(), F.transform("__named", lambda x: x["label"]))
+    return back.select(*[F.col("__row")[c].alias(c) for c in df.columns if c != labels], found.alias(labels))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from matchflow.operators.running import Low, Mean, RollingMean, Stat, Std, has_hot_groups, running
+from matchflow.operators.running import Low, Mean, RollingMean, Stat, Std, attach, has_hot_groups, running
 
 ROLLING_LAPS = 5
 
@@ -47,7 +47,7 @@ def lap_features(
     keys = [race, driver]
     if has_hot_groups(laps, keys):
         stats = running(laps, keys, [lap], position_statistics(position, ddof))
-        out = stats.join(final_positions(laps, race, driver, lap, position), keys)
+        out = attach(stats, final_positions(laps, race, driver, lap, position), keys)
     else:
         stats = running(laps, keys, [lap], position_statistics(position, ddof), already_cut=True)
         out = stats.withColumn("final_position", F.max_by(position, lap).over(Window.partitionBy(*keys)))

@@ -40,8 +40,8 @@ from matchflow.session import materialise
 
 ROWS_PER_CHUNK = 20_000_000
 ROWS_PER_CHUNK_CONF = "spark.matchflow.rowsPerChunk"
-MAX_CHUNKS = 2000
-QUANTILE_ACCURACY = 20_000
+MAX_CHUNKS = 1 << 14  # of one group: 3 * 10^11 rows at the default size; chunks of larger groups grow
+LEAST_GRID, LARGEST_GRID = 2000, 1 << 16  # quantiles that cut points are chosen from
 
 CHUNK = "__chunk"
 _CUTS = "__cuts"
@@ -293,19 +293,21 @@ def hot_cuts(
     hot = _hot_groups(axis, keys, limit)
     if hot.isEmpty():
         return None
-    shares = ",".join(f"{i / MAX_CHUNKS:.4f}" for i in range(1, MAX_CHUNKS))
+    largest = hot.agg(F.max("__rows")).first()[0]
+    grid_size = max(LEAST_GRID, min(LARGEST_GRID, 4 * -(-largest // limit)))
+    shares = ",".join(repr(i / grid_size) for i in range(1, grid_size))
     grid = F.split(F.lit(shares), ",").cast("array<double>")
     quantiles = (
         attach(axis, hot, keys, bounded=True)
         .filter(F.col("__rows").isNotNull())
         .groupBy(*keys)
         .agg(
-            F.percentile_approx("__axis", grid, QUANTILE_ACCURACY).alias("__grid"),
+            F.percentile_approx("__axis", grid, 10 * grid_size).alias("__grid"),
             F.first("__rows").alias("__rows"),
         )
     )
     chunks = F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("__rows") / F.lit(limit))).cast("int")
-    step = F.lit(MAX_CHUNKS) / chunks
+    step = F.lit(grid_size) / chunks
     cuts = F.transform(
         F.sequence(F.lit(1), chunks - 1), lambda i: F.get(F.col("__grid"), F.floor(i * step).cast("int") - 1)
     )
@@ -316,13 +318,12 @@ def _numbered(df: DataFrame, keys: Sequence[str], column: str, cuts: DataFrame,
     """Add the cut points of each row's group and the number of them below the row."""
     out = attach(df, cuts.withColumnRenamed(_CUTS, cuts_as), keys, bounded=True)
     axis = _axis(df, column)
-    out = out.withColumn(chunk_as, F.when(F.col(cuts_as).isNotNull(), F.lit(0)))
-    step = 1 << (MAX_CHUNKS.bit_length() - 1)
-    while step:  # binary search
-        below = F.get(F.col(cuts_as), F.col(chunk_as) + (step - 1)) < axis
-        out = out.withColumn(chunk_as, F.col(chunk_as) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return out
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_CHUNKS.bit_length()))])
+
+    def search(at: Column, step: Column) -> Column:  # binary search
+        return at + F.when(F.get(F.col(cuts_as), at + step - 1) < axis, step).otherwise(F.lit(0))
+
+    return out.withColumn(chunk_as, F.when(F.col(cuts_as).isNotNull(), F.aggregate(steps, F.lit(0), search)))
 
 
 def _splittable(df: DataFrame, column: str) -> bool:

@@ -143,7 +143,7 @@ def over_players(spark, folder):
 
 @register
 def overs_to_first_gap(spark, folder):
-    return files.up_to_first_gap(_overs(spark, folder), size=12).select("match_id", "inning", "over", "over_runs")
+    return files.up_to_first_gap(_overs(spark, folder)).select("match_id", "inning", "over", "over_runs")
 
 
 @register
@@ -159,7 +159,7 @@ def _names(spark: SparkSession) -> DataFrame:
 
 @register
 def tag_labels(spark, folder):
-    labelled = joins.label_tags(_tagged(_events(spark, folder)), "tags", _names(spark), ["event_id"])
+    labelled = joins.label_tags(_tagged(_events(spark, folder)), "tags", _names(spark))
     flags = football.flags_by_label(F.col("event_name"), F.col("tags_labels"))
     return labelled.select(
         "event_id", F.concat_ws(",", "tags_labels").alias("labels"), *[c.alias(n) for n, c in flags.items()]
@@ -168,7 +168,7 @@ def tag_labels(spark, folder):
 
 @register
 def tag_labels_by_join(spark, folder):
-    labelled = joins.label_tags(_tagged(_events(spark, folder)), "tags", _names(spark), ["event_id"], map_entries=0)
+    labelled = joins.label_tags(_tagged(_events(spark, folder)), "tags", _names(spark), map_entries=0)
     return labelled.select("event_id", F.concat_ws(",", "tags_labels").alias("labels"))
 
 
@@ -545,6 +545,118 @@ def stream_overs(spark, folder):
     return rounded(_written(spark, path))
 
 
+@register
+def stream_match_stats_batches(spark, folder):
+    """The same statistics from four micro-batches in order of time, with every match in all of them."""
+    path, staged = fresh_path(spark, "match-stats"), fresh_path(spark, "match-events")
+    events = materialise(_live_events(_events(spark, folder)), "live-events")
+    ends = events.agg(F.percentile_approx("eventSec", [0.25, 0.5, 0.75])).first()[0]
+    for number, (low, high) in enumerate(zip([float("-inf"), *ends], [*ends, float("inf")])):
+        part = events.filter((F.col("eventSec") > low) & (F.col("eventSec") <= high))
+        part.coalesce(1).write.parquet(f"{staged}/part={number}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{staged}/part=*")
+    start_match_statistics(stream, path, f"{path}-checkpoint").awaitTermination()
+    return rounded(_written(spark, path))
+
+
+# --- lookups and odd input --------------------------------------------------------------------
+
+
+@register
+def lookup_laps(spark, folder):
+    laps = _laps(spark, folder).withColumnRenamed("race_id", "raceId")
+    return files.lookup_laps(laps, 3).select("raceId", "driver", "lap", "milliseconds")
+
+
+@register
+def lookup_race(spark, folder):
+    customers = load(spark, folder, "customer")
+    races = customers.select(F.col("c_custkey").alias("raceId"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("date"))
+    return files.lookup_race(races, 7)
+
+
+@register
+def lookup_match_events(spark, folder):
+    """Events of one match in a time range, which reaches the scan as a filter."""
+    chosen = files.lookup_events(_events(spark, folder), 5, 86_400, 1_500_000, "match_id", "event_sec", "match_period")
+    return chosen.select("event_id", "match_id", "match_period")
+
+
+@register
+def blank_strings(spark, folder):
+    segment = F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("segment")
+    balance = F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal")).alias("balance")
+    return files.blank_strings(load(spark, folder, "customer").select("c_custkey", segment, balance))
+
+
+@register
+def union_of_landed_files(spark, folder):
+    """The orders in three landed folders, read and put together again."""
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    parts = []
+    for rest in range(3):
+        path = fresh_path(spark, "landed")
+        save_path(orders.filter(F.col("o_orderkey") % 3 == rest), path)
+        parts.append(spark.read.schema(orders.schema).parquet(path))
+    return aggregates.union_all(parts)
+
+
+@register
+def join_matches(spark, folder):
+    """Events with the result of their match, whose table was landed twice."""
+    users = _events(spark, folder).select("match_id").distinct()
+    matches = users.select(
+        "match_id",
+        (F.col("match_id") % 25).cast("string").alias("team1_teamId"),
+        ((F.col("match_id") + 1) % 25).cast("string").alias("team2_teamId"),
+        F.lit("home").alias("team1_side"),
+        F.lit("away").alias("team2_side"),
+        F.when(F.col("match_id") % 3 == 0, F.lit(0)).otherwise(F.col("match_id") % 25).alias("winner"),
+    )
+    joined = football_ops.join_matches(_events(spark, folder).drop("side"), matches.unionByName(matches))
+    return joined.select("event_id", "match_id", "side", "result")
+
+
+@register
+def lap_features_null_keys(spark, folder):
+    """A third of all races without id, and every tenth lap twice."""
+    laps = _laps(spark, folder).withColumn("race_id", F.when(F.col("race_id") % 3 > 0, F.col("race_id")))
+    again = laps.unionByName(laps.filter(F.col("lap") % 10 == 0))
+    return rounded(lap_features(again, complete_only=False).drop("milliseconds"))
+
+
+@register
+def half_shift_null_match(spark, folder):
+    """A seventh of all events without match; both ways to find the end of the first half."""
+    events = _events(spark, folder).withColumn("match_id", F.when(F.col("match_id") % 7 > 0, F.col("match_id")))
+    both = [
+        football_ops.shift_second_half(events, hot=hot).select("event_id", "event_sec", F.lit(hot).alias("by_join"))
+        for hot in (False, True)
+    ]
+    return rounded(aggregates.union_all(both))
+
+
+@register
+def tag_labels_duplicates(spark, folder):
+    """A dictionary with a second label and a null code, events without tags, and every event twice; both ways."""
+    events = _tagged(_events(spark, folder)).select("event_id", F.when(F.col("event_id") % 9 > 0, F.col("tags")).alias("tags"))
+    events = events.unionByName(events)
+    names = _names(spark).unionByName(spark.createDataFrame([(101, "Aim"), (None, "none")], schemas.TAG_NAMES))
+    both = [
+        joins.label_tags(events, "tags", names, map_entries=n).select(
+            "event_id", F.array_join("tags_labels", ",").alias("labels"), F.lit(n == 0).alias("by_join")
+        )
+        for n in (0, 100)
+    ]
+    return aggregates.union_all(both)
+
+
+@register
+def null_audit_dotted(spark, folder):
+    nation = load(spark, folder, "nation")
+    return aggregates.null_audit(nation.select(F.col("n_name").alias("team1.name"), F.when(F.col("n_nationkey") > 3, 1).alias("a.b")))
+
+
 # --- models -----------------------------------------------------------------------------------
 
 

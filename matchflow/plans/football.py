@@ -41,7 +41,7 @@ def history(events: DataFrame, matches: DataFrame, tag_names: DataFrame, **optio
     number = F.coalesce(F.col("event_id").try_cast("bigint"), F.xxhash64("event_id"))
     joined = football.join_matches(events.withColumn("event_id", number), matches)
     joined = joined.withColumn("tags", fx.int_list("tags_list"))
-    labelled = joins.label_tags(joined, "tags", tag_names, ["match_id", "event_id"])
+    labelled = joins.label_tags(joined, "tags", tag_names)
     flags = rules.flags_by_label(F.col("event_name"), F.col("tags_labels"))
     options = {"offset": "first_half_max", "per_match": ["result"], **options}
     return football.cumulative_stats(labelled, flags, **options)

@@ -438,6 +438,33 @@ SELECT team, count(DISTINCT m) AS matches FROM t GROUP BY team ORDER BY matches
 UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders""",
         "sink_truncate": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "stream_match_stats": _stream_match_stats(),
+        "stream_match_stats_batches": _stream_match_stats(),
+        "lookup_laps": _with(LAPS) + 'SELECT race_id AS "raceId", driver, lap, milliseconds FROM laps WHERE race_id = 3',
+        "lookup_race": "SELECT c_name AS name, c_mktsegment AS date FROM customer WHERE c_custkey = 7",
+        "lookup_match_events": _with(EVENTS) + """SELECT event_id, match_id, match_period FROM ev
+WHERE match_id = 5 AND event_sec + CASE WHEN match_period = '2H' THEN 3600 ELSE 0 END BETWEEN 86400 AND 1500000""",
+        "blank_strings": """SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE '' END AS segment,
+  CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END AS balance FROM customer""",
+        "union_of_landed_files": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+        "join_matches": _with(EVENTS) + """SELECT event_id, match_id,
+  CASE team_id WHEN match_id % 25 THEN 'home' WHEN (match_id + 1) % 25 THEN 'away' ELSE 'unknown' END AS side,
+  CASE WHEN match_id % 3 = 0 AND match_id % 25 <> 0 AND (match_id + 1) % 25 <> 0 THEN 'draw'
+       WHEN match_id % 3 = 0 AND (match_id + 1) % 25 = 0 THEN 'away' ELSE 'home' END AS result FROM ev""",
+        "lap_features_null_keys": _with(LAPS.replace("laps AS", "given AS") + """,
+laps AS (SELECT * REPLACE (CASE WHEN race_id % 3 > 0 THEN race_id END AS race_id)
+         FROM (SELECT * FROM given UNION ALL SELECT * FROM given WHERE lap % 10 = 0))""", LAP_STATS) + """
+SELECT race_id, driver, lap, position, mean_position_up_to_lap, std_position_up_to_lap, min_position_up_to_lap, last_5_laps_mean_position,
+       arg_max(position, lap) OVER (PARTITION BY race_id, driver) AS final_position FROM stats""",
+        "half_shift_null_match": _with(EVENTS) + """, m AS (
+  SELECT * REPLACE (CASE WHEN match_id % 7 > 0 THEN match_id END AS match_id) FROM ev), e AS (
+  SELECT *, max(CASE WHEN match_period = '1H' THEN event_sec END) OVER (PARTITION BY match_id) AS half FROM m)
+SELECT event_id, round(CASE WHEN match_period = '2H' THEN event_sec + half ELSE event_sec END, 4) AS event_sec, by_join
+FROM e, (SELECT unnest([true, false]) AS by_join)""",
+        "tag_labels_duplicates": _with(EVENTS) + f"""SELECT event_id, CASE WHEN event_id % 9 > 0 THEN {labels} END AS labels, by_join
+FROM ev, (SELECT unnest([true, false, true, false]) AS by_join)""",
+        "null_audit_dotted": """SELECT 'team1.name' AS column_name, count(*) AS total_rows, count(n_name) AS non_null_count,
+  count(*) - count(n_name) AS null_count FROM nation
+UNION ALL SELECT 'a.b', count(*), count(*) FILTER (n_nationkey > 3), count(*) - count(*) FILTER (n_nationkey > 3) FROM nation""",
         "stream_lap_stats": _with(LAPS) + """
 SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, CAST(position AS BIGINT) AS position,
        round(avg(position) OVER upto, 4) AS mean_position_up_to_lap,

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from matchflow import schemas
 from matchflow.functions import football
-from matchflow.functions.cricket import OVERS
 
 OVER_FILE = r"cricket_(\d+)_(\d+)_(\d+)"  # fixed value: match, inning and over in the file name
 
@@ -68,7 +68,8 @@ def lookup_events(
     period: str = "matchPeriod",
 ) -> DataFrame:
     """Events of one match in an absolute time range, both ends included."""
-    return events.filter((F.col(match_col) == match) & football.within(F.col(second), F.col(period), start, end))
+    near = F.col(second).between(start - football.HALF_SECONDS, end)  # implied by the range, and pushed into the scan
+    return events.filter((F.col(match_col) == match) & near & football.within(F.col(second), F.col(period), start, end))
 
 
 def lookup_matches(
@@ -149,20 +150,14 @@ def select_matches(df: DataFrame, wanted: DataFrame | Sequence, key: str = "matc
     return df.filter(F.col(key).isin(list(wanted)))
 
 
-def first_missing(ordinal: Column, size: int) -> Column:
-    """Aggregate: the first of the ordinals 0, 1, .. ``size`` - 1 that a group lacks, else ``size``.
-
-    The ordinals that occur are bits of one number, so the aggregate combines map-side.
-    """
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), ordinal)
-    seen = F.coalesce(F.bit_or(F.when(ordinal.between(0, size - 1), bit)), F.lit(0))
-    lowest_gap = (seen + 1).bitwiseAND(F.bitwise_not(seen))
-    return F.round(F.log2(lowest_gap)).cast("int")
-
-
 def up_to_first_gap(
-    overs: DataFrame, keys: Sequence[str] = ("match_id", "inning"), over: str = "over", size: int = OVERS
+    overs: DataFrame, keys: Sequence[str] = ("match_id", "inning"), over: str = "over", size: int | None = None
 ) -> DataFrame:
-    """Overs of each inning from 0 up to the first over that is missing."""
-    ends = overs.groupBy(*keys).agg(first_missing(F.col(over).cast("int"), size).alias("__end"))
-    return overs.join(ends, list(keys)).filter((F.col(over) >= 0) & (F.col(over) < F.col("__end"))).drop("__end")
+    """Overs of each inning from 0 up to the first over that is missing, or to ``size`` overs where the rules end there.
+
+    Before the first gap an over is the number of different overs below it, which one window per inning tells.
+    """
+    numbered = overs.filter(F.col(over) >= 0)
+    order = Window.partitionBy(*keys).orderBy(over)
+    kept = numbered.withColumn("__nth", F.dense_rank().over(order)).filter(F.col(over) == F.col("__nth") - 1).drop("__nth")
+    return kept if size is None else kept.filter(F.col(over) < size)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchflow import schemas
-from matchflow.operators.running import Count, running
+from matchflow.operators.joins import one_per_key
+from matchflow.operators.running import Count, attach, running
 
 MAX_ENTRIES = 100_000  # of one document
 
@@ -21,9 +22,11 @@ def parse_document(text: Column | str, schema: T.StructType) -> Column:
 
 
 def _in_parts(df: DataFrame, key: str, order: Sequence[str], max_entries: int) -> DataFrame:
-    """Number the parts of each group, so that no document holds more than ``max_entries``."""
+    """Number the parts of each group from 0, so that no document holds more than ``max_entries``, and count them."""
     numbered = running(df, [key], order, {"__nth": Count()})
-    return numbered.withColumn("__part", F.floor((F.col("__nth") - 1) / F.lit(max_entries))).drop("__nth")
+    counts = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).alias("__parts"))
+    part = F.floor((F.col("__nth") - 1) / F.lit(max_entries))
+    return attach(numbered, counts, [key]).withColumn("__part", part).drop("__nth")
 
 
 def laps_document(
@@ -32,15 +35,17 @@ def laps_document(
     """One document per race with the given fields of every driver and lap.
 
     A race with more than ``max_entries`` driver laps becomes several documents of the same form,
-    which flatten to the same rows.
+    which flatten to the same rows; ``part`` and ``parts`` say which of how many a document is. Of several rows
+    of one driver and lap the one with the largest fields counts.
     """
-    parts = _in_parts(laps.select("raceId", "lap", "driverId", *fields), "raceId", ["lap", "driverId"], max_entries)
+    once = one_per_key(laps.select("raceId", "lap", "driverId", *fields), "raceId", "lap", "driverId")
+    parts = _in_parts(once, "raceId", ["lap", "driverId"], max_entries)
     entry = F.struct(F.col("driverId").cast("string"), F.struct(*fields))
-    drivers = parts.groupBy("raceId", "__part", "lap").agg(F.map_from_entries(F.collect_list(entry)).alias("drivers"))
+    drivers = parts.groupBy("raceId", "__part", "__parts", "lap").agg(F.map_from_entries(F.collect_list(entry)).alias("drivers"))
     lap = F.struct(F.col("lap").cast("string"), F.struct("drivers"))
-    by_race = drivers.groupBy("raceId", "__part").agg(F.map_from_entries(F.collect_list(lap)).alias("laps"))
+    by_race = drivers.groupBy("raceId", "__part", "__parts").agg(F.map_from_entries(F.collect_list(lap)).alias("laps"))
     races = F.create_map(F.col("raceId").cast("string"), F.struct("laps"))
-    return by_race.select(races.alias("races"))
+    return by_race.select(races.alias("races"), F.col("__part").alias("part"), F.col("__parts").alias("parts"))
 
 
 def lap_message(race: Column, lap: Column, driver: Column, **fields: Column) -> Column:
@@ -80,11 +85,15 @@ def event_objects(events: DataFrame) -> DataFrame:
 
 
 def events_document(events: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """One document per match, or several for a match with more than ``max_entries`` events."""
-    parts = _in_parts(events, "matchId", ["id"], max_entries)
+    """One document per match, or several for a match with more than ``max_entries`` events.
+
+    ``part`` and ``parts`` say which of how many a document is. Of several rows of one event the largest counts.
+    """
+    parts = _in_parts(one_per_key(events, "matchId", "id"), "matchId", ["id"], max_entries)
     entry = F.struct(F.col("id").cast("string"), _event_object())
-    by_match = parts.groupBy("matchId", "__part").agg(F.map_from_entries(F.collect_list(entry)).alias("events"))
-    return by_match.select(F.create_map(F.col("matchId").cast("string"), F.struct("events")).alias("matches"))
+    by_match = parts.groupBy("matchId", "__part", "__parts").agg(F.map_from_entries(F.collect_list(entry)).alias("events"))
+    matches = F.create_map(F.col("matchId").cast("string"), F.struct("events")).alias("matches")
+    return by_match.select(matches, F.col("__part").alias("part"), F.col("__parts").alias("parts"))
 
 
 def single_event_documents(events: DataFrame) -> DataFrame:

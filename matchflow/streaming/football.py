@@ -21,7 +21,7 @@ from matchflow.operators.joins import enrich_side
 from matchflow.operators.running import High, Previous, Total, advance, cut, hot_cuts, running
 from matchflow.sinks.tables import write_batch
 from matchflow.sources.messages import accepted, split_messages
-from matchflow.streaming.state import CarriedState
+from matchflow.streaming.state import CarriedState, live
 
 # events of one second go by a hash of their id: any fixed order will do, and a number can be cut along
 KEY, ORDER = ["matchId"], ["eventSec", "__order"]
@@ -44,8 +44,12 @@ def enrich_events(events: DataFrame, matches: DataFrame, unique_ids: bool = Fals
     return sided.withColumn("event_id", key)
 
 
+def _seen() -> High:
+    return High(F.unix_timestamp(F.current_timestamp()))
+
+
 def _previous() -> dict:
-    return {"__last_sec": Previous("eventSec"), "__last_side": Previous("side")}
+    return {"__last_sec": Previous("eventSec"), "__last_side": Previous("side"), "__seen": _seen()}
 
 
 def match_statistics(
@@ -89,24 +93,17 @@ def match_statistics(
 
     stats = {n: Total(F.col(n).cast("bigint")) for n in schemas.COUNTER_COLUMNS}
     stats |= {n: Total(n) for n in schemas.POSSESSION_COLUMNS}
-    stats["__seen"] = High(F.unix_timestamp(F.current_timestamp()))
+    stats["__seen"] = _seen()
     so_far = totals.before(batch_id) if totals else None
     out = running(timed, KEY, ORDER, stats, initial=so_far, already_cut=True)
     if last_events:
-        last_events.after(_live(advance(rows, KEY, ORDER, _previous(), started), None, None), batch_id)
+        last_events.after(live(advance(rows, KEY, ORDER, _previous(), started), len(_previous()) - 1, ttl_seconds), batch_id)
     if totals:
-        seen = f"__s{len(stats) - 1}"
-        totals.after(_live(advance(timed, KEY, ORDER, stats, so_far), seen, ttl_seconds), batch_id)
+        totals.after(live(advance(timed, KEY, ORDER, stats, so_far), len(stats) - 1, ttl_seconds), batch_id)
     out = out.withColumns(football.differences())
     return out.select(*[F.col(f.name).cast(f.dataType) for f in schemas.MATCH_STATS.fields])
 
 
-def _live(state: DataFrame, seen: str | None, ttl_seconds: int | None) -> DataFrame:
-    if seen is None or ttl_seconds is None:
-        return state
-    return state.filter(F.col(f"{seen}.v") >= F.unix_timestamp(F.current_timestamp()) - ttl_seconds)
-
-
 def start_match_statistics(
     events: DataFrame,
     stats_path: str,

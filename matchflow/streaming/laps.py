@@ -8,11 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from matchflow import schemas
 from matchflow.operators.laps import position_statistics
-from matchflow.operators.running import advance, running
+from matchflow.operators.running import High, advance, running
 from matchflow.sinks.tables import write_batch
 from matchflow.sources.messages import accepted, split_messages
 from matchflow.sources.nested import flatten_laps
-from matchflow.streaming.state import CarriedState
+from matchflow.streaming.state import CarriedState, live
 
 KEY, ORDER = ["race_id", "driver"], ["lap"]
 
@@ -23,18 +23,23 @@ def parse_laps(messages: DataFrame, value: str = "value") -> DataFrame:
     return laps.withColumn("driver", F.col("driver").cast("bigint"))
 
 
-def lap_statistics(laps: DataFrame, batch_id: int, state: CarriedState | None = None, ddof: int = 0) -> DataFrame:
-    """Statistics of all positions up to each lap of a micro-batch; moves the state on."""
-    stats = position_statistics("position", ddof)
+def lap_statistics(
+    laps: DataFrame, batch_id: int, state: CarriedState | None = None, ddof: int = 0, ttl_seconds: int | None = None
+) -> DataFrame:
+    """Statistics of all positions up to each lap of a micro-batch; moves the state on.
+
+    Drivers without laps for longer than ``ttl_seconds`` are forgotten.
+    """
+    stats = position_statistics("position", ddof) | {"__seen": High(F.unix_timestamp(F.current_timestamp()))}
     before = state.before(batch_id) if state else None
     out = running(laps, KEY, ORDER, stats, initial=before)
     if state:
-        state.after(advance(laps, KEY, ORDER, stats, before), batch_id)
-    return out
+        state.after(live(advance(laps, KEY, ORDER, stats, before), len(stats) - 1, ttl_seconds), batch_id)
+    return out.drop("__seen")
 
 
 def start_lap_statistics(
-    laps: DataFrame, path: str, checkpoint: str, ddof: int = 0, trigger: dict | None = None
+    laps: DataFrame, path: str, checkpoint: str, ddof: int = 0, trigger: dict | None = None, ttl_seconds: int | None = None
 ) -> StreamingQuery:
     """Start the live job on a stream of laps; ``checkpoint`` must be a shared folder."""
     state = CarriedState(laps.sparkSession, f"{checkpoint}/laps")
@@ -42,7 +47,7 @@ def start_lap_statistics(
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            out = lap_statistics(batch, batch_id, state, ddof)
+            out = lap_statistics(batch, batch_id, state, ddof, ttl_seconds)
             columns = [F.col(f.name).cast(f.dataType) for f in schemas.LAP_STATS.fields]
             write_batch(out.select("race_id", *columns), path, batch_id)
         finally:

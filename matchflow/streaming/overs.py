@@ -14,15 +14,16 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from matchflow import schemas
 from matchflow.functions import cricket
+from matchflow.functions.columns import season_number
 from matchflow.operators.overs import document_rows, with_rates
 from matchflow.sinks.tables import write_batch
-from matchflow.sources.messages import accepted, split_messages
+from matchflow.sources.messages import SENTINEL, accepted, split_messages
 
 # fixed values: mean runs and wickets per over and inning that fill skipped overs by default
 MEAN_RUNS = {1: 7.61, 2: 7.29}
@@ -56,7 +57,9 @@ class OverProcessor(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         overs = pd.DataFrame()
         for part in rows:
-            overs = pd.concat([overs, part]).drop_duplicates(["inning", "over"])
+            # of different copies of an over the one with the most runs, then wickets, counts
+            overs = pd.concat([overs, part]).sort_values(["inning", "over", "over_runs", "over_wickets"], kind="stable")
+            overs = overs.drop_duplicates(["inning", "over"], keep="last")
         overs = overs.sort_values(["inning", "over"], kind="stable")
 
         if self.state.exists():
@@ -95,11 +98,34 @@ class OverProcessor(StatefulProcessor):
 
 
 def parse_overs(messages: DataFrame, value: str = "value", season_mode: str = "stream") -> DataFrame:
-    """One row per over message; the team that bats first and the inning follow from the toss."""
-    documents = accepted(split_messages(messages, schemas.OVER_DOCUMENT, value)).select("message.*")
+    """One row per over message; the team that bats first and the inning follow from the toss.
+
+    Messages that lack what an over needs are left out and are found by ``rejected_overs``, so that one of them does not
+    end the stream.
+    """
+    parsed = accepted(split_messages(messages, schemas.OVER_DOCUMENT, value))
+    documents = parsed.filter(_lacks(season_mode).isNull()).select("message.*")
     return document_rows(documents, inning=None, season_mode=season_mode).drop("players", "winner")
 
 
+def _lacks(season_mode: str) -> Column:
+    """Why a parsed message is no over; null if it is one."""
+    season = F.col("message.season")
+    no_season = season.isNotNull() & season_number(season, season_mode, strict=False).isNull()
+    reason = F.when(no_season, "season cannot be read")
+    for name in ("deliveries", "players", "team", "over_number", "match_id"):
+        reason = F.when(F.col(f"message.{name}").isNull(), f"no {name}").otherwise(reason)
+    return reason
+
+
+def rejected_overs(messages: DataFrame, value: str = "value", season_mode: str = "stream") -> DataFrame:
+    """Messages that give no over, with the reason, for a dead-letter table; batch or stream."""
+    parsed = split_messages(messages, schemas.OVER_DOCUMENT, value)
+    broken = F.when(F.col(value).contains(SENTINEL), "no data").otherwise("not a JSON object")
+    reason = F.when(F.col("is_object"), _lacks(season_mode)).otherwise(broken)
+    return parsed.select(value, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def carry_overs(
     overs: DataFrame,
     mean_runs: dict | None = None,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class CarriedState:
@@ -25,3 +26,10 @@ class CarriedState:
 
     def after(self, state: DataFrame, batch_id: int) -> None:
         state.write.mode("overwrite").parquet(self._slot(batch_id))
+
+
+def live(state: DataFrame, seen: int, ttl_seconds: int | None) -> DataFrame:
+    """State rows of groups that had input within ``ttl_seconds``; statistic number ``seen`` holds the last time."""
+    if ttl_seconds is None:
+        return state
+    return state.filter(F.col(f"__s{seen}.v") >= F.unix_timestamp(F.current_timestamp()) - ttl_seconds)

@@ -149,9 +149,12 @@ def test_enrich_side(spark):
 @pytest.mark.parametrize("entries", [0, 1000])
 def test_tag_labels_by_map_and_by_join(spark, entries):
     names = spark.createDataFrame([(101, "Goal"), (1801, "accurate")], schemas.TAG_NAMES)
-    df = spark.createDataFrame([(1, [1801, 101, 5]), (2, []), (3, [101, 101])], "id int, tags array<int>")
-    got = {r.id: r.tags_labels for r in joins.label_tags(df, "tags", names, ["id"], map_entries=entries).collect()}
-    assert got == {1: ["accurate", "Goal", "Unknown"], 2: [], 3: ["Goal", "Goal"]}
+    names = names.unionByName(spark.createDataFrame([(101, "Aim"), (None, "none")], schemas.TAG_NAMES))
+    rows = [(1, [1801, 101, 5]), (2, []), (3, [101, 101]), (4, None), (3, [101, 101]), (5, [None])]
+    df = spark.createDataFrame(rows, "id int, tags array<int>")
+    got = sorted(((r.id, r.tags_labels) for r in joins.label_tags(df, "tags", names, map_entries=entries).collect()), key=str)
+    twice = (3, ["Goal", "Goal"])
+    assert got == [(1, ["accurate", "Goal", "Unknown"]), (2, []), twice, twice, (4, None), (5, ["Unknown"])]
 
 
 def test_pruning_and_missing(spark):
@@ -160,3 +163,19 @@ def test_pruning_and_missing(spark):
     assert [r.name for r in joins.pruned(dim, facts, "driverId", "driver").collect()] == ["a"]
     wanted = spark.createDataFrame([(1,), (2,), (2,)], "driver int")
     assert [r.driver for r in joins.missing(wanted, facts, "driver").collect()] == [2]
+
+
+@pytest.mark.parametrize("limit", ["100", "3"])
+def test_null_match_is_moved_alike_when_hot(spark, limit):
+    rows = [(None, float(s), "1H") for s in range(6)] + [(None, 5.0, "2H"), ("1", 2.0, "1H")]
+    df = spark.createDataFrame(rows, "match_id string, event_sec double, match_period string")
+    hot = limit == "3"
+    moved = football.shift_second_half(df, hot=hot)
+    assert sorted(r.event_sec for r in moved.where("match_period = '2H'").collect()) == [10.0]
+
+
+def test_matches_landed_twice_count_once(spark):
+    match = ("1", "10", "11", "home", "away", 10)
+    matches = spark.createDataFrame([match, match], "match_id string, team1_teamId string, team2_teamId string, team1_side string, team2_side string, winner int")
+    events = spark.createDataFrame([("1", 10)], "match_id string, team_id int")
+    assert football.join_matches(events, matches).count() == 1

@@ -67,3 +67,16 @@ def test_enrichment(spark, laps):
 def test_one_shuffle(laps, capsys):
     lap_features(laps).explain()
     assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("chunk", [None, "20"])
+def test_null_keys_stay_when_hot(spark, chunk):
+    rows = [(1 if lap > 10 else None, 7, lap, lap % 5) for lap in range(60)]
+    df = spark.createDataFrame(rows, "race_id int, driver int, lap int, position int")
+    if chunk:
+        spark.conf.set(ROWS_PER_CHUNK_CONF, chunk)
+    try:
+        out = lap_features(df, complete_only=False).collect()
+    finally:
+        spark.conf.unset(ROWS_PER_CHUNK_CONF)
+    assert len(out) == 60 and {r.final_position for r in out if r.race_id is None} == {0}

@@ -19,7 +19,7 @@ def laps(spark, tmp_path):
 
 
 def as_json(df):
-    return json.loads(df.toJSON().first())
+    return json.loads(df.drop("part", "parts").toJSON().first())
 
 
 def test_lap_documents(laps):
@@ -138,10 +138,20 @@ def test_over_files(spark, tmp_path):
     assert sorted((r.inning, r.over) for r in kept.collect()) == [(1, 0), (1, 1), (2, 0)]
 
 
-@pytest.mark.parametrize("present, want", [([0, 1, 2], 3), ([1, 2], 0), ([0, 2, 3], 1), (list(range(20)), 20), ([0, 25, -1], 1)])
-def test_first_missing(spark, present, want):
-    df = spark.createDataFrame([(o,) for o in present], "o int")
-    assert df.agg(files.first_missing(F.col("o"), 20).alias("x")).first().x == want
+@pytest.mark.parametrize("present, want", [([0, 1, 2], 3), ([1, 2], 0), ([0, 2, 3], 1), (list(range(70)), 70), ([0, 25, -1], 1), ([0, 0, 1, 1, 3], 2)])
+def test_overs_before_the_first_gap(spark, present, want):
+    df = spark.createDataFrame([(1, 1, o) for o in present], "match_id int, inning int, over int")
+    kept = files.up_to_first_gap(df)
+    assert sorted({r.over for r in kept.collect()}) == list(range(want))
+    assert files.up_to_first_gap(df, size=1).count() == present.count(0)
+
+
+def test_documents_with_repeated_entries(spark, laps):
+    again = laps.unionByName(laps)
+    documents = nested.laps_document(again)
+    assert {(d.part, d.parts) for d in documents.collect()} == {(0, 1)}
+    flat = nested.flatten_laps(documents.select(F.struct("races").alias("document")))
+    assert {(int(r.race_id), int(r.driver), r.lap, r.position, r.milliseconds) for r in flat.collect()} == set(LAPS)
 
 
 def test_select_matches(spark):

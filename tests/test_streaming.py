@@ -134,9 +134,16 @@ def test_idle_matches_are_forgotten(spark, tmp_path):
     last, totals = CarriedState(spark, str(tmp_path / "l")), CarriedState(spark, str(tmp_path / "t"))
     football.match_statistics(batch("1"), 0, last, totals)
     football.match_statistics(batch("2"), 1, last, totals, ttl_seconds=-1)
-    assert totals.before(2).count() == 0
+    assert totals.before(2).count() == 0 and last.before(2).count() == 0
     football.match_statistics(batch("2"), 1, last, totals, ttl_seconds=1000)
-    assert totals.before(2).count() == 2
+    assert totals.before(2).count() == 2 and last.before(2).count() == 2
+
+
+def test_idle_drivers_are_forgotten(spark, tmp_path):
+    state = CarriedState(spark, str(tmp_path / "s"))
+    lap = spark.createDataFrame([("1", 7, 1, 3)], "race_id string, driver bigint, lap bigint, position int")
+    laps.lap_statistics(lap, 0, state, ttl_seconds=-1)
+    assert state.before(1).count() == 0
 
 
 @pytest.mark.parametrize("cuts", [[0, 40], [0, 13, 14, 40]])
