@@ -744,3 +744,37 @@ def feature_importance(spark, folder):
     model = models.train_result_model(_result_history(spark, folder))
     weights = models.feature_importance(model, schemas.FOOTBALL_FEATURES)
     return spark.createDataFrame(weights, "feature string, importance double")
+
+
+@register
+def scored_position_keys(spark, folder):
+    """What is known of the scored laps without the model: the held-out rows, each with a prediction."""
+    scored = train_score_position(spark, folder)
+    return scored.select("race_id", "driver", "lap", "final_position", F.col("prediction").isNotNull().alias("scored"))
+
+
+@register
+def scored_result_checks(spark, folder):
+    """Held-out rows per match, and whether probabilities add up and the label is the likeliest."""
+    scored = train_score_result(spark, folder)
+    p = {n: F.col(f"prob_{n}") for n in ("home_win", "away_win", "draw")}
+    said = F.when(F.col("predicted_result") == "home", p["home_win"]).when(F.col("predicted_result") == "away", p["away_win"])
+    return scored.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.abs(sum(p.values()) - 1) < 1e-9).alias("adds_up"),
+        F.bool_and(said.otherwise(p["draw"]) == F.greatest(*p.values())).alias("likeliest"),
+    )
+
+
+@register
+def scored_winner_keys(spark, folder):
+    """Held-out overs, and whether the predicted winner is one of the two teams."""
+    teams = [F.concat(F.lit("Team "), ((F.col("match_id") + i) % 8).cast("string")) for i in (0, 1)]
+    return train_score_winner(spark, folder).select("match_id", "inning", "over", F.col("predicted_winner").isin(*teams).alias("is_team"))
+
+
+@register
+def importance_total(spark, folder):
+    weights = feature_importance(spark, folder)
+    names = F.array_join(F.array_sort(F.collect_list("feature")), ",")
+    return weights.agg(names.alias("names"), F.round(F.sum("importance"), 6).alias("total"))

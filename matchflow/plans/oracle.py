@@ -7,7 +7,9 @@ the Spark queries, not another implementation of them.
 from __future__ import annotations
 
 from matchflow.plans.catalog import TABLES
+from matchflow.schemas import FOOTBALL_FEATURES
 
+HELD_OUT = "CAST('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.3"
 COUNTERS = {
     "shots": "event_name = 'Shot'",
     "accurate_shots": "event_name = 'Shot' AND list_contains(tags, 1801)",
@@ -477,6 +479,15 @@ FROM laps WINDOW upto AS (PARTITION BY race_id, driver ORDER BY lap ROWS UNBOUND
 SELECT event_id, match_id,
        CASE WHEN CAST('0x' || substr(md5(CAST(match_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.3
             THEN 'test' ELSE 'train' END AS part FROM ev""",
+        "scored_position_keys": _with(LAPS, LAP_STATS) + f"""
+SELECT race_id, driver, lap, final_position, true AS scored FROM stats
+JOIN (SELECT race_id, driver, arg_max(position, lap) AS final_position FROM laps GROUP BY 1, 2) USING (race_id, driver)
+WHERE std_position_up_to_lap IS NOT NULL AND {HELD_OUT.format("driver")}""",
+        "scored_result_checks": _with(EVENTS, HALVES) + f"""SELECT match_id, count(*) AS n, true AS adds_up, true AS likeliest
+FROM (SELECT DISTINCT match_id, event_sec FROM shifted) WHERE {HELD_OUT.format("match_id")} GROUP BY match_id""",
+        "scored_winner_keys": _with(OVERS) + f"""SELECT match_id, inning, "over", true AS is_team FROM overs
+WHERE {HELD_OUT.format("match_id")}""",
+        "importance_total": f"SELECT '{','.join(sorted(FOOTBALL_FEATURES))}' AS names, 1.0::DOUBLE AS total",
         "classification_report": CLASSIFICATION,
         "ranking_report": RANKING,
         "regression_report": REGRESSION,
