@@ -307,8 +307,8 @@ def possession_previous(spark, folder):
 
 
 def _cumulative(events: DataFrame, credit: str = "current", offset: str | None = "first_half_max") -> DataFrame:
-    flags = football.flags_by_code(F.col("event_name"), fx.int_list("tags_list"))
-    return football_ops.cumulative_stats(events, flags, credit, offset=offset)
+    flags = football.flags_by_code(F.col("event_name"), F.col("tags"))  # parsed once per event, not once per flag
+    return football_ops.cumulative_stats(_tagged(events), flags, credit, offset=offset)
 
 
 @register

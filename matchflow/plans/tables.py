@@ -24,10 +24,7 @@ def match_events(events: DataFrame) -> DataFrame:
     names = F.lit("Other")
     for kind, name in EVENT_NAMES.items():
         names = F.when(F.col("event_type") == kind, name).otherwise(names)
-    k = F.from_json("props", "k int")["k"]
-    tags = F.lit(None).cast("string")
-    for rest, text in TAG_LISTS.items():
-        tags = F.when(k % 4 == rest, text).otherwise(tags)
+    tags = F.try_element_at(fx.literal_map(TAG_LISTS), F.from_json("props", "k int")["k"] % 4)
     by_id = F.col("event_id") % 5
     return events.select(
         "event_id",
