@@ -62,13 +62,15 @@ def non_negative_gradient(positive: np.ndarray, unlabelled: np.ndarray, prior: f
     """Gradient of the non-negative risk by weights and intercept."""
 
     def gradient(weights: np.ndarray, intercept: float) -> tuple[np.ndarray, float]:
-        p, u = positive @ weights + intercept, unlabelled @ weights + intercept
+        narrow = weights.astype(positive.dtype)  # else each product would widen a copy of the sample
+        p, u = positive @ narrow + intercept, unlabelled @ narrow + intercept
         as_bad_p, as_bad_u = prior * sigmoid(p) / len(p), sigmoid(u) / len(u)
         if np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean() >= 0:
             by_p, by_u = -prior * (1 - sigmoid(p)) / len(p) - as_bad_p, as_bad_u
         else:
             by_p, by_u = as_bad_p, -as_bad_u
-        return positive.T @ by_p + unlabelled.T @ by_u, by_p.sum() + by_u.sum()
+        by_weight = positive.T @ by_p.astype(positive.dtype) + unlabelled.T @ by_u.astype(positive.dtype)
+        return by_weight.astype(np.float64), by_p.sum() + by_u.sum()
 
     return gradient
 
