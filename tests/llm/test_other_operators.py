@@ -142,6 +142,19 @@ def test_near_copies_go_and_unlike_texts_stay(spark):
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 4, 5, 6]
 
 
+def test_no_copy_of_similarity_above_the_least_stays(spark):
+    rnd = random.Random(9)
+    texts = []
+    for _ in range(15):  # a text, and it with eight words changed all over it: 356 of 436 shingles in common
+        words = [f"w{rnd.randint(0, 10**6)}" for _ in range(400)]
+        other = [f"x{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
+        texts += [" ".join(words), " ".join(other)]
+    assert all(0.8 <= simhash_bk.similarity(*texts[i : i + 2], 5) < 0.83 for i in range(0, 30, 2))
+    for shard_rows in (4096, 1):
+        left = simhash_bk.drop_near_copies(docs(spark, texts), shard_rows=shard_rows)
+        assert sorted(r.doc_id for r in left.collect()) == list(range(0, 30, 2))
+
+
 def test_components_of_chains_loops_and_nothing(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100), (60, 61), (61, 60), (None, 3)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
