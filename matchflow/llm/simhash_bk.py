@@ -310,18 +310,21 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndar
         rest = [c[starts[-1] :] for c in columns]
 
 
-def drop_near_copies(docs: DataFrame, least: float = 0.8, words: int = 5, rounds: int = 3, radius: int = WIDE, close: int = CLOSE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def drop_near_copies(docs: DataFrame, least: float = 0.8, words: int = 5, radius: int = WIDE, close: int = CLOSE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The rows of ``docs`` without near copies of rows that stay; all columns stay as they are.
 
-    A row goes if the Jaccard similarity of its ``words``-word shingles to a row that stays reaches ``least``. Looked at are all
+    Of equal texts the one of the smallest id stays. A row goes if the Jaccard similarity of its ``words``-word shingles to a row that stays reaches ``least``. Looked at are all
     rows that share a band (BAND_ROWS least hashes of the shingles, BANDS times) and whose fingerprints are within the radius:
     two texts of similarity 0.8 share none of the bands in one case of a million. A row that is ``close`` to an earlier one
-    is first compared with that alone; if the two are unlike it is open still in the next round, ``rounds`` times in all.
-    Nothing goes that is unlike all rows that stay. Rows with a null id stay; of several rows with one id all stay or go
+    is first compared with that alone; if the two are unlike it is open still in the next round. Every round decides the first
+    open row at least, and rounds go on until no row is open. Nothing goes that is unlike all rows that stay. Rows with a null id stay; of several rows with one id all stay or go
     together, and the smallest text counts.
     """
     parts = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("k1")).agg(F.lit(0).cast("bigint").alias("k2"), F.min("text").alias("text"))
-    parts = materialise(parts, "parts")
+    parts = materialise(parts.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256)), "parts")
+    heads = parts.groupBy("hash").agg(F.min(F.struct("k1", "k2")).alias("head")).select("head.k1", "head.k2")
+    gone = parts.select("k1", "k2").join(heads, ["k1", "k2"], "left_anti")
+    gone, parts = materialise(gone, "gone"), parts.join(materialise(heads, "heads"), ["k1", "k2"], "left_semi")
     made = materialise(sketches(parts, words), "sketches")
 
     @F.pandas_udf("boolean")
@@ -332,15 +335,15 @@ def drop_near_copies(docs: DataFrame, least: float = 0.8, words: int = 5, rounds
 
     rows = made.select("k1", "k2", "bits", F.explode("bands").alias("band"))
     first, second = (parts.select(F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col("text").alias(f"{c}_text")) for c in "ab")
-    gone, now = None, rows.withColumn("open", F.lit(True))
-    for turn in range(rounds):
+    now = rows.withColumn("open", F.lit(True))
+    while True:
         pairs = materialise(candidates(now, radius, close, shard_rows), "pairs")
         judged = pairs.join(second, ["b1", "b2"]).join(first, ["a1", "a2"]).withColumn("copy", alike("a_text", "b_text"))
         judged = materialise(judged.select("a1", "a2", "b1", "b2", "b_open", "deferred", "copy"), "judged")
         unsure = judged.where("copy OR deferred").select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).distinct()
         copies = judged.where("copy").join(unsure.select(F.col("k1").alias("b1"), F.col("k2").alias("b2")), ["b1", "b2"], "left_anti")
         went = materialise(copies.select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).distinct(), "gone")
-        gone = went if gone is None else gone.unionByName(went)
+        gone = gone.unionByName(went)
         rest = materialise(unsure.join(went, ["k1", "k2"], "left_anti"), "open")
         if rest.isEmpty():
             break

@@ -155,6 +155,18 @@ def test_no_copy_of_similarity_above_the_least_stays(spark):
         assert sorted(r.doc_id for r in left.collect()) == list(range(0, 30, 2))
 
 
+def test_copies_of_every_family_of_a_group_go(spark):
+    rnd = random.Random(10)
+    page = [f"w{rnd.randint(0, 10**6)}" for _ in range(300)]
+    texts = []
+    for n in range(6):  # pages of one template, alike by 0.7: each with a near copy and an equal one
+        own = " ".join(page + [f"own{n}_{i}" for i in range(55)])
+        texts += [own, own + " end", own]
+    assert 0.65 < simhash_bk.similarity(texts[0], texts[3], 5) < 0.75
+    left = simhash_bk.drop_near_copies(docs(spark, texts), radius=64, close=64)  # all are deferred to the first of a band
+    assert sorted(r.doc_id for r in left.collect()) == list(range(0, 18, 3))
+
+
 def test_components_of_chains_loops_and_nothing(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100), (60, 61), (61, 60), (None, 3)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
