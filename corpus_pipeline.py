@@ -25,8 +25,8 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go from all documents but the first."""
-    return counted(line_templates.drop_recurring(docs).drop("n_lines", "n_dropped"))
+    """Lines of recurring templates, and short lines that recur as they stand, go from all documents but the first."""
+    return counted(line_templates.drop_recurring(docs, short_lines=True).drop("n_lines", "n_dropped"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ A line goes down the tree by its number of tokens and its DEPTH leading tokens;
 start. In the leaf that it reaches, a token stays if it stands at its place in the lines of MIN_DOCUMENTS documents, else the
 place becomes a field too. A line has a template, its tokens with fields as ``<*>``, if at least the share CONSTANT of its
 tokens without digits stays. A template that MIN_DOCUMENTS documents have is recurring; its lines are dropped from all documents but
-the first by id, which keeps them. Lines of fewer than MIN_TOKENS tokens say too little to be told apart from prose.
+the first by id, which keeps them. Lines of fewer than MIN_TOKENS tokens say too little to become templates with fields: they are left
+alone, or with ``short_lines`` are templates of their own, all their tokens as they stand.
 
 Unlike an online tree the result does not depend on the order of the lines. Only lines in leaves that enough documents reach
 are looked at further; counts are summed before each shuffle.
@@ -31,14 +32,21 @@ def masked(line: Column) -> Column:
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])(?=[^ ]*[0-9])[^ ]+", FIELD)).otherwise(plain)
 
 
-def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth: int, constant: float) -> DataFrame:
+def shaped_line(line: Column, min_tokens: int) -> Column:
+    """The line as masked, or with its digits if it has fewer than ``min_tokens`` tokens."""
+    plain = F.trim(F.regexp_replace(line, r"[ \t\r]+", " "))
+    return F.when(F.size(F.split(plain, " ")) < min_tokens, plain).otherwise(masked(line))
+
+
+def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth: int, constant: float, short_lines: bool = False) -> DataFrame:
     """Columns k1, k2, line, template, documents and first (whether this is the document that keeps it); ``rows`` as from keyed."""
-    distinct = F.array_distinct(F.transform(F.split("text", "\n"), masked))
+    distinct = F.array_distinct(F.transform(F.split("text", "\n"), lambda line: shaped_line(line, min_tokens)))
     lines = rows.where("text IS NOT NULL").select("k1", "k2", F.explode(distinct).alias("line"))
-    lines = lines.withColumn("n", F.size(F.split("line", " "))).where(F.col("n") >= min_tokens)
+    lines = lines.withColumn("n", F.size(F.split("line", " "))).where("line <> ''" if short_lines else F.col("n") >= min_tokens)
     lines = lines.withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", depth)))
     leaves = materialise(lines.groupBy("leaf").count().where(F.col("count") >= min_documents).select("leaf"), "leaves")
-    reached = materialise(lines.join(leaves, "leaf").select("k1", "k2", "leaf", "line"), "lines")
+    reached = materialise(lines.join(leaves, "leaf").select("k1", "k2", "leaf", "line", "n"), "lines")
+    short, reached = (reached.where(kind).drop("n") for kind in (F.col("n") < min_tokens, F.col("n") >= min_tokens))
     texts = reached.groupBy("leaf", "line").agg(F.count("*").alias("docs"))
     tokens = texts.select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("place", "token"))
     often = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("often")).where(F.col("often") >= min_documents).drop("often")
@@ -49,6 +57,8 @@ def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth:
     stay, digits = F.size(F.filter("places", lambda p: p["token"] != FIELD)), F.size(F.filter("places", lambda p: p["digits"]))
     templates = shaped.where((stay > 0) & (stay >= constant * (F.size("places") - digits))).select("leaf", "line", F.array_join(F.transform("places", lambda p: p["token"]), " ").alias("template"))
     having = reached.join(templates, ["leaf", "line"])
+    if short_lines:
+        having = having.unionByName(short.withColumn("template", F.col("line")))
     per_document = having.groupBy("leaf", "template", "k1", "k2").agg(F.lit(1).alias("one"))
     recurring = per_document.groupBy("leaf", "template").agg(F.count("*").alias("documents"), F.min(F.struct("k1", "k2")).alias("least"))
     recurring = recurring.where(F.col("documents") >= min_documents)
@@ -62,6 +72,7 @@ def drop_recurring(
     min_tokens: int = MIN_TOKENS,
     depth: int = DEPTH,
     constant: float = CONSTANT,
+    short_lines: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with the lines of recurring templates dropped from their texts, and n_lines and n_dropped.
 
@@ -71,10 +82,10 @@ def drop_recurring(
     """
     docs = docs.drop("n_lines", "n_dropped")
     rows = keyed(whole_rows(docs))
-    found = recurring_lines(rows, min_documents, min_tokens, depth, constant).where("NOT first")
+    found = recurring_lines(rows, min_documents, min_tokens, depth, constant, short_lines).where("NOT first")
     drops = found.groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
     lines = F.split("text", "\n")
-    left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("dropped"), masked(line))))
+    left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("dropped"), shaped_line(line, min_tokens))))
     out = rows.join(drops, ["k1", "k2"], "left").withColumn("left", left)
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(count(lines)).cast("bigint"))

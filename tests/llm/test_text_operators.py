@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from matchflow.llm import byte_bpe, line_templates, multiset_hash, packing, suffix_dedup, suffix_runs
 
 ODD = [" ", "\n", "\t", "a", "b", "'s", "'", "1", "é", "語", "!", " ", "\x1c", "\r\n", "　", "zz", "The", ".", ",", "ß", "<|endoftext|>"]
@@ -194,6 +195,13 @@ def test_recurring_templates_go_from_all_but_the_first(spark):
     assert line_templates.drop_recurring(docs(spark, [])).count() == 0
 
 
+def test_short_lines_go_as_they_stand(spark):
+    texts = [f"{chr(97 + i)} own{chr(97 + i)}\n\nAll rights\t reserved.\n{i}\nPage 7" for i in range(12)]
+    table = docs(spark, texts).withColumns({"lang": F.lit("en"), "n_chars": F.lit(0)})
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
+    assert got[0] == texts[0] and all(got[i] == f"{chr(97 + i)} own{chr(97 + i)}\n\n{i}" for i in range(1, 12))
+
+
 def test_fields_are_generalised_in_the_leaf(spark):
     names = ["ann", "bob", "cid", "dan", "eve", "fay"]
     texts = [f"all rights reserved by {n} and the other authors\n{n} has own text here" for n in names]
