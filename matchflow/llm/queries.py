@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchflow.llm import ann_forest, byte_bpe, line_templates, multiset_hash, packing, pu_quality, revisits, simhash_bk, suffix_dedup, toxicity
+from matchflow.llm import ann_forest, byte_bpe, decontamination, line_templates, multiset_hash, packing, pu_quality, revisits, simhash_bk, suffix_dedup, token_alignment, toxicity, whitening
 from matchflow.llm.common import table
 
 
@@ -56,5 +56,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_line_templates, op4_revisit_resolution, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe)}
-ORACLE_SQL: dict[str, str] = {"op3_line_templates": line_templates.ORACLE_SQL, "op4_revisit_resolution": revisits.ORACLE_SQL}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_line_templates, op4_revisit_resolution, op5_pu_quality, op6_nb_toxicity, op7_simhash_near_dedup, op8_multiset_fingerprints, op9_projection_forest, op10_byte_bpe, op11_token_alignment, op12_embedding_whitening, op13_benchmark_decontamination)}
+ORACLE_SQL: dict[str, str] = {"op3_line_templates": line_templates.ORACLE_SQL, "op4_revisit_resolution": revisits.ORACLE_SQL, "op13_benchmark_decontamination": decontamination.ORACLE_SQL}
