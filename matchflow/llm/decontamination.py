@@ -60,7 +60,7 @@ class Windows:
         for n in sorted({len(w) for w in found}):
             mine = [w for w in found if len(w) == n]
             self.by_length[n] = (np.array(mine, np.int64), [sorted(found[w]) for w in mine])
-        self.shortest, self.longest = min(self.by_length), max(self.by_length)
+        self.shortest, self.longest = min(self.by_length, default=1 << 31), max(self.by_length, default=1)
 
 
 class Shard:
