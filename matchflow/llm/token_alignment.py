@@ -14,12 +14,12 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 from json import loads
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame
@@ -30,12 +30,13 @@ from matchflow.llm.common import map_columns, once_per_worker
 from matchflow.session import fresh_path
 
 SLICE_PAIRS = 2_000_000
-BATCH_TOKENS = 1 << 19
+BATCH_TOKENS = 1 << 18
+OUT_BYTES = 4 << 20
 PAIRS_HELD = 1 << 20
 GAMMA = 2.0
 DEPTH = 3
-#: Characters that every version of Unicode puts in the same class, and no white space run that could exhaust a regex.
-COMMON = re.compile("[^\x00-ɏ‐-‧]|\\s{2000}")
+#: Characters that versions of Unicode may put in different classes, and runs of white space that could exhaust a regex.
+RARE, BLANK = re.compile("[^\x00-ɏ‐-‧]"), re.compile(r"\s{2000}")
 ENCODED = "doc_id bigint, ids_a binary, ids_b binary"
 SCHEMA = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)  # fixed multipliers of a 64-bit mixer
@@ -101,6 +102,7 @@ class TokenizerA:
         self.bytes = [b""] * self.tokenizer.get_vocab_size()
         for token, number in vocabulary.items():
             self.bytes[number] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.lengths = np.array([len(t) for t in self.bytes])
         self.fast = self._ranks(loads(text), vocabulary, pattern)
 
     def _ranks(self, described: dict, vocabulary: dict[str, int], pattern: str) -> tiktoken.Encoding | None:
@@ -122,10 +124,17 @@ class TokenizerA:
         ranks = {self.bytes[i]: i for i in [*singles.values(), *ids]}
         return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or COMMON.search(text):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-        return np.asarray(self.fast.encode_ordinary(text), np.int64)
+    def encode(self, text: str, whole: bytes) -> np.ndarray | None:
+        """Ids, or nothing if their bytes are not those of the text.
+
+        The faster library cuts the text at its matches and merges the bytes of each, so bytes can only be left out; with the
+        right number of bytes they are the same.
+        """
+        if self.fast is None or RARE.search(text) or BLANK.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.asarray(ids, np.uint32) if b"".join(map(self.bytes.__getitem__, ids)) == whole else None
+        ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        return ids if self.lengths[ids].sum() == len(whole) else None
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -146,8 +155,10 @@ class TokenizerB:
         piece = self.model.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(number) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.asarray(self.model.encode(text, num_threads=1), np.int64)
+    def encode(self, text: str, whole: bytes) -> np.ndarray | None:
+        """Ids, or nothing if their bytes are not those of a space and the text."""
+        ids = self.model.encode(text)
+        return np.frombuffer(array("I", ids), np.uint32) if b"".join(map(self.bytes.__getitem__, ids)) == whole else None
 
 
 class Encoders:
@@ -156,14 +167,15 @@ class Encoders:
     def __init__(self, a: str, b: bytes, pattern: str):
         self.a, self.b = TokenizerA(a, pattern), TokenizerB(b)
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both; none if the text is empty or the bytes of one are not the text's."""
+    def encode(self, text: str | None) -> tuple[bytes, bytes]:
+        """Ids of both as little-endian 32-bit numbers; none if the text is empty or the bytes of one are not the text's."""
         if text:
             whole = (" " + text).encode()
-            a, b = self.a.encode(" " + text), self.b.encode(text)
-            if b"".join(map(self.a.bytes.__getitem__, a.tolist())) == whole and b"".join(map(self.b.bytes.__getitem__, b.tolist())) == whole:
-                return a, b
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            a = self.a.encode(" " + text, whole)
+            b = None if a is None else self.b.encode(text, whole)
+            if b is not None:
+                return a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
+        return b"", b""
 
 
 class Alignment:
@@ -172,6 +184,7 @@ class Alignment:
     def __init__(self, lengths_a: np.ndarray, lengths_b: np.ndarray, ids_a: list[np.ndarray], ids_b: list[np.ndarray]):
         self.n_a, self.n_b = np.array([len(i) for i in ids_a]), np.array([len(i) for i in ids_b])
         self.a, self.b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
+        self.top = len(lengths_a) * len(lengths_b)
         self.ends_a, self.ends_b = np.cumsum(lengths_a[self.a]), np.cumsum(lengths_b[self.b])
         at_a, at_b = (np.zeros(int(self.ends_a[-1]) + 1 if len(self.a) else 1, bool) for _ in range(2))
         at_a[self.ends_a] = True
@@ -179,7 +192,7 @@ class Alignment:
         ends = np.flatnonzero(at_a | at_b)
         both = at_a[ends] & at_b[ends]
         link_a, link_b = (np.cumsum(at[ends]) - at[ends] for at in (at_a, at_b))  # the token that each stretch lies in
-        self.pairs = self.a[link_a] << 32 | self.b[link_b]
+        self.pairs = self.a[link_a] * len(lengths_b) + self.b[link_b]
         self.document = np.repeat(np.arange(len(self.n_a)), self.n_a)[link_a]
         self.group_starts = both
         group = np.cumsum(both) - both
@@ -192,11 +205,10 @@ class Alignment:
 
     def distinct(self) -> np.ndarray:
         """Pairs, each once per document."""
-        order = np.lexsort((self.pairs, self.document))
-        pairs, document = self.pairs[order], self.document[order]
-        new = np.ones(len(pairs), bool)
-        new[1:] = (pairs[1:] != pairs[:-1]) | (document[1:] != document[:-1])
-        return pairs[new]
+        keys = np.sort(self.document * self.top + self.pairs)  # far below 2^63, as batches are small
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        return keys[new] % self.top
 
     def groups(self, written_a: list[str], written_b: list[str]) -> list[str]:
         """``a1,a2|b1;a3|b2`` per document; ``written`` has an id's text with a comma (even place) and with the end mark (odd)."""
@@ -215,8 +227,14 @@ def encoded(docs: DataFrame, make: Callable[[], Encoders]) -> DataFrame:
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
         encoders = once_per_worker(call, make)
         for doc_ids, texts in batches:
-            ids = [encoders.encode(text) for text in texts]
-            yield {"doc_id": doc_ids, "ids_a": [a.astype("<u4").tobytes() for a, _ in ids], "ids_b": [b.astype("<u4").tobytes() for _, b in ids]}
+            start, size = 0, 0
+            ids: list[tuple[bytes, bytes]] = []
+            for i, text in enumerate(texts):
+                ids.append(encoders.encode(text))
+                size += len(ids[-1][0]) + len(ids[-1][1])
+                if size >= OUT_BYTES or i == len(texts) - 1:
+                    yield {"doc_id": doc_ids[start : i + 1], "ids_a": [a for a, _ in ids], "ids_b": [b for _, b in ids]}
+                    start, size, ids = i + 1, 0, []
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = map_columns(chosen, ["doc_id", "text"], work, ENCODED).withColumn("row", F.monotonically_increasing_id())
@@ -248,13 +266,16 @@ def distinct_pairs(rows: DataFrame, lengths: tuple[np.ndarray, np.ndarray]) -> D
     """All pairs that some document links, each once."""
 
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
-        seen = np.zeros(0, np.int64)
+        seen, more, size = np.zeros(0, np.int64), [], 0
         for _, links in in_batches(batches, lengths):
-            seen = np.union1d(seen, links.pairs)
-            if len(seen) >= PAIRS_HELD:
-                yield {"pair": seen}
-                seen = np.zeros(0, np.int64)
-        yield {"pair": seen}
+            more.append(np.unique(links.pairs))
+            size += len(more[-1])
+            if size >= PAIRS_HELD:
+                seen, more, size = np.unique(np.concatenate([seen, *more])), [], 0
+                if len(seen) >= PAIRS_HELD:
+                    yield {"pair": seen}
+                    seen = np.zeros(0, np.int64)
+        yield {"pair": np.unique(np.concatenate([seen, *more]))}
 
     path = fresh_path(rows.sparkSession, "pairs")
     map_columns(rows, ["ids_a", "ids_b"], work, "pair bigint").distinct().write.parquet(path)
@@ -277,9 +298,9 @@ def document_counts(rows: DataFrame, lengths: tuple[np.ndarray, np.ndarray], ind
     return vectors.treeReduce(np.add, DEPTH)
 
 
-def most_for_a(index: PairHash, counts: np.ndarray) -> np.ndarray:
-    """Whether a slot's count is the highest of its A id."""
-    a = index.keys >> 32
+def most_for_a(index: PairHash, counts: np.ndarray, width: int) -> np.ndarray:
+    """Whether a slot's count is the highest of its A id; a pair is the A id times ``width`` plus the B id."""
+    a = index.keys // width
     numbers, place = np.unique(a, return_inverse=True)
     highest = np.zeros(len(numbers), np.int64)
     np.maximum.at(highest, place, counts)
@@ -288,7 +309,7 @@ def most_for_a(index: PairHash, counts: np.ndarray) -> np.ndarray:
 
 def looked_up(rows: DataFrame, lengths: tuple[np.ndarray, np.ndarray], index: PairHash, counts: np.ndarray, first: bool) -> DataFrame:
     """SCHEMA's columns from one slice of pairs; all that does not depend on counts comes from the first."""
-    shared = rows.sparkSession.sparkContext.broadcast((index, counts, most_for_a(index, counts)))
+    shared = rows.sparkSession.sparkContext.broadcast((index, counts, most_for_a(index, counts, len(lengths[1]))))
     call = uuid.uuid4().hex
     n_a, n_b = len(lengths[0]), len(lengths[1])
 
@@ -337,7 +358,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     lengths = tuple(np.array([len(t) for t in side.bytes], np.int64) for side in (encoders.a, encoders.b))
     pairs = distinct_pairs(rows, lengths)
     slices = max(1, -(-pairs.count() // slice_pairs))
-    mine = F.pmod(F.xxhash64(F.shiftright("pair", 32)), F.lit(slices))
+    mine = F.pmod(F.xxhash64(F.expr(f"pair div {len(lengths[1])}")), F.lit(slices))
     out = None
     for number in range(slices):
         keys = np.sort(np.array(pairs.where(mine == number).toArrow()["pair"], np.int64))
