@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from matchflow import schemas
 from matchflow.functions import columns as fx
@@ -16,10 +17,15 @@ from matchflow.operators import football as football_ops
 from matchflow.operators.laps import final_positions, lap_features, position_statistics
 from matchflow.operators.running import Std, running
 from matchflow.plans import cricket, tables
+from matchflow.plans import football as football_plans
 from matchflow.plans.tables import load
 from matchflow.session import fresh_path, materialise
 from matchflow.sinks.tables import save_path
 from matchflow.sources import files, messages, nested
+from matchflow.streaming import football as live_football
+from matchflow.streaming import laps as live_laps
+from matchflow.streaming import overs as live_overs
+from matchflow.streaming.commits import CommitLog
 from matchflow.streaming.football import parse_events, start_match_statistics
 from matchflow.streaming.laps import parse_laps, start_lap_statistics
 from matchflow.streaming.overs import parse_overs, start_over_statistics
@@ -498,8 +504,23 @@ def sink_truncate(spark, folder):
 # --- streams ----------------------------------------------------------------------------------
 
 
-def _written(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+def _statistics(spark: SparkSession, path: str, read: Callable[[CommitLog], DataFrame]) -> DataFrame:
+    return rounded(read(CommitLog(spark, path)).drop("batch_id"))
+
+
+def _replayed(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land one part after the other, and start the job again for each: a micro-batch per part, from a checkpoint."""
+    staged, schema = fresh_path(spark, "landed"), parts[0].schema
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{staged}/part={number}")
+        start(spark.readStream.schema(schema).parquet(f"{staged}/part=*").select(*schema.names)).awaitTermination()
+
+
+def _quarters(rows: DataFrame, column: str) -> list[DataFrame]:
+    """Four parts in the order of a column, nulls in the first."""
+    ends = rows.agg(F.percentile_approx(column, [0.25, 0.5, 0.75], 1000)).first()[0]
+    part = sum((F.coalesce(F.col(column) > end, F.lit(False)).cast("int") for end in ends), F.lit(0))
+    return [rows.filter(part == number) for number in range(4)]
 
 
 def _live_events(events: DataFrame) -> DataFrame:
@@ -519,7 +540,7 @@ def stream_match_stats(spark, folder):
     stream = messages.read_table_stream(spark, f"{folder}/events.parquet")
     events = _live_events(tables.match_events(stream))
     start_match_statistics(events, path, f"{path}-checkpoint").awaitTermination()
-    return rounded(_written(spark, path))
+    return _statistics(spark, path, live_football.read_statistics)
 
 
 @register
@@ -529,34 +550,121 @@ def stream_lap_stats(spark, folder):
     value = nested.lap_message(F.col("race_id"), F.col("lap"), F.col("driver"), position=F.col("position"))
     parsed = parse_laps(laps.select(value.alias("value")))
     start_lap_statistics(parsed, path, f"{path}-checkpoint").awaitTermination()
-    return rounded(_written(spark, path))
+    return _statistics(spark, path, live_laps.read_statistics)
+
+
+@register
+def stream_lap_stats_batches(spark, folder):
+    """The same statistics from four micro-batches in order of laps, the job started anew for each."""
+    path = fresh_path(spark, "lap-stats")
+    laps = materialise(_laps(spark, folder).select("race_id", "lap", "driver", "position"), "live-laps")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        value = nested.lap_message(F.col("race_id"), F.col("lap"), F.col("driver"), position=F.col("position"))
+        return start_lap_statistics(parse_laps(stream.select(value.alias("value"))), path, f"{path}-checkpoint")
+
+    _replayed(spark, _quarters(laps, "lap"), start)
+    return _statistics(spark, path, live_laps.read_statistics)
+
+
+def _over_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.match_facts(_overs(spark, folder)).withColumn("season", fx.season_number("season"))
+    return materialise(rows.drop("last_event"), "over-rows")
+
+
+def _streamed_overs(spark: SparkSession, parts: list[DataFrame]) -> str:
+    path = fresh_path(spark, "over-stats")
+    _replayed(spark, parts, lambda stream: start_over_statistics(stream, path, f"{path}-checkpoint"))
+    return path
 
 
 @register
 def stream_overs(spark, folder):
     """Overs 3 and 4 are left out, so that they are imputed."""
-    path = fresh_path(spark, "over-stats")
-    rows = tables.match_facts(_overs(spark, folder)).filter(~F.col("over").isin(3, 4))
-    rows = rows.withColumn("season", fx.season_number("season")).drop("last_event")
-    staged = fresh_path(spark, "over-rows")
-    rows.write.parquet(staged)
-    stream = messages.read_table_stream(spark, staged)
-    start_over_statistics(stream, path, f"{path}-checkpoint").awaitTermination()
-    return rounded(_written(spark, path))
+    path = _streamed_overs(spark, [_over_rows(spark, folder).filter(~F.col("over").isin(3, 4))])
+    return _statistics(spark, path, live_overs.read_overs)
+
+
+@register
+def stream_overs_all(spark, folder):
+    """All overs, in one micro-batch per inning; what is imputed depends on the match."""
+    rows = _over_rows(spark, folder)
+    path = _streamed_overs(spark, [rows.filter(F.col("inning") == inning) for inning in (1, 2)])
+    return _statistics(spark, path, live_overs.read_overs)
+
+
+def _late_overs(spark: SparkSession, folder: str) -> str:
+    """Six micro-batches: half an inning each, some overs a batch late, and some once more in the batch that follows theirs."""
+    rows = _over_rows(spark, folder)
+    half = (F.col("inning") - 1) * 2 + F.floor(F.col("over") / 6) + ((F.col("match_id") + F.col("over")) % 7 == 0).cast("int")
+    first = rows.withColumn("__part", half.cast("int"))
+    again = first.filter((F.col("match_id") + F.col("over")) % 5 == 0).withColumn("__part", F.col("__part") + 1)
+    landed = first.unionByName(again)
+    return _streamed_overs(spark, [landed.filter(F.col("__part") == number).drop("__part") for number in range(6)])
+
+
+@register
+def stream_overs_late(spark, folder):
+    """The overs that count when some come late or again."""
+    return _statistics(spark, _late_overs(spark, folder), live_overs.read_overs)
+
+
+@register
+def stream_overs_dropped(spark, folder):
+    """The overs that come late or again, with the reason, from the same pass as the statistics."""
+    log = CommitLog(spark, _late_overs(spark, folder))
+    return live_overs.read_overs(log, live_overs.DROPPED).select("match_id", "inning", "over", "over_runs", "over_wickets", "dropped", "batch_id")
 
 
 @register
 def stream_match_stats_batches(spark, folder):
     """The same statistics from four micro-batches in order of time, with every match in all of them."""
-    path, staged = fresh_path(spark, "match-stats"), fresh_path(spark, "match-events")
+    path = fresh_path(spark, "match-stats")
     events = materialise(_live_events(_events(spark, folder)), "live-events")
-    ends = events.agg(F.percentile_approx("eventSec", [0.25, 0.5, 0.75])).first()[0]
-    for number, (low, high) in enumerate(zip([float("-inf"), *ends], [*ends, float("inf")])):
-        part = events.filter((F.col("eventSec") > low) & (F.col("eventSec") <= high))
-        part.coalesce(1).write.parquet(f"{staged}/part={number}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{staged}/part=*")
-    start_match_statistics(stream, path, f"{path}-checkpoint").awaitTermination()
-    return rounded(_written(spark, path))
+    _replayed(spark, _quarters(events, "eventSec"), lambda stream: start_match_statistics(stream, path, f"{path}-checkpoint"))
+    return _statistics(spark, path, live_football.read_statistics)
+
+
+def _by_goals(stats: DataFrame) -> DataFrame:
+    """Predictions by a fixed rule on the difference of goals, which SQL can follow."""
+    ahead = F.exp(F.least(F.greatest(F.col("goals_diff"), F.lit(-9)), F.lit(9)).cast("double"))
+    total = ahead + 1 / ahead + 1
+    said = F.when(F.col("goals_diff") > 0, "home").when(F.col("goals_diff") < 0, "away").otherwise("draw")
+    return stats.select(
+        "event_id", F.col("matchId").alias("match_id"), F.col("eventSec").alias("event_sec"), said.alias("predicted_result"),
+        (ahead / total).alias("prob_home_win"), (1 / ahead / total).alias("prob_away_win"), (1 / total).alias("prob_draw"),
+    )
+
+
+def _live_chain(spark: SparkSession, folder: str) -> CommitLog:
+    """Messages of all events in four parts, some of them no events, through parsing, enrichment, statistics and scoring."""
+    path = fresh_path(spark, "live")
+    feed = tables.event_feed(load(spark, folder, "events"))
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.EVENT_MESSAGE.fields if f.name in feed.columns]
+    message = F.when(F.col("id") % 50 == 49, F.lit("[1, 2]")).otherwise(F.to_json(F.struct(*fields)))
+    sent = materialise(feed.select(message.alias("value"), "eventSec"), "messages")
+    home = F.col("c_nationkey")
+    matches = load(spark, folder, "customer").filter(F.col("c_custkey") % 10 > 0).select(
+        F.col("c_custkey").cast("string").alias("matchId"), home.cast("bigint").alias("team1_id"), ((home + 1) % 25).cast("bigint").alias("team2_id"),
+        F.lit("home").alias("team1_side"), F.lit("away").alias("team2_side"),
+    )
+    _replayed(spark, _quarters(sent, "eventSec"), lambda stream: football_plans.start_live(stream, matches, path, f"{path}-checkpoint", _by_goals))
+    return CommitLog(spark, path)
+
+
+@register
+def live_statistics(spark, folder):
+    """Statistics of the live chain from message text."""
+    return rounded(live_football.read_statistics(_live_chain(spark, folder)).drop("batch_id", "event_id"))
+
+
+@register
+def live_predictions(spark, folder):
+    """Predictions of the live chain, each beside the statistics it was made of."""
+    log = _live_chain(spark, folder)
+    stats = live_football.read_statistics(log).select("event_id", "batch_id", "goals_diff")
+    predicted = live_football.read_predictions(log)
+    return rounded(predicted.join(stats, ["event_id", "batch_id"]).drop("event_id", "batch_id"))
 
 
 # --- lookups and odd input --------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,13 +77,15 @@ def train(rows: DataFrame, evaluation: float = 0.3, by_match: bool = True) -> tu
 def start_live(
     messages: DataFrame,
     matches: DataFrame,
-    stats_path: str,
-    predictions_path: str,
+    path: str,
     checkpoint: str,
-    model: PipelineModel,
+    score: PipelineModel | Callable[[DataFrame], DataFrame],
     **options,
 ) -> StreamingQuery:
-    """Messages to statistics and predictions; ``matches`` is the match dimension."""
+    """Messages to statistics and predictions below ``path``; ``matches`` is the match dimension.
+
+    ``score`` is a result model, or a function that makes predictions of statistics.
+    """
     events = live.enrich_events(live.parse_events(messages), matches)
-    score = lambda stats: models.score_results(model, stats)
-    return live.start_match_statistics(events, stats_path, checkpoint, score, predictions_path, **options)
+    predict = score if callable(score) else lambda stats: models.score_results(score, stats)
+    return live.start_match_statistics(events, path, checkpoint, predict, **options)

@@ -146,12 +146,13 @@ def _cumulative(source: str, credit: str) -> str:
 SELECT match_id, round(event_sec, 4) AS event_sec, {", ".join(_STATS_COLUMNS)} FROM counted"""
 
 
-def _stream_match_stats() -> str:
-    shifted = """, live AS (
-  SELECT ev.* EXCLUDE (event_sec), CASE WHEN match_period = '2H' THEN event_sec + 3600 ELSE event_sec END AS event_sec
-  FROM ev)"""
+def _stream_match_stats(source: str = "ev", more: str = "") -> str:
+    """``more`` defines the events ``source`` if they are not ``ev``."""
+    shifted = f""", live AS (
+  SELECT {source}.* EXCLUDE (event_sec), CASE WHEN match_period = '2H' THEN event_sec + 3600 ELSE event_sec END AS event_sec
+  FROM {source})"""
     order = "PARTITION BY match_id ORDER BY event_sec, CAST(event_id AS VARCHAR)"
-    return _with(EVENTS) + shifted + f""", timed AS (
+    return _with(EVENTS) + more + shifted + f""", timed AS (
   SELECT *, greatest(coalesce(event_sec - lag(event_sec) OVER w, 0), 0) AS d, lag(side) OVER w AS holder
   FROM live WINDOW w AS ({order})), counted AS (
   SELECT match_id, event_id, event_sec,
@@ -161,9 +162,35 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(match_id AS VARCHAR) AS "matc
        round(event_sec, 4) AS "eventSec", {", ".join(_STATS_COLUMNS)} FROM counted"""
 
 
-def _stream_overs() -> str:
+def _live_statistics() -> str:
+    """Events that are messages of their own, with the side of their team."""
+    sided = """, sided AS (
+  SELECT ev.* EXCLUDE (side), CASE WHEN team_id = c_nationkey THEN 'home' WHEN team_id = (c_nationkey + 1) % 25 THEN 'away' ELSE 'unknown' END AS side
+  FROM ev LEFT JOIN customer ON match_id = c_custkey AND c_custkey % 10 > 0 WHERE event_id % 50 <> 49)"""
+    return _stream_match_stats("sided", sided)
+
+
+def _live_predictions() -> str:
+    return f"""WITH stats AS ({_live_statistics()}),
+ahead AS (SELECT *, exp(CAST(least(greatest(goals_diff, -9), 9) AS DOUBLE)) AS x FROM stats)
+SELECT "matchId" AS match_id, "eventSec" AS event_sec, CAST(goals_diff AS BIGINT) AS goals_diff,
+       CASE WHEN goals_diff > 0 THEN 'home' WHEN goals_diff < 0 THEN 'away' ELSE 'draw' END AS predicted_result,
+       round(x / (x + 1 / x + 1), 4) AS prob_home_win, round(1 / x / (x + 1 / x + 1), 4) AS prob_away_win,
+       round(1 / (x + 1 / x + 1), 4) AS prob_draw FROM ahead"""
+
+
+STREAM_LAPS = _with(LAPS) + """
+SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, CAST(position AS BIGINT) AS position,
+       round(avg(position) OVER upto, 4) AS mean_position_up_to_lap,
+       round(stddev_pop(position) OVER upto, 4) AS std_position_up_to_lap,
+       round(CAST(min(position) OVER upto AS DOUBLE), 4) AS min_position_up_to_lap,
+       round(avg(position) OVER (PARTITION BY race_id, driver ORDER BY lap ROWS 4 PRECEDING), 4) AS last_5_laps_mean_position
+FROM laps WINDOW upto AS (PARTITION BY race_id, driver ORDER BY lap ROWS UNBOUNDED PRECEDING)"""
+
+
+def _stream_overs(kept: str = """kept AS (SELECT * FROM overs WHERE "over" NOT IN (3, 4))""") -> str:
     """Skipped overs add truncated means; the first over of an inning never does."""
-    return _with(OVERS) + """, kept AS (SELECT * FROM overs WHERE "over" NOT IN (3, 4)),
+    return _with(OVERS) + f""", {kept},
 gaps AS (
   SELECT *, coalesce("over" - lag("over") OVER w - 1, 0) AS gap
   FROM kept WINDOW w AS (PARTITION BY match_id, inning ORDER BY "over")),
@@ -180,7 +207,7 @@ carried AS (
   SELECT cum.*, CASE WHEN inning = 2 THEN coalesce(s, 0) ELSE 0 END AS first_s,
          CASE WHEN inning = 2 THEN coalesce(first.w, 0) ELSE 0 END AS first_w
   FROM cum LEFT JOIN first USING (match_id))
-SELECT match_id, inning, "over", runs_total,""" + FACTS + """,
+SELECT match_id, inning, "over", runs_total,{FACTS},
        score AS cumulative_score, least(wickets, 10) AS cumulative_wickets,
        CAST(first_s AS BIGINT) AS first_inning_total_score, CAST(first_w AS BIGINT) AS first_inning_total_wickets,
        round(CASE WHEN first_w > 0 THEN first_s / first_w ELSE 0 END, 4) AS first_inning_run_rate,
@@ -189,6 +216,23 @@ SELECT match_id, inning, "over", runs_total,""" + FACTS + """,
 FROM carried"""
 
 
+#: Overs as they land in six parts, and those that an over of an earlier part has not overtaken.
+LANDED = """firsts AS (
+  SELECT *, (inning - 1) * 2 + CAST(floor("over" / 6) AS INTEGER) + CASE WHEN (match_id + "over") % 7 = 0 THEN 1 ELSE 0 END AS part FROM overs),
+landed AS (SELECT * FROM firsts UNION ALL SELECT * REPLACE (part + 1 AS part) FROM firsts WHERE (match_id + "over") % 5 = 0),
+reached AS (
+  SELECT *, max(inning * 100 + "over") OVER (PARTITION BY match_id ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM landed),
+kept AS (SELECT * EXCLUDE (top) FROM reached WHERE top IS NULL OR inning * 100 + "over" > top)"""
+
+
+def _stream_overs_dropped() -> str:
+    return _with(OVERS) + f""", {LANDED}
+SELECT match_id, inning, "over", over_runs, over_wickets, CAST(part AS INTEGER) AS batch_id,
+       CASE WHEN EXISTS (SELECT 1 FROM kept k WHERE k.match_id = r.match_id AND k.inning = r.inning AND k."over" = r."over" AND k.part < r.part)
+            THEN 'repeated' ELSE 'late' END AS dropped
+FROM reached r WHERE top IS NOT NULL AND inning * 100 + "over" <= top"""
+
+
 def _describe() -> str:
     names = [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -467,14 +511,14 @@ FROM ev, (SELECT unnest([true, false, true, false]) AS by_join)""",
         "null_audit_dotted": """SELECT 'team1.name' AS column_name, count(*) AS total_rows, count(n_name) AS non_null_count,
   count(*) - count(n_name) AS null_count FROM nation
 UNION ALL SELECT 'a.b', count(*), count(*) FILTER (n_nationkey > 3), count(*) - count(*) FILTER (n_nationkey > 3) FROM nation""",
-        "stream_lap_stats": _with(LAPS) + """
-SELECT CAST(race_id AS VARCHAR) AS race_id, lap, driver, CAST(position AS BIGINT) AS position,
-       round(avg(position) OVER upto, 4) AS mean_position_up_to_lap,
-       round(stddev_pop(position) OVER upto, 4) AS std_position_up_to_lap,
-       round(CAST(min(position) OVER upto AS DOUBLE), 4) AS min_position_up_to_lap,
-       round(avg(position) OVER (PARTITION BY race_id, driver ORDER BY lap ROWS 4 PRECEDING), 4) AS last_5_laps_mean_position
-FROM laps WINDOW upto AS (PARTITION BY race_id, driver ORDER BY lap ROWS UNBOUNDED PRECEDING)""",
+        "stream_lap_stats": STREAM_LAPS,
+        "stream_lap_stats_batches": STREAM_LAPS,
         "stream_overs": _stream_overs(),
+        "stream_overs_all": _stream_overs("kept AS (SELECT * FROM overs)"),
+        "stream_overs_late": _stream_overs(LANDED),
+        "stream_overs_dropped": _stream_overs_dropped(),
+        "live_statistics": f"SELECT * EXCLUDE (event_id) FROM ({_live_statistics()})",
+        "live_predictions": _live_predictions(),
         "holdout_split": _with(EVENTS) + """
 SELECT event_id, match_id,
        CASE WHEN CAST('0x' || substr(md5(CAST(match_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.3

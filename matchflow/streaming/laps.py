@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from matchflow import schemas
 from matchflow.operators.laps import position_statistics
 from matchflow.operators.running import High, advance, running
-from matchflow.sinks.tables import write_batch
 from matchflow.sources.messages import accepted, split_messages
 from matchflow.sources.nested import flatten_laps
-from matchflow.streaming.state import CarriedState, live
+from matchflow.streaming.commits import CarriedState, CommitLog
 
 KEY, ORDER = ["race_id", "driver"], ["lap"]
 
@@ -23,35 +23,52 @@ def parse_laps(messages: DataFrame, value: str = "value") -> DataFrame:
     return laps.withColumn("driver", F.col("driver").cast("bigint"))
 
 
-def lap_statistics(
-    laps: DataFrame, batch_id: int, state: CarriedState | None = None, ddof: int = 0, ttl_seconds: int | None = None
-) -> DataFrame:
-    """Statistics of all positions up to each lap of a micro-batch; moves the state on.
+#: Table of the live job, and its schema.
+STATISTICS = "statistics"
+LIVE_STATS = T.StructType([T.StructField("race_id", T.StringType()), *schemas.LAP_STATS.fields])
 
-    Drivers without laps for longer than ``ttl_seconds`` are forgotten.
-    """
+
+def lap_statistics(laps: DataFrame, state: CarriedState | None = None, ddof: int = 0) -> DataFrame:
+    """Statistics of all positions up to each lap of a micro-batch; moves the state on."""
     stats = position_statistics("position", ddof) | {"__seen": High(F.unix_timestamp(F.current_timestamp()))}
-    before = state.before(batch_id) if state else None
+    before = state.before(laps) if state else None
     out = running(laps, KEY, ORDER, stats, initial=before)
     if state:
-        state.after(live(advance(laps, KEY, ORDER, stats, before), len(stats) - 1, ttl_seconds), batch_id)
+        state.after(advance(laps, KEY, ORDER, stats, before))
     return out.drop("__seen")
 
 
+def work_off(log: CommitLog, batch: DataFrame, batch_id: int, ddof: int = 0, ttl_seconds: int | None = None) -> None:
+    """Write the statistics of a micro-batch and commit them with the state; nothing if that is done already."""
+    work = log.begin(batch_id)
+    if work is None:
+        return
+    batch = batch.persist()
+    try:
+        seen = F.col(f"__s{len(position_statistics('position', ddof))}.v")  # the time is the statistic behind these
+        state = work.state("laps", KEY, seen, ttl_seconds)
+        work.write(STATISTICS, lap_statistics(batch, state, ddof), LIVE_STATS)
+        work.commit()
+    finally:
+        batch.unpersist()
+
+
+def read_statistics(log: CommitLog) -> DataFrame:
+    """Statistics of all complete micro-batches."""
+    return log.read(STATISTICS, LIVE_STATS)
+
+
 def start_lap_statistics(
     laps: DataFrame, path: str, checkpoint: str, ddof: int = 0, trigger: dict | None = None, ttl_seconds: int | None = None
 ) -> StreamingQuery:
-    """Start the live job on a stream of laps; ``checkpoint`` must be a shared folder."""
-    state = CarriedState(laps.sparkSession, f"{checkpoint}/laps")
+    """Start the live job on a stream of laps; ``path`` and ``checkpoint`` must be shared folders.
+
+    ``ttl_seconds`` forgets drivers without laps for longer.
+    """
+    log = CommitLog(laps.sparkSession, path)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            out = lap_statistics(batch, batch_id, state, ddof, ttl_seconds)
-            columns = [F.col(f.name).cast(f.dataType) for f in schemas.LAP_STATS.fields]
-            write_batch(out.select("race_id", *columns), path, batch_id)
-        finally:
-            batch.unpersist()
-
-    writer = laps.writeStream.foreachBatch(process).option("checkpointLocation", f"{checkpoint}/query")
+        work_off(log, batch, batch_id, ddof, ttl_seconds)
+
+    writer = laps.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

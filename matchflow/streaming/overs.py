@@ -2,8 +2,9 @@
 
 Everything that needs only one over (runs, wickets, teams, flags, rates) is a native projection.
 The part that needs earlier overs is a stateful processor keyed by match. A match has at most
-40 overs; the processor drops repeats while it reads its input in batches, so it holds no
-more than that however often a message is repeated.
+40 overs; the processor takes out repeats while it reads its input in batches, so it holds no
+more than that however often a message is repeated. Overs that it does not count leave it in the
+same pass, with the reason, and go to a table of their own.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from matchflow import schemas
 from matchflow.functions import cricket
 from matchflow.functions.columns import season_number
 from matchflow.operators.overs import document_rows, with_rates
-from matchflow.sinks.tables import write_batch
 from matchflow.sources.messages import SENTINEL, accepted, split_messages
+from matchflow.streaming.commits import CommitLog
 
 # fixed values: mean runs and wickets per over and inning that fill skipped overs by default
 MEAN_RUNS = {1: 7.61, 2: 7.29}
 MEAN_WICKETS = {1: 0.36, 2: 0.34}
 
-_STATE = "score1 long, wickets1 long, score2 long, wickets2 long, inning long, over long, last_over1 long"
+_STATE = "score1 long, wickets1 long, score2 long, wickets2 long, inning long, over long, last_over1 long, counted1 long, counted2 long"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -37,13 +38,21 @@ CARRIED = [
     "cumulative_score", "cumulative_wickets", "first_inning_total_score", "first_inning_total_wickets",
     "first_inning_last_over",
 ]
+LATE, REPEATED, IDLE = "late", "repeated", "idle"
+BITS = 63  # overs of an inning that are remembered one by one
+STATISTICS, DROPPED = "statistics", "dropped"  # tables of the live job
 
 # the class is sent to the executors by value, so they need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class OverProcessor(StatefulProcessor):
-    """Adds the score carried over from earlier overs to each over of a match."""
+    """Adds the score carried over from earlier overs to each over of a match.
+
+    Each input row leaves once, in ``dropped`` the reason why it does not count: late (an over or inning behind it has begun)
+    or repeated (it has been counted). A match without input for ``ttl_ms`` is forgotten by a timer, which gives one row
+    with its totals and the reason idle.
+    """
 
     def __init__(self, columns: list[str], mean_runs: dict, mean_wickets: dict, ttl_ms: int | None = None):
         self.columns = columns
@@ -52,46 +61,66 @@ class OverProcessor(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("match", _STATE, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("match", _STATE)
+
+    def _row(self, rows: pd.DataFrame, reasons: list[str | None], carried: list[tuple] | None = None) -> pd.DataFrame:
+        more = pd.DataFrame(carried or [(None,) * len(CARRIED)] * len(rows), columns=CARRIED).astype("Int64")
+        return pd.concat([rows[self.columns].reset_index(drop=True), more, pd.DataFrame({"dropped": reasons}, dtype=object)], axis=1)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         overs = pd.DataFrame()
         for part in rows:
             # of different copies of an over the one with the most runs, then wickets, counts
             overs = pd.concat([overs, part]).sort_values(["inning", "over", "over_runs", "over_wickets"], kind="stable")
-            overs = overs.drop_duplicates(["inning", "over"], keep="last")
+            again = overs.duplicated(["inning", "over"], keep="last")
+            if again.any():
+                yield self._row(overs[again], [REPEATED] * int(again.sum()))
+            overs = overs[~again]
         overs = overs.sort_values(["inning", "over"], kind="stable")
 
-        if self.state.exists():
-            s1, w1, s2, w2, inning, over, last1 = self.state.get()
-        else:
-            s1, w1, s2, w2, inning, over, last1 = 0, 0, 0, 0, None, None, None
-        score, wickets = {1: s1, 2: s2}, {1: w1, 2: w2}
-        kept, carried = [], []
-        for at, row in enumerate(overs[["inning", "over", "over_runs", "over_wickets"]].itertuples(index=False)):
+        s1, w1, s2, w2, inning, over, last1, c1, c2 = self.state.get() if self.state.exists() else (0, 0, 0, 0, None, None, None, 0, 0)
+        score, wickets, counted = {1: s1, 2: s2}, {1: w1, 2: w2}, {1: c1, 2: c2}
+        reasons: list[str | None] = []
+        carried: list[tuple] = []
+        for row in overs[["inning", "over", "over_runs", "over_wickets"]].itertuples(index=False):
             now, number = int(row.inning), int(row.over)
-            if inning is not None:
-                if now < inning or (now == inning and number <= over):
-                    continue  # late or repeated
-                if now == inning and number > over + 1:
-                    skipped = number - over - 1
-                    score[now] += int(skipped * self.mean_runs[now])
-                    wickets[now] += int(skipped * self.mean_wickets[now])
+            bit = 1 << number if 0 <= number < BITS else 0
+            if inning is not None and (now, number) <= (inning, over):
+                reasons.append(REPEATED if counted[now] & bit or (now, number) == (inning, over) else LATE)
+                carried.append((None,) * len(CARRIED))
+                continue
+            if now == inning and number > over + 1:
+                skipped = number - over - 1
+                score[now] += int(skipped * self.mean_runs[now])
+                wickets[now] += int(skipped * self.mean_wickets[now])
             score[now] += int(row.over_runs)
             wickets[now] += int(row.over_wickets)
+            counted[now] |= bit
             inning, over = now, number
             if now == 1:
                 last1 = number
             second = now == 2
-            kept.append(at)
+            reasons.append(None)
             carried.append((score[now], wickets[now], score[1] * second, wickets[1] * second, last1 if second else None))
         if inning is not None:
-            self.state.update((score[1], wickets[1], score[2], wickets[2], inning, over, last1))
-        if kept:
-            out = overs.iloc[kept].reset_index(drop=True)
-            more = pd.DataFrame(carried, columns=CARRIED)
-            more["first_inning_last_over"] = more["first_inning_last_over"].astype("Int64")
-            yield pd.concat([out[self.columns], more], axis=1)
+            self.state.update((score[1], wickets[1], score[2], wickets[2], inning, over, last1, counted[1], counted[2]))
+        if self.ttl_ms:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+        if len(overs):
+            yield self._row(overs, reasons, carried)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
+        s1, w1, s2, w2, inning, over, last1, _, _ = self.state.get()
+        self.state.clear()
+        second = inning == 2
+        last = {"match_id": key[0], "inning": inning, "over": over}
+        row = pd.DataFrame({c: [last.get(c)] for c in self.columns})
+        yield self._row(row, [IDLE], [(s2 if second else s1, w2 if second else w1, s1 * second, w1 * second, last1 if second else None)])
 
     def close(self) -> None:
         pass
@@ -126,29 +155,34 @@ def rejected_overs(messages: DataFrame, value: str = "value", season_mode: str =
     return parsed.select(value, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def carry_overs(
+def tagged_overs(
     overs: DataFrame,
     mean_runs: dict | None = None,
     mean_wickets: dict | None = None,
     ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Add score and wickets so far and the first inning's totals; stream or batch input.
+    """All overs of a match with score and wickets so far and the first inning's totals; stream or batch input.
 
-    Skipped overs add the mean runs and wickets per over, truncated to whole numbers. Overs that
-    come late or again give no row, and neither do overs without a match.
+    ``dropped`` is null for the overs that count and else says why one does not (late, repeated); its totals are null. Skipped
+    overs add the mean runs and wickets per over, truncated to whole numbers. Overs without a match are left out. With
+    ``ttl_ms`` a match that is idle for longer is forgotten and gives a last row, tagged idle.
     """
     overs = overs.filter(F.col("match_id").isNotNull())
     columns = overs.columns
     processor = OverProcessor(columns, mean_runs or MEAN_RUNS, mean_wickets or MEAN_WICKETS, ttl_ms)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in overs.schema.fields]
-    schema = ", ".join([*fields, *[f"{name} bigint" for name in CARRIED]])
+    schema = ", ".join([*fields, *[f"{name} bigint" for name in CARRIED], "dropped string"])
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return overs.groupBy("match_id").transformWithStateInPandas(processor, schema, "Append", time_mode)
 
 
-def over_statistics(overs: DataFrame, mode: str = "stream", wicket_cap: int | None = cricket.MAX_WICKETS, **options) -> DataFrame:
-    """Carried totals and rates per over; shown wickets are capped, carried ones are not."""
-    carried = carry_overs(overs, **options)
+def carry_overs(overs: DataFrame, **options) -> DataFrame:
+    """The overs of ``tagged_overs`` that count."""
+    return tagged_overs(overs, **options).filter(F.col("dropped").isNull()).drop("dropped")
+
+
+def with_statistics(carried: DataFrame, mode: str = "stream", wicket_cap: int | None = cricket.MAX_WICKETS) -> DataFrame:
+    """Rates per over of carried totals; shown wickets are capped, carried ones are not."""
     rate = cricket.first_inning_rate(
         mode, F.col("first_inning_total_score"), F.col("first_inning_total_wickets"), F.col("first_inning_last_over")
     )
@@ -158,16 +192,51 @@ def over_statistics(overs: DataFrame, mode: str = "stream", wicket_cap: int | No
     return with_rates(carried.drop("first_inning_last_over", "over_runs", "over_wickets"))
 
 
+def over_statistics(overs: DataFrame, mode: str = "stream", wicket_cap: int | None = cricket.MAX_WICKETS, **options) -> DataFrame:
+    """Carried totals and rates of the overs that count."""
+    return with_statistics(carry_overs(overs, **options), mode, wicket_cap)
+
+
+def dropped_overs(tagged: DataFrame) -> DataFrame:
+    """Overs that do not count, with the reason, and the totals of matches that were forgotten."""
+    return tagged.filter(F.col("dropped").isNotNull()).select("match_id", "inning", "over", "over_runs", "over_wickets", "dropped", *CARRIED[:2])
+
+
 def start_over_statistics(
-    overs: DataFrame, path: str, checkpoint: str, score=None, trigger: dict | None = None, **options
+    overs: DataFrame,
+    path: str,
+    checkpoint: str,
+    score=None,
+    trigger: dict | None = None,
+    mode: str = "stream",
+    wicket_cap: int | None = cricket.MAX_WICKETS,
+    **options,
 ) -> StreamingQuery:
-    """Start the live job on a stream of over rows; ``score`` adds the predicted winner."""
+    """Start the live job on a stream of over rows; ``score`` adds the predicted winner.
+
+    Statistics and dropped overs of a micro-batch are committed together below ``path``; read them with ``read_overs``.
+    """
     spark = overs.sparkSession
     spark.conf.set(_PROVIDER, _ROCKSDB)  # the stateful API needs this store
-    stats = over_statistics(overs, **options)
+    log = CommitLog(spark, path)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch if score is None else score(batch), path, batch_id)
-
-    writer = stats.writeStream.foreachBatch(process).option("checkpointLocation", f"{checkpoint}/query")
+        work = log.begin(batch_id)
+        if work is None:
+            return
+        batch = batch.persist()  # read for both tables
+        try:
+            stats = with_statistics(batch.filter(F.col("dropped").isNull()).drop("dropped"), mode, wicket_cap)
+            work.write(STATISTICS, stats if score is None else score(stats))
+            work.write(DROPPED, dropped_overs(batch))
+            work.commit()
+        finally:
+            batch.unpersist()
+
+    writer = tagged_overs(overs, **options).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_overs(log: CommitLog, table: str = STATISTICS) -> DataFrame:
+    """The complete micro-batches of a table of the live job."""
+    return log.read(table)

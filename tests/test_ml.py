@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from matchflow import schemas
 from matchflow.ml import evaluate, models, split
-from matchflow.streaming.football import start_match_statistics
+from matchflow.streaming.commits import CommitLog
+from matchflow.streaming.football import read_predictions, read_statistics, start_match_statistics
 
 
 @pytest.fixture(scope="module")
@@ -61,11 +62,11 @@ def test_stream_writes_statistics_and_predictions(spark, result_model, tmp_path)
     events.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     start_match_statistics(
-        stream, str(tmp_path / "stats"), str(tmp_path / "ck"),
-        score=lambda df: models.score_results(result_model, df), predictions_path=str(tmp_path / "predictions"),
+        stream, str(tmp_path / "live"), str(tmp_path / "ck"), score=lambda df: models.score_results(result_model, df)
     ).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "stats")).count() == 4
-    predicted = spark.read.parquet(str(tmp_path / "predictions")).orderBy("event_sec").collect()
+    log = CommitLog(spark, str(tmp_path / "live"))
+    assert read_statistics(log).count() == 4
+    predicted = read_predictions(log).orderBy("event_sec").collect()
     assert [r.event_sec for r in predicted] == [0.0, 1.0, 2.0, 3.0]
     assert {r.predicted_result for r in predicted} <= {"home", "away", "draw"}
 

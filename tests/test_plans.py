@@ -10,6 +10,7 @@ from matchflow import schemas
 from matchflow.ml import models
 from matchflow.plans import cricket, football, formula
 from matchflow.sources import messages
+from matchflow.streaming.commits import CommitLog
 
 
 @pytest.fixture
@@ -59,10 +60,11 @@ def test_football(spark, tmp_path, database):
     (tmp_path / "live" / "a.json").write_text("\n".join(sent))
     dimension = spark.createDataFrame([("1", 10, 11, "home", "away")], "matchId string, team1_id long, team2_id long, team1_side string, team2_side string")
     football.start_live(
-        messages.read_message_files(spark, str(tmp_path / "live")), dimension, str(tmp_path / "s"), str(tmp_path / "p"), str(tmp_path / "c"), model
+        messages.read_message_files(spark, str(tmp_path / "live")), dimension, str(tmp_path / "s"), str(tmp_path / "c"), model
     ).awaitTermination()
-    assert [r.home_goals for r in spark.read.parquet(str(tmp_path / "s")).orderBy("eventSec").collect()] == [1, 2, 3]
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+    log = CommitLog(spark, str(tmp_path / "s"))
+    assert [r.home_goals for r in log.read("statistics").orderBy("eventSec").collect()] == [1, 2, 3]
+    assert log.read("predictions").count() == 3
 
 
 def test_formula(spark, tmp_path, database):
@@ -80,7 +82,7 @@ def test_formula(spark, tmp_path, database):
     (tmp_path / "in" / "m.json").write_text(json.dumps({"races": {"7": {"laps": {"1": laps["1"]}}}}))
     stream = messages.read_message_files(spark, str(tmp_path / "in"))
     formula.start_live(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert CommitLog(spark, str(tmp_path / "out")).read("statistics").count() == 5
 
 
 def test_cricket(spark, tmp_path, database):
@@ -115,6 +117,6 @@ def test_cricket(spark, tmp_path, database):
     (tmp_path / "in" / "m.json").write_text("\n".join(texts))
     stream = messages.read_message_files(spark, str(tmp_path / "in"))
     cricket.start_live(stream, str(tmp_path / "out"), str(tmp_path / "ck"), model).awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
+    out = CommitLog(spark, str(tmp_path / "out")).read("statistics").drop("batch_id")
     assert set(out.columns) == {f.name for f in schemas.OVER_STREAM_ROW}
     assert out.count() == 4 and {r.predicted_winner for r in out.collect()} <= {"Reds", "Blues"}

@@ -1,14 +1,17 @@
 import json
 import random
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchflow import schemas
 from matchflow.operators.laps import position_statistics
 from matchflow.operators.running import ROWS_PER_CHUNK_CONF, running
 from matchflow.sources import messages
 from matchflow.streaming import football, laps, overs
-from matchflow.streaming.state import CarriedState
+from matchflow.streaming.commits import MAX_FOLDERS, CommitLog
 
 MATCHES = [("1", 10, 11, "home", "away"), ("2", 12, 13, "away", "home")]
 MATCH_SCHEMA = "matchId string, team1_id long, team2_id long, team1_side string, team2_side string"
@@ -73,7 +76,7 @@ def run_football(spark, tmp_path, texts_by_file, **options):
     events = football.enrich_events(football.parse_events(stream), matches)
     out = str(tmp_path / "out")
     football.start_match_statistics(events, out, str(tmp_path / "ck"), **options).awaitTermination()
-    return spark.read.parquet(out)
+    return football.read_statistics(CommitLog(spark, out))
 
 
 @pytest.mark.parametrize("cuts, limit", [([0, 120], None), ([0, 30, 31, 90, 120], None), ([0, 60, 120], 20)])
@@ -103,7 +106,7 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     matches = spark.createDataFrame(MATCHES, MATCH_SCHEMA)
     stream = football.enrich_events(football.parse_events(messages.read_message_files(spark, str(tmp_path / "in"), 1)), matches)
     football.start_match_statistics(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    found = {(r.matchId, r.eventSec): r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    found = {(r.matchId, r.eventSec): r for r in football.read_statistics(CommitLog(spark, str(tmp_path / "out"))).collect()}
     for match, sec, values in brute_match_stats(events):
         assert {k: found[match, sec][k] for k in values} == values
 
@@ -115,35 +118,132 @@ def test_time_that_runs_backwards_counts_as_zero_and_doubling_is_optional(spark,
     assert [r.home_possession_time for r in rows] == [0.0, 30.0, 30.0, 32.0]
 
 
-def test_replayed_batch_finds_its_state(spark, tmp_path):
-    state = CarriedState(spark, str(tmp_path / "s"))
-    one = spark.createDataFrame([(1,)], "a int")
-    two = spark.createDataFrame([(2,)], "a int")
-    assert state.before(0) is None
-    state.after(one, 0)
-    state.after(two, 1)
-    assert state.before(1).first().a == 1  # as batch 1 saw it, although batch 1 has written
-    assert state.before(2).first().a == 2
+def totals_of(spark, log, batch_id):
+    """All live rows of a state as the next micro-batch finds them."""
+    return log.begin(batch_id).state("totals", ["matchId"]).read()
+
+
+STATE = "matchId string, __s0 struct<v: bigint>, n int"
+
+
+def carry(spark, log, batch_id, rows, ttl=None):
+    """A micro-batch that puts down ``rows`` as the state of their groups."""
+    work = log.begin(batch_id)
+    state = work.state("totals", ["matchId"], F.col("__s0.v"), ttl, buckets=4)
+    given = spark.createDataFrame(rows, STATE)
+    before = state.before(given)
+    state.after(given)
+    work.write("out", given)
+    work.commit()
+    return {} if before is None else {r.matchId: r.n for r in before.collect()}, work
+
+
+def test_state_finds_the_rows_of_its_groups_only(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert carry(spark, log, 0, [(str(i), (i,), 0) for i in range(50)] + [(None, (1,), 7)])[0] == {}
+    assert carry(spark, log, 1, [("3", (1,), 1), (None, (1,), 8), ("new", (1,), 1)])[0] == {"3": 0, None: 7}
+    assert carry(spark, log, 2, [("3", (1,), 2), ("4", (1,), 2), (None, (1,), 9)])[0] == {"3": 1, "4": 0, None: 8}
+    every = {r.matchId: r.n for r in totals_of(spark, log, 3).collect()}
+    assert every == {**{str(i): 0 for i in range(50)}, "3": 2, "4": 2, None: 9, "new": 1}
+
+
+def written(work, name):
+    return sum(f.stat().st_size for folder in work.states[name]["folders"].values() for f in Path(folder[-1]).rglob("*.parquet") if f"batch_id={work.batch_id}" in str(f))
+
+
+def test_bytes_written_do_not_grow_with_idle_groups(spark, tmp_path):
+    sizes = []
+    for idle in (10, 20_000):
+        log = CommitLog(spark, str(tmp_path / f"log{idle}"))
+        carry(spark, log, 0, [(f"idle {i}", (i,), i) for i in range(idle)])
+        sizes.append(written(carry(spark, log, 1, [("live", (1,), 1)])[1], "totals"))
+    assert sizes[0] == sizes[1] > 0
+
+
+def test_buckets_are_written_anew_and_lose_idle_groups(spark, tmp_path):
+    now = int(time.time())
+    log = CommitLog(spark, str(tmp_path / "log"))
+    carry(spark, log, 0, [("live", (now,), 0), ("idle", (now - 5000,), 0), ("fresh", (now,), 5)])
+    for n in range(1, MAX_FOLDERS + 2):
+        carry(spark, log, n, [(m, (now,), n) for m in ("live", "a", "b", "c", "d", "e", "f")], ttl=1000)
+    work = log.begin(MAX_FOLDERS + 2)
+    state = work.state("totals", ["matchId"])
+    assert max(map(len, state.entry["folders"].values())) <= MAX_FOLDERS
+    rows = {r.matchId: r.n for r in state.read().collect()}
+    assert rows["live"] == MAX_FOLDERS + 1 and rows["fresh"] == 5
+    forgetting = work.state("totals", ["matchId"], F.col("__s0.v"), 1000)
+    assert "idle" not in {r.matchId for r in forgetting.read().collect()}
+
+
+def test_replayed_batch_finds_its_state_and_readers_see_whole_batches(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    carry(spark, log, 0, [("1", (1,), 10)])
+    seen = []
+    for failing in (True, True, False):  # the batch fails after it has written its table and state, twice
+        work = log.begin(1)
+        state = work.state("totals", ["matchId"])
+        given = spark.createDataFrame([("1", (1,), 20)], STATE)
+        seen.append([r.n for r in state.before(given).collect()])
+        state.after(given)
+        work.write("out", given)
+        work.write("more", given)
+        assert [r.n for r in log.read("out", given.schema).collect()] == [10] and log.read("more", given.schema).count() == 0
+        if not failing:
+            work.commit()
+    assert seen == [[10]] * 3  # each attempt starts from the state that the batch before left
+    assert log.begin(1) is None  # complete, so it is not worked on again
+    assert sorted((r.n, r.batch_id) for r in log.read("out", given.schema).collect()) == [(10, 0), (20, 1)]
+    assert log.read("more", given.schema).count() == 1
+    with pytest.raises(RuntimeError, match="without a record"):
+        log.begin(7)
+
+
+def test_both_tables_are_read_whole_while_a_batch_runs_again(spark, tmp_path):
+    """Scoring fails after the statistics are written: readers see neither table of the batch, and then both."""
+    log = CommitLog(spark, str(tmp_path / "live"))
+    rows = [("1_0_a", "1", 0.0, "Shot", [1801, 101], "home"), ("1_5_b", "1", 5.0, "Pass", [], "home")]
+    events = spark.createDataFrame(rows, "event_id string, matchId string, eventSec double, eventName string, tagsList array<int>, side string")
+    score = lambda stats: stats.selectExpr(
+        "event_id", "matchId as match_id", "eventSec as event_sec", "'home' as predicted_result", "1.0D as prob_home_win", "0.0D as prob_away_win", "0.0D as prob_draw"
+    )
+
+    def failing(stats):
+        assert football.read_statistics(log).count() == football.read_predictions(log).count()
+        raise OSError("no model")
+
+    football.work_off(log, events.limit(1), 0, score)
+    for attempt in range(2):
+        with pytest.raises(OSError, match="no model"):
+            football.work_off(log, events.where("eventSec > 0"), 1, failing)
+        assert football.read_statistics(log).count() == football.read_predictions(log).count() == 1
+    football.work_off(log, events.where("eventSec > 0"), 1, score)
+    football.work_off(log, events.where("eventSec > 0"), 1, failing)  # complete already, so it does nothing
+    got = football.read_statistics(log).join(football.read_predictions(log), "event_id").collect()
+    assert {r.event_id: r.home_goals for r in got} == {"1_0_a": 1, "1_5_b": 1}
+    assert {r.home_possession_time for r in got} == {0.0, 5.0}
 
 
 def test_idle_matches_are_forgotten(spark, tmp_path):
-    def batch(match):
-        rows = [("e", match, 1.0, "Pass", [], "home")]
-        return spark.createDataFrame(rows, "event_id string, matchId string, eventSec double, eventName string, tagsList array<int>, side string")
+    log = CommitLog(spark, str(tmp_path / "log"))
 
-    last, totals = CarriedState(spark, str(tmp_path / "l")), CarriedState(spark, str(tmp_path / "t"))
-    football.match_statistics(batch("1"), 0, last, totals)
-    football.match_statistics(batch("2"), 1, last, totals, ttl_seconds=-1)
-    assert totals.before(2).count() == 0 and last.before(2).count() == 0
-    football.match_statistics(batch("2"), 1, last, totals, ttl_seconds=1000)
-    assert totals.before(2).count() == 2 and last.before(2).count() == 2
+    def passes(number, match, ttl):
+        rows = [(f"e{number}", match, 1.0, "Pass", [], "home")]
+        batch = spark.createDataFrame(rows, "event_id string, matchId string, eventSec double, eventName string, tagsList array<int>, side string")
+        football.work_off(log, batch, number, ttl_seconds=ttl)
+        return football.read_statistics(log).where(f"event_id = 'e{number}'").first().home_passes
+
+    assert [passes(0, "1", None), passes(1, "1", 1000), passes(2, "1", -1), passes(3, "2", None), passes(4, "1", None)] == [1, 2, 1, 1, 2]
 
 
 def test_idle_drivers_are_forgotten(spark, tmp_path):
-    state = CarriedState(spark, str(tmp_path / "s"))
-    lap = spark.createDataFrame([("1", 7, 1, 3)], "race_id string, driver bigint, lap bigint, position int")
-    laps.lap_statistics(lap, 0, state, ttl_seconds=-1)
-    assert state.before(1).count() == 0
+    log = CommitLog(spark, str(tmp_path / "log"))
+
+    def mean(number, position, ttl):
+        lap = spark.createDataFrame([("1", 7, number, position)], "race_id string, driver bigint, lap bigint, position int")
+        laps.work_off(log, lap, number, ttl_seconds=ttl)
+        return laps.read_statistics(log).where(f"lap = {number}").first().mean_position_up_to_lap
+
+    assert [mean(0, 2, None), mean(1, 4, 1000), mean(2, 9, -1), mean(3, 1, None)] == [2.0, 3.0, 9.0, 5.0]
 
 
 @pytest.mark.parametrize("cuts", [[0, 40], [0, 13, 14, 40]])
@@ -156,7 +256,7 @@ def test_lap_stats_equal_windows(spark, tmp_path, cuts):
     parsed = laps.parse_laps(messages.read_message_files(spark, str(tmp_path / "in"), 1))
     out = str(tmp_path / "out")
     laps.start_lap_statistics(parsed, out, str(tmp_path / "ck")).awaitTermination()
-    got = spark.read.parquet(out).drop("batch_id")
+    got = laps.read_statistics(CommitLog(spark, out)).drop("batch_id")
     assert [f.name for f in schemas.LAP_STATS] == [c for c in got.columns if c != "race_id"]
     table = spark.createDataFrame([(str(a), b, c, d) for a, b, c, d in rows], "race_id string, lap long, driver long, position int")
     want = running(table, ["race_id", "driver"], ["lap"], position_statistics(ddof=0))
@@ -192,11 +292,16 @@ def test_overs_impute_gaps_and_drop_late_input(spark, tmp_path, sizes):
     parsed = overs.parse_overs(messages.read_message_files(spark, str(tmp_path / "in"), 1))
     out = str(tmp_path / "out")
     overs.start_over_statistics(parsed, out, str(tmp_path / "ck")).awaitTermination()
-    got = {(r.match_id, r.inning, r.over): r for r in spark.read.parquet(out).collect()}
+    log = CommitLog(spark, out)
+    got = {(r.match_id, r.inning, r.over): r for r in overs.read_overs(log).collect()}
+    dropped = sorted((r.match_id, r.inning, r.over, r.dropped) for r in overs.read_overs(log, overs.DROPPED).collect())
+    assert len(got) + len(dropped) == 9  # every over leaves once
     scores = {k: (r.cumulative_score, r.cumulative_wickets) for k, r in got.items()}
     if len(sizes) == 1:  # in one batch everything is put in order first, so nothing is late
         assert scores[1, 1, 5] == (81, 1) and scores[1, 2, 4] == (15 + 7, 10)
         return
+    if sizes == [1] * 10:
+        assert dropped == [(1, 1, 0, "repeated"), (1, 1, 5, "late"), (1, 2, 4, "late")]
     late_four = {(1, 2, 4)} if sizes == [3, 4, 3] else set()
     assert set(scores) - late_four == {(1, 1, 0), (1, 1, 3), (1, 2, 2), (1, 2, 6), (2, 1, 0), (2, 1, 1)} | ({(1, 1, 5)} if sizes == [3, 4, 3] else set())
     assert scores[1, 1, 0] == (5, 0) and scores[1, 1, 3] == (24, 1)
@@ -217,6 +322,30 @@ def test_over_processor_on_a_table(spark):
     assert [(r.over, r.cumulative_score, r.cumulative_wickets) for r in got] == [(0, 6, 1), (1, 12, 2), (4, 12 + 11 + 6, 4)]
 
 
+def test_overs_that_do_not_count_are_tagged(spark):
+    rows = [(1, 1, o, 6, 1) for o in (0, 1, 4)] * 3 + [(1, 1, 4, 9, 0)]
+    df = spark.createDataFrame(rows, "match_id long, inning int, over int, over_runs long, over_wickets long")
+    spark.conf.set(overs._PROVIDER, overs._ROCKSDB)
+    got = overs.tagged_overs(df, mean_runs={1: 0, 2: 0}, mean_wickets={1: 0, 2: 0}).collect()
+    assert sorted((r.over, r.dropped or "", r.cumulative_score) for r in got if not r.dropped) == [(0, "", 6), (1, "", 12), (4, "", 21)]
+    assert sorted((r.over, r.dropped) for r in got if r.dropped) == [(0, "repeated")] * 2 + [(1, "repeated")] * 2 + [(4, "repeated")] * 3
+
+
+def test_idle_matches_leave_by_a_timer(spark, tmp_path):
+    schema = "match_id long, inning int, over int, over_runs long, over_wickets long, team_1 string"
+    out = str(tmp_path / "out")
+    for number, (match, over) in enumerate([(1, 0), (2, 0), (1, 1)]):
+        spark.createDataFrame([(match, 1, over, 5, 1, "A")], schema).write.parquet(str(tmp_path / f"in/part={number}"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in/part=*")).drop("part")
+        overs.start_over_statistics(stream, out, str(tmp_path / "ck"), ttl_ms=1).awaitTermination()
+        time.sleep(0.1)
+    log = CommitLog(spark, out)
+    assert [(r.match_id, r.over, r.cumulative_score) for r in overs.read_overs(log).orderBy("batch_id", "match_id").collect() if r.match_id == 1][0] == (1, 0, 5)
+    idle = {(r.match_id, r.over, r.dropped, r.cumulative_score) for r in overs.read_overs(log, overs.DROPPED).collect()}
+    assert (1, 0, "idle", 5) in idle
+    assert [r.cumulative_score for r in overs.read_overs(log).where("match_id = 1 and over = 1").collect()] == [5]  # as if the match began there
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.read_topic(spark, "localhost:9092", "events").explain()
