@@ -214,9 +214,14 @@ def start_over_statistics(
 ) -> StreamingQuery:
     """Start the live job on a stream of over rows; ``score`` adds the predicted winner.
 
-    Statistics and dropped overs of a micro-batch are committed together below ``path``; read them with ``read_overs``.
+    Statistics and dropped overs of a micro-batch are committed together below ``path``; read them with ``read_overs``. With
+    ``ttl_ms`` timers need micro-batches without input, which a trigger that ends with its input would never stop to start.
     """
     spark = overs.sparkSession
+    idle = options.get("ttl_ms")
+    trigger = trigger or ({"processingTime": "10 seconds"} if idle else {"availableNow": True})
+    if idle and "processingTime" not in trigger:
+        raise ValueError("ttl_ms needs a processingTime trigger")
     spark.conf.set(_PROVIDER, _ROCKSDB)  # the stateful API needs this store
     log = CommitLog(spark, path)
 
@@ -226,6 +231,8 @@ def start_over_statistics(
             return
         batch = batch.persist()  # read for both tables
         try:
+            if batch.isEmpty():
+                return work.commit()
             stats = with_statistics(batch.filter(F.col("dropped").isNull()).drop("dropped"), mode, wicket_cap)
             work.write(STATISTICS, stats if score is None else score(stats))
             work.write(DROPPED, dropped_overs(batch))
@@ -234,7 +241,7 @@ def start_over_statistics(
             batch.unpersist()
 
     writer = tagged_overs(overs, **options).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
+    return writer.outputMode("append").trigger(**trigger).start()
 
 
 def read_overs(log: CommitLog, table: str = STATISTICS) -> DataFrame:

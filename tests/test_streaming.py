@@ -334,16 +334,20 @@ def test_overs_that_do_not_count_are_tagged(spark):
 def test_idle_matches_leave_by_a_timer(spark, tmp_path):
     schema = "match_id long, inning int, over int, over_runs long, over_wickets long, team_1 string"
     out = str(tmp_path / "out")
-    for number, (match, over) in enumerate([(1, 0), (2, 0), (1, 1)]):
-        spark.createDataFrame([(match, 1, over, 5, 1, "A")], schema).write.parquet(str(tmp_path / f"in/part={number}"))
-        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in/part=*")).drop("part")
-        overs.start_over_statistics(stream, out, str(tmp_path / "ck"), ttl_ms=1).awaitTermination()
-        time.sleep(0.1)
-    log = CommitLog(spark, out)
-    assert [(r.match_id, r.over, r.cumulative_score) for r in overs.read_overs(log).orderBy("batch_id", "match_id").collect() if r.match_id == 1][0] == (1, 0, 5)
-    idle = {(r.match_id, r.over, r.dropped, r.cumulative_score) for r in overs.read_overs(log, overs.DROPPED).collect()}
-    assert (1, 0, "idle", 5) in idle
-    assert [r.cumulative_score for r in overs.read_overs(log).where("match_id = 1 and over = 1").collect()] == [5]  # as if the match began there
+    spark.createDataFrame([(1, 1, 3, 5, 1, "A")], schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="processingTime"):
+        overs.start_over_statistics(stream, out, str(tmp_path / "ck"), ttl_ms=1, trigger={"availableNow": True})
+    query = overs.start_over_statistics(stream, out, str(tmp_path / "ck"), ttl_ms=1, trigger={"processingTime": "1 second"})
+    log, until = CommitLog(spark, out), time.time() + 60
+    try:
+        while time.time() < until and (log.record(1) is None or not log.record(1)["tables"]):
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert [(r.over, r.cumulative_score, r.team_1) for r in overs.read_overs(log).where("batch_id = 0").collect()] == [(3, 5, "A")]
+    idle = [(r.match_id, r.over, r.dropped, r.cumulative_score, r.cumulative_wickets) for r in overs.read_overs(log, overs.DROPPED).collect()]
+    assert idle == [(1, 3, "idle", 5, 1)]
 
 
 def test_kafka_source_needs_its_connector(spark):
