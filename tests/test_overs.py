@@ -112,6 +112,18 @@ def test_null_audit(spark):
     assert got == {"a": (3, 2, 1), "b": (3, 1, 2)}
 
 
+@pytest.mark.parametrize("sample_rows, least", [(3000, 1000), (400, 10), (40, 10)])
+def test_quartiles_in_brackets_are_exact(spark, monkeypatch, sample_rows, least):
+    """Small samples give wide brackets, tiny ones none or some that miss; the result is the same."""
+    monkeypatch.setattr(aggregates, "FEW_ROWS", 0)
+    monkeypatch.setattr(aggregates, "LEAST_SAMPLE", least)
+    df = spark.range(3000).selectExpr("cast(pow(id % 1009, 2) as double) as a", "cast(id % 7 as int) as ties", "if(id % 5 = 0, null, id * 1.5) as b", "cast(null as double) as none", "if(id = 8, id, null) as one")
+    want, got = df.toPandas().astype(float).describe(), {r.column_name: r for r in aggregates.describe_numeric(df, sample_rows=sample_rows).collect()}
+    for c in ("a", "ties", "b", "one"):
+        assert [got[c].q25, got[c]["median"], got[c].q75] == pytest.approx(list(want[c][4:7]))
+    assert got["none"]["count"] == 0 and got["none"].q25 is None
+
+
 @pytest.mark.parametrize("limit", [10, 20_000_000])
 def test_describe_matches_pandas(spark, limit):
     from matchflow.operators.running import ROWS_PER_CHUNK_CONF
