@@ -110,6 +110,21 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(F.forall(vector, finite), F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def best_of(there: np.ndarray, query: np.ndarray, products: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact scores of the ``n`` largest inner products, ties in the order of the rows.
+
+    ``products`` may differ from the exact scores by rounding, which is bounded relative to the lengths; whatever lies within that
+    bound of the n-th largest is scored exactly.
+    """
+    near = np.arange(len(products))
+    if len(products) > n:
+        bound = 4 * len(query) * np.finfo(np.float64).eps * np.linalg.norm(query) * np.linalg.norm(there, axis=1).max()
+        near = np.flatnonzero(products >= np.partition(products, -n)[-n] - bound)
+    exact = (there[near] * query).sum(axis=1)
+    order = np.argsort(-exact, kind="stable")[:n]
+    return near[order], exact[order]
+
+
 def stack(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
@@ -148,7 +163,8 @@ def nearest(
     longest = total["m"]
 
     def lifted(vectors: np.ndarray) -> np.ndarray:
-        return np.column_stack([vectors, np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))])
+        scaled = vectors / longest  # the trees see the same for vectors of any scale
+        return np.column_stack([scaled, np.sqrt(np.maximum(1 - (scaled**2).sum(axis=1), 0))])
 
     def asking(vectors: np.ndarray) -> np.ndarray:
         return np.column_stack([vectors / np.linalg.norm(vectors, axis=1, keepdims=True), np.zeros(len(vectors))])
@@ -193,9 +209,9 @@ def nearest(
         q, x = stack(queries["vector"]), stack(there["vector"])
         order = np.argsort(there["id"].to_numpy(), kind="stable")
         x, ids = x[order], there["id"].to_numpy()[order]
-        best = np.argsort(-(q @ x.T).round(12), axis=1, kind="stable")[:, : k + 1]
-        exact = np.stack([(x[b] * v).sum(axis=1) for b, v in zip(best, q)])
-        return pd.DataFrame({"query": np.repeat(queries["id"].to_numpy(), best.shape[1]), "id": ids[best].ravel(), "score": exact.ravel()})
+        best = [best_of(x, v, products, k + 1) for v, products in zip(q, q @ x.T)]
+        places, exact = np.concatenate([b for b, _ in best]), np.concatenate([e for _, e in best])
+        return pd.DataFrame({"query": np.repeat(queries["id"].to_numpy(), [len(b) for b, _ in best]), "id": ids[places], "score": exact})
 
     scored = asked.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInPandas(score, "query bigint, id bigint, score double")
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")

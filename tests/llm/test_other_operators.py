@@ -177,9 +177,10 @@ def test_components_of_chains_loops_and_nothing(spark):
 # --- nearest neighbours ----------------------------------------------------------------------------
 
 
-def test_nearest_against_brute_force(spark):
+@pytest.mark.parametrize("scale", [1, 1e-7, 1e7])
+def test_nearest_against_brute_force(spark, scale):
     rng = np.random.default_rng(0)
-    x = rng.standard_normal((600, 16)).astype(np.float32)
+    x = (rng.standard_normal((600, 16)) * scale).astype(np.float32)
     x[100:200] = x[7]  # many equal vectors
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(3, x[3].tolist(), 0), (900, None, 0), (901, [0.0] * 16, 0), (902, [1.0, None] + [0.0] * 14, 0), (903, [float("nan")] * 16, 0), (904, [1.0], 0), (None, x[5].tolist(), 0)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
@@ -194,12 +195,22 @@ def test_nearest_against_brute_force(spark):
         assert [n for n, _, _ in found] == list(range(1, 21)) and q not in [i for _, i, _ in found]
         assert [(-s, i) for _, i, s in found] == sorted((-s, i) for _, i, s in found)
         scores = (wide * wide[q]).sum(axis=1)
-        assert np.allclose([s for _, _, s in found], scores[[i for _, i, _ in found]])
+        assert np.allclose([s for _, _, s in found], scores[[i for _, i, _ in found]], rtol=1e-12, atol=0)
         scores[q] = -np.inf
-        hit += len({i for _, i, _ in found} & set(np.lexsort((np.arange(600), -scores.round(12)))[:20].tolist()))
+        hit += len({i for _, i, _ in found} & set(np.lexsort((np.arange(600), -scores))[:20].tolist()))
     assert hit / 20 / len(got) >= 0.9
 
 
+def test_best_of_settles_what_rounding_blurs():
+    rng = np.random.default_rng(1)
+    there = np.repeat(rng.standard_normal((50, 8)) * 1e-9, 3, axis=0)
+    query = rng.standard_normal(8)
+    exact = (there * query).sum(axis=1)
+    blurred = exact * (1 + 1e-16 * rng.standard_normal(150))
+    places, scores = ann_forest.best_of(there, query, blurred, 7)
+    assert places.tolist() == np.lexsort((np.arange(150), -exact))[:7].tolist() and (scores == exact[places]).all()
+
+
 def test_nearest_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = ann_forest.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
