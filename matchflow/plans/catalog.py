@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from matchflow.plans import cricket, tables
 from matchflow.plans import football as football_plans
 from matchflow.plans.tables import load
 from matchflow.session import fresh_path, materialise
-from matchflow.sinks.tables import save_path
+from matchflow.sinks.tables import save_path, save_table
 from matchflow.sources import files, messages, nested
 from matchflow.streaming import football as live_football
 from matchflow.streaming import laps as live_laps
@@ -676,6 +677,60 @@ def lookup_laps(spark, folder):
     return files.lookup_laps(laps, 3).select("raceId", "driver", "lap", "milliseconds")
 
 
+@register
+def lookup_one_lap(spark, folder):
+    """All drivers of one lap of a race, laps numbered within fifty."""
+    laps = _laps(spark, folder).withColumns({"raceId": F.col("race_id"), "lap": F.col("lap") % 50})
+    return files.lookup_laps(laps, 3, 7).select("raceId", "driver", "lap", "position", "milliseconds")
+
+
+@register
+def lookup_gameweek(spark, folder):
+    """Matches of a gameweek and competition of the match feed."""
+    chosen = files.lookup_matches(tables.match_feed(load(spark, folder, "orders")), None, 3, 2)
+    return chosen.select("wyId", "gameweek", "competitionId", "status", F.col("`team1.teamId`").alias("team1_id"))
+
+
+@register
+def live_match_dimension(spark, folder):
+    """The dimension of the live job from the full match table."""
+    return files.match_dimension_from_matches(tables.match_feed(load(spark, folder, "orders")))
+
+
+@register
+def laps_with_circuit(spark, folder):
+    """Laps with the circuit of their race, whose table was landed twice."""
+    races = load(spark, folder, "nation").select(F.col("n_nationkey").cast("bigint").alias("raceId"), F.col("n_regionkey").alias("circuitId"))
+    races = races.filter(F.col("raceId") % 4 > 0)
+    return joins.enrich_circuit(_laps(spark, folder), races.unionByName(races)).select("race_id", "driver", "lap", "circuitId")
+
+
+@register
+def complete_match_events(spark, folder):
+    """Events of the wanted matches, after the check that each of them has some."""
+    events = _events(spark, folder)
+    wanted = events.select("match_id").filter(F.col("match_id") % 4 == 0).distinct()
+    return nested.require_matches(files.select_matches(events, wanted), wanted).select("event_id", "match_id", "side")
+
+
+@register
+def cumulative_match_result(spark, folder):
+    """Match statistics that carry what is constant within a match."""
+    events = _events(spark, folder).withColumn("result", F.when(F.col("match_id") % 3 == 0, "draw").otherwise("home"))
+    flags = football.flags_by_code(F.col("event_name"), F.col("tags"))
+    return rounded(football_ops.cumulative_stats(_tagged(events), flags, per_match=["result"], offset="first_half_max"))
+
+
+@register
+def sink_table(spark, folder):
+    """Orders added to a catalog table twice, of which two columns are read."""
+    name = f"appended_{uuid.uuid4().hex}"
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    save_table(orders, name, "APPEND")
+    save_table(orders, name, "APPEND")
+    return files.read_table(spark, name, ["o_orderkey", "o_totalprice"])
+
+
 @register
 def lookup_race(spark, folder):
     customers = load(spark, folder, "customer")

@@ -486,6 +486,19 @@ UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders""",
         "stream_match_stats": _stream_match_stats(),
         "stream_match_stats_batches": _stream_match_stats(),
         "lookup_laps": _with(LAPS) + 'SELECT race_id AS "raceId", driver, lap, milliseconds FROM laps WHERE race_id = 3',
+        "lookup_one_lap": _with(LAPS) + """SELECT race_id AS "raceId", driver, lap % 50 AS lap, position, milliseconds
+FROM laps WHERE race_id = 3 AND lap % 50 = 7""",
+        "lookup_gameweek": """SELECT o_orderkey AS "wyId", CAST(month(o_orderdate) AS INTEGER) AS gameweek,
+  CAST(o_custkey % 5 AS INTEGER) AS "competitionId", CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+  o_custkey % 20 AS team1_id FROM orders WHERE month(o_orderdate) = 3 AND o_custkey % 5 = 2""",
+        "live_match_dimension": """SELECT CAST(o_orderkey AS VARCHAR) AS "matchId", o_custkey % 20 AS team1_id,
+  o_custkey % 20 + 1 AS team2_id, 'home' AS team1_side, 'away' AS team2_side FROM orders""",
+        "laps_with_circuit": _with(LAPS) + """SELECT race_id, driver, lap, n_regionkey AS "circuitId"
+FROM laps LEFT JOIN nation ON race_id = n_nationkey AND n_nationkey % 4 > 0""",
+        "complete_match_events": _with(EVENTS) + "SELECT event_id, match_id, side FROM ev WHERE match_id % 4 = 0",
+        "cumulative_match_result": "SELECT *, CASE WHEN match_id % 3 = 0 THEN 'draw' ELSE 'home' END AS result FROM ("
+        + _with(EVENTS, HALVES) + _cumulative("shifted", "current") + ")",
+        "sink_table": "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders",
         "lookup_race": "SELECT c_name AS name, c_mktsegment AS date FROM customer WHERE c_custkey = 7",
         "lookup_match_events": _with(EVENTS) + """SELECT event_id, match_id, match_period FROM ev
 WHERE match_id = 5 AND event_sec + CASE WHEN match_period = '2H' THEN 3600 ELSE 0 END BETWEEN 86400 AND 1500000""",
