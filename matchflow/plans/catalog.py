@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -653,6 +653,38 @@ def _live_chain(spark: SparkSession, folder: str) -> CommitLog:
     return CommitLog(spark, path)
 
 
+@register
+def rejected_events(spark, folder):
+    """Messages that are no events, some of each kind, with the reason."""
+    feed, kind = tables.event_feed(load(spark, folder, "events")), F.col("id") % 20
+    whole = {f.name: F.col(f.name).cast(f.dataType) for f in schemas.EVENT_MESSAGE.fields if f.name in feed.columns}
+
+    def text(**other) -> Column:
+        return F.to_json(F.struct(*[c.alias(n) for n, c in (whole | other).items()]))
+
+    value = F.when(kind == 0, F.concat(F.lit("["), F.col("id"), F.lit("]"))).when(kind == 1, F.lit(f'"{messages.SENTINEL}"')).when(kind == 2, "{broken")
+    value = value.when(kind == 3, text(matchId=F.lit(None))).when(kind == 4, text(eventSec=F.lit("soon"))).when(kind == 5, text(eventSec=F.lit(None)))
+    sent = feed.select("id", value.otherwise(text()).alias("value"))
+    return live_football.rejected_events(sent).select("id", "reason")
+
+
+@register
+def rejected_overs(spark, folder):
+    """Over messages that lack what an over needs, with the reason."""
+    events = load(spark, folder, "events")
+    shaped = tables.over_feed(events)
+    number, kind = F.col("over_number"), F.col("match_id") % 20
+    whole = {c: F.col(c) for c in shaped.columns}
+
+    def text(**other) -> Column:
+        return F.to_json(F.struct(*[c.alias(n) for n, c in (whole | other).items()]))
+
+    value = F.when(kind == 0, text(match_id=F.lit(None))).when(kind == 1, text(deliveries=F.lit(None))).when(kind == 2, text(season=F.lit("soon")))
+    value = value.when(kind == 3, F.lit(f'"{messages.SENTINEL}"')).when(kind == 4, text(team=F.lit(None))).when(kind == 5, "[]")
+    sent = shaped.select("match_id", number.alias("over"), value.otherwise(text()).alias("value"))
+    return live_overs.rejected_overs(sent).select("match_id", "over", "reason")
+
+
 @register
 def live_statistics(spark, folder):
     """Statistics of the live chain from message text."""

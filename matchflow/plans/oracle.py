@@ -532,6 +532,11 @@ UNION ALL SELECT 'a.b', count(*), count(*) FILTER (n_nationkey > 3), count(*) -
         "stream_overs_dropped": _stream_overs_dropped(),
         "live_statistics": f"SELECT * EXCLUDE (event_id) FROM ({_live_statistics()})",
         "live_predictions": _live_predictions(),
+        "rejected_events": """SELECT event_id AS id, CASE event_id % 20 WHEN 1 THEN 'no data' WHEN 3 THEN 'no matchId'
+  WHEN 4 THEN 'eventSec is no number' ELSE 'not a JSON object' END AS reason FROM events WHERE event_id % 20 < 5""",
+        "rejected_overs": """SELECT user_id AS match_id, CAST(hour(ts) % 12 AS INTEGER) AS "over", CASE user_id % 20 WHEN 0 THEN 'no match_id'
+  WHEN 1 THEN 'no deliveries' WHEN 2 THEN 'season cannot be read' WHEN 3 THEN 'no data' WHEN 4 THEN 'no team'
+  ELSE 'not a JSON object' END AS reason FROM events WHERE user_id % 20 < 6""",
         "holdout_split": _with(EVENTS) + """
 SELECT event_id, match_id,
        CASE WHEN CAST('0x' || substr(md5(CAST(match_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.3

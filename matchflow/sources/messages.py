@@ -79,7 +79,11 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter("is_object").drop("is_object")
 
 
+def unreadable(value: str = "value") -> Column:
+    """Why a message is no JSON object."""
+    return F.when(F.col(value).contains(SENTINEL), "no data").otherwise("not a JSON object")
+
+
 def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
     """Messages that are no JSON object, for a dead-letter table; the sentinel is among them."""
-    reason = F.when(F.col(value).contains(SENTINEL), "no data").otherwise("not a JSON object")
-    return parsed.filter(~F.col("is_object")).select(value, reason.alias("reason"))
+    return parsed.filter(~F.col("is_object")).select(value, unreadable(value).alias("reason"))

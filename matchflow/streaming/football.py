@@ -19,7 +19,7 @@ from matchflow.functions import football
 from matchflow.functions.columns import int_list
 from matchflow.operators.joins import enrich_side
 from matchflow.operators.running import High, Previous, Total, advance, cut, hot_cuts, running
-from matchflow.sources.messages import accepted, split_messages
+from matchflow.sources.messages import accepted, split_messages, unreadable
 from matchflow.streaming.commits import CarriedState, CommitLog
 
 # events of one second go by a hash of their id: any fixed order will do, and a number can be cut along
@@ -27,15 +27,29 @@ KEY, ORDER = ["matchId"], ["eventSec", "__order"]
 
 
 def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Event columns of the messages that are JSON objects and name a match."""
-    events = accepted(split_messages(messages, schemas.EVENT_MESSAGE, value)).select("message.*")
+    """Event columns of the messages that are JSON objects and name a match and no mistyped second; see ``rejected_events``."""
+    parsed = accepted(split_messages(messages, schemas.EVENT_MESSAGE, value))
     return (
-        events.filter(F.col("matchId").isNotNull())
+        parsed.filter(_lacks(value).isNull())
+        .select("message.*")
         .withColumn("eventSec", football.absolute_second(F.col("eventSec"), F.col("matchPeriod")))
         .withColumn("tagsList", int_list("tagsList"))
     )
 
 
+def _lacks(value: str) -> Column:
+    """Why a parsed message is no event; null if it is one. The text is only looked at again where the second is missing."""
+    second = F.col("message.eventSec").isNull() & F.get_json_object(F.col(value), "$.eventSec").isNotNull()
+    return F.when(F.col("message.matchId").isNull(), "no matchId").when(second, "eventSec is no number")
+
+
+def rejected_events(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Messages that give no event, with the reason, for a dead-letter table; batch or stream."""
+    parsed = split_messages(messages, schemas.EVENT_MESSAGE, value)
+    reason = F.when(F.col("is_object"), _lacks(value)).otherwise(unreadable(value))
+    return parsed.select(*messages.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def enrich_events(events: DataFrame, matches: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Add the side of the event's team and an event id; the input may be a stream."""
     sided = enrich_side(events, matches)

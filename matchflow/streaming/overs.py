@@ -23,7 +23,7 @@ from matchflow import schemas
 from matchflow.functions import cricket
 from matchflow.functions.columns import season_number
 from matchflow.operators.overs import document_rows, with_rates
-from matchflow.sources.messages import SENTINEL, accepted, split_messages
+from matchflow.sources.messages import accepted, split_messages, unreadable
 from matchflow.streaming.commits import CommitLog
 
 # fixed values: mean runs and wickets per over and inning that fill skipped overs by default
@@ -150,9 +150,8 @@ def _lacks(season_mode: str) -> Column:
 def rejected_overs(messages: DataFrame, value: str = "value", season_mode: str = "stream") -> DataFrame:
     """Messages that give no over, with the reason, for a dead-letter table; batch or stream."""
     parsed = split_messages(messages, schemas.OVER_DOCUMENT, value)
-    broken = F.when(F.col(value).contains(SENTINEL), "no data").otherwise("not a JSON object")
-    reason = F.when(F.col("is_object"), _lacks(season_mode)).otherwise(broken)
-    return parsed.select(value, reason.alias("reason")).filter(F.col("reason").isNotNull())
+    reason = F.when(F.col("is_object"), _lacks(season_mode)).otherwise(unreadable(value))
+    return parsed.select(*messages.columns, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def tagged_overs(

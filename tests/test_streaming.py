@@ -350,6 +350,18 @@ def test_idle_matches_leave_by_a_timer(spark, tmp_path):
     assert idle == [(1, 3, "idle", 5, 1)]
 
 
+def test_every_message_is_an_event_or_rejected_with_a_reason(spark):
+    texts = {
+        '{"matchId": 1, "eventSec": 3, "matchPeriod": "2H"}': None, '{"matchId": "1"}': None, '{"matchId": 1, "eventSec": null}': None,
+        "{}": "no matchId", '{"matchId": null, "eventSec": "x"}': "no matchId", '{"matchId": 1, "eventSec": "soon"}': "eventSec is no number",
+        "[1]": "not a JSON object", "{broken": "not a JSON object", "": "not a JSON object", '"Invalid data provided."': "no data", None: "not a JSON object",
+    }
+    sent = spark.createDataFrame([(t, 7) for t in texts], "value string, offset int")
+    assert {r.value: r.reason for r in football.rejected_events(sent).collect()} == {t: reason for t, reason in texts.items() if reason}
+    assert football.rejected_events(sent).columns == ["value", "offset", "reason"]
+    assert sorted(r.eventSec or 0 for r in football.parse_events(sent).collect()) == [0, 0, 3603.0]
+
+
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.read_topic(spark, "localhost:9092", "events").explain()
