@@ -87,6 +87,7 @@ class MicroBatch:
         self.log, self.batch_id, self.spark = log, batch_id, log.spark
         self.tables: dict[str, str] = {}
         self.states = dict(states)
+        self.touched: dict[tuple, list[int]] = {}
 
     def folder(self, name: str) -> str:
         return f"{self.log.path}/{name}/batch_id={self.batch_id}/{uuid.uuid4().hex}"
@@ -139,7 +140,13 @@ class CarriedState:
 
     def before(self, rows: DataFrame) -> DataFrame | None:
         """The state of the groups that ``rows`` belong to."""
-        self.touched = [r[0] for r in rows.select(self._bucket()).distinct().collect()]
+        if self.entry["schema"] is None:
+            return None
+        known = self.batch.touched  # states with the same keys share their buckets
+        place = (*self.keys, self.entry["buckets"])
+        if place not in known:
+            known[place] = [r[0] for r in rows.select(self._bucket()).distinct().collect()]
+        self.touched = known[place]
         old = self.read(self.touched)
         if old is None:
             return None
@@ -148,16 +155,17 @@ class CarriedState:
 
     def after(self, state: DataFrame) -> None:
         """Add the new state of the groups that ``before`` was asked for."""
-        if self.touched is None:
-            self.touched = [r[0] for r in state.select(self._bucket()).distinct().collect()]
-        full = [b for b in self.touched if len(self.entry["folders"].get(str(b), [])) >= MAX_FOLDERS]
+        full = [b for b in self.touched or () if len(self.entry["folders"].get(str(b), [])) >= MAX_FOLDERS]
         schema = state.schema
         old = self.read(full) if full else None
         if old is not None:
             state = state.unionByName(old.join(state, self._same(old, state), "left_anti"))
         folder = self.batch.folder(f"states/{self.name}")
         stored = state.withColumns({_BATCH: F.lit(self.batch.batch_id).cast("bigint"), _BUCKET: self._bucket()})
-        stored.repartition(F.col(_BUCKET)).write.partitionBy(_BUCKET).parquet(folder)
+        stored.repartition(F.col(_BUCKET)).sortWithinPartitions(_BUCKET).write.parquet(folder)  # sorted, so that reads skip what they can
+        if self.touched is None:  # the first rows of this state
+            written = self.batch.spark.read.schema(stored.schema).parquet(folder)
+            self.touched = [r[0] for r in written.select(_BUCKET).distinct().collect()]
         folders = dict(self.entry["folders"])
         for b in self.touched:
             folders[str(b)] = [folder] if b in full else [*folders.get(str(b), []), folder]
