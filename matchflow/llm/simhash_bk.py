@@ -8,14 +8,13 @@ Fingerprints are made distinct first. A shard of more than ``shard_rows`` is cut
 are sent to each of them as queries, so no task holds more than a tree and its queries. A shard returns the links of a
 spanning forest, not all pairs.
 
-Near copies by shingles (drop_near_copies) take as shards the texts that share a band of least hashes, as one fingerprint is too
-coarse for a similarity of 0.8: on the given documents many such pairs differ in more than six bits, some in 15.
+Shard trees are not broadcast: fingerprints of all documents have no size bound. They are shuffled by their blocks instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, combinations, repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from matchflow.llm.common import map_columns
 from matchflow.llm.components import components
+from matchflow.llm.suffix_dedup import keyed, whole_rows
 from matchflow.session import materialise
 
 RADIUS = 3
@@ -35,10 +35,6 @@ SHARD_ROWS = 4096
 UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(UPPER, UPPER.lower())
 ONE_BY_ONE = 24
-BANDS, BAND_ROWS = 20, 3
-WIDE, CLOSE = 24, 6
-FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
-BAND_SEEDS = np.random.default_rng(SEED + 1).integers(0, 1 << 64, BANDS, np.uint64)
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -52,15 +48,16 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(parts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """Columns doc_id and bits (the fingerprint as a signed bigint); null texts count as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keys: str = "doc_id bigint") -> DataFrame:
+    """The columns of ``keys`` (names and types) and bits (the fingerprint as a signed bigint); null texts count as empty."""
+    names = [key.split()[0] for key in keys.split(", ")]
 
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
-        for doc_ids, texts in batches:
+        for *values, texts in batches:
             bits = np.array([fingerprint(t or "", shingle, seed) for t in texts], np.uint64)
-            yield {"doc_id": doc_ids, "bits": bits.view(np.int64).tolist()}
+            yield {**dict(zip(names, values)), "bits": bits.view(np.int64).tolist()}
 
-    return map_columns(docs, ["doc_id", "text"], work, "doc_id bigint, bits bigint")
+    return map_columns(docs, [*names, "text"], work, f"{keys}, bits bigint")
 
 
 class BKTree:
@@ -192,6 +189,12 @@ def _cut(columns: list[np.ndarray], starts: np.ndarray) -> Iterator[tuple[tuple,
         yield (columns[0][x], columns[1][x], columns[2][x]), bits[x:y], columns[3][x:y]
 
 
+def with_roots(distinct: DataFrame, radius: int, blocks: int, shard_rows: int) -> DataFrame:
+    """Add root, one of the fingerprints of the component, to a table of distinct ``bits``."""
+    found = components(links(distinct.select("bits"), radius, blocks, shard_rows))
+    return distinct.join(found.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Columns doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id of its component).
 
@@ -201,152 +204,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, r
     """
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("first_id"))
-    found = components(links(distinct.select("bits"), radius, blocks, shard_rows))
-    rooted = distinct.join(found.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    rooted = with_roots(distinct, radius, blocks, shard_rows)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("bits", "root").join(least, "root").select("bits", "component_id")
     return prints.join(named, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def similarity(a: str | None, b: str | None, words: int) -> float:
-    """Jaccard similarity of the sets of ``words``-word shingles; 1 for equal texts."""
-    if a == b:
-        return 1.0
-    x, y = (shingles(t, words) for t in (a, b))
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
-def shingles(text: str | None, words: int) -> set[int]:
-    parts = (text or "").encode().translate(LOWER).split()
-    return {xxhash.xxh3_64_intdigest(b" ".join(parts[i : i + words])) for i in range(max(1, len(parts) - words + 1))} if parts else set()
-
-
-def sketch(text: str | None, words: int) -> tuple[np.ndarray, int]:
-    """Keys of the BANDS bands and the SimHash, both over the set of ``words``-word shingles."""
-    found = shingles(text, words)
-    if not found:
-        return BAND_SEEDS, 0
-    hashes = np.fromiter(found, np.uint64, len(found))
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), 2048):
-        mixed = hashes[start : start + 2048, None] * FACTORS
-        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0) if len(mixed) else least, out=least)
-    keys = (least.reshape(BANDS, BAND_ROWS) * FACTORS[:BAND_ROWS]).sum(axis=1, dtype=np.uint64) ^ BAND_SEEDS
-    votes = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return keys, int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
-
-
-def sketches(parts: DataFrame, words: int) -> DataFrame:
-    """Columns k1, k2, bits and bands (one key per band) of the columns k1, k2 and text."""
-
-    def work(batches: Iterator[list[list]]) -> Iterator[dict]:
-        for k1, k2, texts in batches:
-            made = [sketch(t, words) for t in texts]
-            bits = np.array([b for _, b in made], np.uint64).view(np.int64)
-            yield {"k1": k1, "k2": k2, "bits": bits.tolist(), "bands": [keys.view(np.int64).tolist() for keys, _ in made]}
-
-    return map_columns(parts, ["k1", "k2", "text"], work, "k1 bigint, k2 bigint, bits bigint, bands array<bigint>")
-
-
-def pairs_of(bits: list[int], open_: list[bool], mine: list[bool], order: list[tuple], radius: int, close: int) -> list[tuple[int, int, bool]]:
-    """Pairs to be looked at of a band's group: the open row, the row before it, and whether that stands for it.
-
-    Rows come with those that stay first, then by key. A row of the tree's own (``mine``) that is within ``close`` of an open
-    row of the tree is paired with that row alone, and has to be looked at again should the two be unlike; any other row joins
-    the tree, and is paired with all rows of it within the radius. Rows of other trees are paired with all of them.
-    """
-    tree, number, found = BKTree(), [], []
-    for i in sorted(range(len(bits)), key=lambda i: not mine[i]):
-        near = [number[j] for j in tree.search(bits[i], radius)] if open_[i] or not mine[i] else []
-        if not mine[i]:
-            found += [(*((i, j) if open_[i] and (not open_[j] or order[j] < order[i]) else (j, i)), False) for j in near if open_[i] or open_[j]]
-            continue
-        head = min((j for j in near if open_[j] and (bits[i] ^ bits[j]).bit_count() <= close), default=None)
-        if head is not None:
-            found += [(i, j, False) for j in near if not open_[j]] + [(i, head, True)]
-            continue
-        found += [(i, j, False) for j in near]
-        tree.insert(bits[i])
-        number.append(i)
-    return found
-
-
-def candidates(rows: DataFrame, radius: int, close: int, shard_rows: int) -> DataFrame:
-    """Pairs a1, a2 and b1, b2 (which is before it or stays) with b_open and deferred; ``rows`` has k1, k2, bits, band, open."""
-    hot = rows.groupBy("band").count().where(F.col("count") > shard_rows).select("band", F.ceil(F.col("count") / shard_rows).cast("int").alias("trees"))
-    rows = rows.join(hot, "band", "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("k1", "k2"), F.col("trees")).cast("int"))
-    rows = rows.select("band", "own", "open", "k1", "k2", "bits", F.explode(F.sequence(F.col("own"), F.col("trees") - 1)).alias("tree"))
-    shards = rows.repartition("band", "tree").sortWithinPartitions("band", "tree", "open", "k1", "k2")
-    names = ["a1", "a2", "b1", "b2", "b_open", "deferred"]
-    out = pa.schema([(n, pa.int64()) for n in names[:4]] + [(n, pa.bool_()) for n in names[4:]])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _runs(batches, 2):
-            _, tree, own, open_, k1, k2, bits = columns
-            mine, open_, k1, k2 = (own == tree).tolist(), open_.tolist(), k1.tolist(), k2.tolist()
-            found = pairs_of(bits.view(np.uint64).tolist(), open_, mine, list(zip(k1, k2)), radius, close)
-            if found:
-                yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*((k1[a], k2[a], k1[b], k2[b], open_[b], d) for a, b, d in found)))), schema=out)
-
-    found = shards.select("band", "tree", "own", "open", "k1", "k2", "bits").mapInArrow(search, "a1 bigint, a2 bigint, b1 bigint, b2 bigint, b_open boolean, deferred boolean")
-    return found.groupBy("a1", "a2", "b1", "b2", "b_open").agg(F.max("deferred").alias("deferred"))
-
-
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """The columns of each group of two rows or more of sorted batches, by its first ``keys`` columns; a group may span batches."""
-    rest = None
-    for batch in chain(batches, [None]):
-        if batch is None:
-            if rest is not None and len(rest[0]) > 1:
-                yield rest
-            return
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if rest is not None:
-            columns = [np.concatenate([x, y]) for x, y in zip(rest, columns)]
-        starts = np.append(0, np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns[:keys]], axis=0)) + 1)
-        for i in np.flatnonzero(np.diff(starts) > 1):
-            yield [c[starts[i] : starts[i + 1]] for c in columns]
-        rest = [c[starts[-1] :] for c in columns]
-
-
-def drop_near_copies(docs: DataFrame, least: float = 0.8, words: int = 5, radius: int = WIDE, close: int = CLOSE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The rows of ``docs`` without near copies of rows that stay; all columns stay as they are.
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of ``docs`` for each component of near_duplicates; its columns stay as they are.
 
-    Of equal texts the one of the smallest id stays. A row goes if the Jaccard similarity of its ``words``-word shingles to a row that stays reaches ``least``. Looked at are all
-    rows that share a band (BAND_ROWS least hashes of the shingles, BANDS times) and whose fingerprints are within the radius:
-    two texts of similarity 0.8 share none of the bands in one case of a million. A row that is ``close`` to an earlier one
-    is first compared with that alone; if the two are unlike it is open still in the next round. Every round decides the first
-    open row at least, and rounds go on until no row is open. Nothing goes that is unlike all rows that stay. Rows with a null id stay; of several rows with one id all stay or go
-    together, and the smallest text counts.
+    The row of the smallest id stays; rows with a null id come last. Of several texts of one id the one of the smaller hash
+    stays, and of repeated rows, which count as copies, the one whose other columns come first as JSON. Null and empty texts
+    and texts without words are one component. A row whose fingerprint is unlike all others stays, whatever its id; an empty
+    table gives no rows. Repeated rows are summed up before the shuffle.
     """
-    parts = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("k1")).agg(F.lit(0).cast("bigint").alias("k2"), F.min("text").alias("text"))
-    parts = materialise(parts.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256)), "parts")
-    heads = parts.groupBy("hash").agg(F.min(F.struct("k1", "k2")).alias("head")).select("head.k1", "head.k2")
-    gone = parts.select("k1", "k2").join(heads, ["k1", "k2"], "left_anti")
-    gone, parts = materialise(gone, "gone"), parts.join(materialise(heads, "heads"), ["k1", "k2"], "left_semi")
-    made = materialise(sketches(parts, words), "sketches")
-
-    @F.pandas_udf("boolean")
-    def alike(a, b):
-        import pandas as pd
-
-        return pd.Series([similarity(x or "", y or "", words) >= least for x, y in zip(a, b)], dtype=bool)
-
-    rows = made.select("k1", "k2", "bits", F.explode("bands").alias("band"))
-    first, second = (parts.select(F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col("text").alias(f"{c}_text")) for c in "ab")
-    now = rows.withColumn("open", F.lit(True))
-    while True:
-        pairs = materialise(candidates(now, radius, close, shard_rows), "pairs")
-        judged = pairs.join(second, ["b1", "b2"]).join(first, ["a1", "a2"]).withColumn("copy", alike("a_text", "b_text"))
-        judged = materialise(judged.select("a1", "a2", "b1", "b2", "b_open", "deferred", "copy"), "judged")
-        unsure = judged.where("copy OR deferred").select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).distinct()
-        copies = judged.where("copy").join(unsure.select(F.col("k1").alias("b1"), F.col("k2").alias("b2")), ["b1", "b2"], "left_anti")
-        went = materialise(copies.select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).distinct(), "gone")
-        gone = gone.unionByName(went)
-        rest = materialise(unsure.join(went, ["k1", "k2"], "left_anti"), "open")
-        if rest.isEmpty():
-            break
-        left = rows.join(gone, ["k1", "k2"], "left_anti").join(rest.withColumn("open", F.lit(True)), ["k1", "k2"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        now = left.join(left.where("open").select("band").distinct(), "band", "left_semi")
-    return docs.join(gone.select(F.col("k1").alias("doc_id")), "doc_id", "left_anti")
+    rows = keyed(whole_rows(docs)).withColumn("unnamed", F.col("doc_id").isNull())
+    prints = materialise(fingerprints(rows, shingle, seed, "unnamed boolean, k1 bigint, k2 bigint"), "fingerprints")
+    distinct = prints.groupBy("bits").agg(F.min(F.struct("unnamed", "k1", "k2")).alias("first"))
+    heads = with_roots(distinct, radius, blocks, shard_rows).groupBy("root").agg(F.min("first").alias("first"))
+    others = F.to_json(F.struct(F.col("text").isNull().alias("_"), *[F.col("row")[c].alias(c) for c in docs.columns if c != "text"]))
+    unique = rows.groupBy("k1", "k2").agg(F.min_by("row", others).alias("row"))
+    kept = unique.join(materialise(heads.select("first.k1", "first.k2"), "heads"), ["k1", "k2"], "left_semi")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

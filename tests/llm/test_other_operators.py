@@ -135,36 +135,43 @@ def test_near_duplicates_and_odd_rows(spark):
 def test_near_copies_go_and_unlike_texts_stay(spark):
     rnd = random.Random(6)
     base = " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(400))
-    near = base.replace(base.split()[7], "changed")
-    texts = [near, base, base, " ".join(base.split()[:200]), "a b", "a c", None]
-    left = simhash_bk.drop_near_copies(docs(spark, texts, [1, 2, 3, 4, 5, 6, None]))
+    near = base + " end"
+    assert 0 < (simhash_bk.fingerprint(base) ^ simhash_bk.fingerprint(near)).bit_count() <= 3
+    texts = [near, base, base, " ".join(base.split()[:200]), "a b", "a c", None, "", near]
+    left = simhash_bk.drop_near_copies(docs(spark, texts, [1, 2, 3, 4, 5, 6, None, 7, None]))
     assert left.columns == docs(spark, []).columns
-    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 4, 5, 6]
+    assert sorted(r.doc_id for r in left.collect()) == [1, 4, 5, 6, 7]
+    assert simhash_bk.drop_near_copies(docs(spark, [])).count() == 0
 
 
-def test_no_copy_of_similarity_above_the_least_stays(spark):
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
     rnd = random.Random(9)
-    texts = []
-    for _ in range(15):  # a text, and it with eight words changed all over it: 356 of 436 shingles in common
-        words = [f"w{rnd.randint(0, 10**6)}" for _ in range(400)]
-        other = [f"x{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
-        texts += [" ".join(words), " ".join(other)]
-    assert all(0.8 <= simhash_bk.similarity(*texts[i : i + 2], 5) < 0.83 for i in range(0, 30, 2))
-    for shard_rows in (4096, 1):
-        left = simhash_bk.drop_near_copies(docs(spark, texts), shard_rows=shard_rows)
-        assert sorted(r.doc_id for r in left.collect()) == list(range(0, 30, 2))
+    a, z = (" ".join(f"{c}{rnd.randint(0, 10**6)}" for _ in range(300)) for c in "az")
+    left = simhash_bk.drop_near_copies(docs(spark, [a, a, z], [1, 3, 3]))  # (3, z) is a copy of nothing
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, a), (3, z)]
+    unnamed = simhash_bk.drop_near_copies(docs(spark, [a, a, z, None, ""], [None] * 5)).collect()
+    assert sorted(r.text or "" for r in unnamed) == ["", *sorted([a, z])]
+    repeated = docs(spark, [a] * 500 + [z], [4] * 500 + [5]).withColumn("n", F.monotonically_increasing_id())
+    assert sorted((r.doc_id, r.score) for r in simhash_bk.drop_near_copies(repeated).collect()) == [(4, 0), (5, 0)]
 
 
-def test_copies_of_every_family_of_a_group_go(spark):
+@pytest.mark.parametrize("shard_rows", [4096, 2])
+def test_near_copies_against_brute_force(spark, shard_rows):
     rnd = random.Random(10)
-    page = [f"w{rnd.randint(0, 10**6)}" for _ in range(300)]
     texts = []
-    for n in range(6):  # pages of one template, alike by 0.7: each with a near copy and an equal one
-        own = " ".join(page + [f"own{n}_{i}" for i in range(55)])
-        texts += [own, own + " end", own]
-    assert 0.65 < simhash_bk.similarity(texts[0], texts[3], 5) < 0.75
-    left = simhash_bk.drop_near_copies(docs(spark, texts), radius=64, close=64)  # all are deferred to the first of a band
-    assert sorted(r.doc_id for r in left.collect()) == list(range(0, 18, 3))
+    for _ in range(25):  # families of a text, and it with one to eight of its words changed, one after the other
+        words = [f"w{rnd.randint(0, 10**6)}" for _ in range(rnd.choice([3, 80, 600]))]
+        for _ in range(rnd.randint(1, 6)):
+            texts.append(" ".join(words))
+            for _ in range(rnd.choice([0, 1, 8])):
+                words[rnd.randrange(len(words))] = f"x{rnd.randint(0, 10**6)}"
+    rnd.shuffle(texts)
+    prints = [simhash_bk.fingerprint(t) for t in texts]
+    first = list(range(len(texts)))
+    for _ in texts:
+        first = [min([first[j] for j in range(len(texts)) if (prints[i] ^ prints[j]).bit_count() <= 3]) for i in range(len(texts))]
+    left = simhash_bk.drop_near_copies(docs(spark, texts), shard_rows=shard_rows)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(first)) and len(set(first)) < len(texts)
 
 
 def test_components_of_chains_loops_and_nothing(spark):
