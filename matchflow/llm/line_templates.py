@@ -13,6 +13,8 @@ are looked at further; counts are summed before each shuffle.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +26,28 @@ MIN_DOCUMENTS = 10
 MIN_TOKENS = 4
 CONSTANT = 0.8
 FIELD = "<*>"
+BROADCAST_LINES = 1_000_000
+
+
+def spaced(line: Column) -> Column:
+    """Tokens of a line with one blank between them; single blanks match nothing and cost little."""
+    return F.trim(F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " "))
 
 
 def masked(line: Column) -> Column:
     """Tokens of a line with one blank between them, those with a digit as fields."""
-    plain = F.trim(F.regexp_replace(line, r"[ \t\r]+", " "))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])(?=[^ ]*[0-9])[^ ]+", FIELD)).otherwise(plain)
+    plain = spaced(line)
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(plain)
 
 
 def shaped_line(line: Column, min_tokens: int) -> Column:
     """The line as masked, or with its digits if it has fewer than ``min_tokens`` tokens."""
-    plain = F.trim(F.regexp_replace(line, r"[ \t\r]+", " "))
+    plain = spaced(line)
     return F.when(F.size(F.split(plain, " ")) < min_tokens, plain).otherwise(masked(line))
 
 
 def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth: int, constant: float, short_lines: bool = False) -> DataFrame:
-    """Columns k1, k2, line, template, documents and first (whether this is the document that keeps it); ``rows`` as from keyed."""
+    """Columns k1, k2, line, template, documents, least (k1 and k2 of the document that keeps it) and first (whether it is this one); ``rows`` as from keyed."""
     distinct = F.array_distinct(F.transform(F.split("text", "\n"), lambda line: shaped_line(line, min_tokens)))
     lines = rows.where("text IS NOT NULL").select("k1", "k2", F.explode(distinct).alias("line"))
     lines = lines.withColumn("n", F.size(F.split("line", " "))).where("line <> ''" if short_lines else F.col("n") >= min_tokens)
@@ -63,7 +71,28 @@ def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth:
     recurring = per_document.groupBy("leaf", "template").agg(F.count("*").alias("documents"), F.min(F.struct("k1", "k2")).alias("least"))
     recurring = recurring.where(F.col("documents") >= min_documents)
     is_first = (F.col("least.k1") == F.col("k1")) & (F.col("least.k2") == F.col("k2"))
-    return having.join(recurring, ["leaf", "template"]).select("k1", "k2", "line", "template", "documents", is_first.alias("first"))
+    return having.join(recurring, ["leaf", "template"]).select("k1", "k2", "line", "template", "documents", "least", is_first.alias("first"))
+
+
+def marked(marks: DataFrame):
+    """Function of k1, k2 and hashes of lines: which of them recur and are kept by another document. ``marks``: h, k1, k2 of the keeper."""
+    frame = marks.toPandas().sort_values("h")
+    shared = marks.sparkSession.sparkContext.broadcast([frame[c].to_numpy(np.int64) for c in ("h", "k1", "k2")])
+
+    @F.pandas_udf("array<boolean>")
+    def goes(k1: pd.Series, k2: pd.Series, hashes: pd.Series) -> pd.Series:
+        known, least1, least2 = shared.value
+        lists = [np.zeros(0, np.int64) if h is None else h for h in hashes]
+        sizes = np.array([len(h) for h in lists])
+        every = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
+        drop = np.zeros(len(every), bool)
+        if len(known) and len(every):
+            at = np.minimum(np.searchsorted(known, every), len(known) - 1)
+            keeper = (least1[at] == np.repeat(k1.to_numpy(), sizes)) & (least2[at] == np.repeat(k2.to_numpy(), sizes))
+            drop = (known[at] == every) & ~keeper
+        return pd.Series(np.split(drop, np.cumsum(sizes)[:-1]) if len(sizes) else [])
+
+    return goes
 
 
 def drop_recurring(
@@ -73,20 +102,31 @@ def drop_recurring(
     depth: int = DEPTH,
     constant: float = CONSTANT,
     short_lines: bool = False,
+    broadcast_lines: int = BROADCAST_LINES,
 ) -> DataFrame:
     """The rows of ``docs`` with the lines of recurring templates dropped from their texts, and n_lines and n_dropped.
 
     Documents are told apart by id and text: repeated rows count as one and lose the same lines. Null texts stay null and
     have no lines; an empty text has one, which is never dropped. A null id counts as 0 for which document is first; of two
     documents of one id the text's hash decides. Columns n_lines and n_dropped of the input are replaced, others stay.
+
+    Up to ``broadcast_lines`` different recurring lines (24 bytes each) are sent to all tasks, so that the documents are not
+    shuffled; lines are then told apart by 64 bits of hash. More lines are joined to the documents, with the same result.
     """
     docs = docs.drop("n_lines", "n_dropped")
     rows = keyed(whole_rows(docs))
-    found = recurring_lines(rows, min_documents, min_tokens, depth, constant, short_lines).where("NOT first")
-    drops = found.groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
+    found = recurring_lines(rows, min_documents, min_tokens, depth, constant, short_lines)
     lines = F.split("text", "\n")
-    left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("dropped"), shaped_line(line, min_tokens))))
-    out = rows.join(drops, ["k1", "k2"], "left").withColumn("left", left)
+    marks = materialise(found.select(F.xxhash64("line").alias("h"), "least.k1", "least.k2").distinct(), "marks")
+    if marks.count() <= broadcast_lines:
+        hashes = F.transform(lines, lambda line: F.xxhash64(shaped_line(line, min_tokens)))
+        out = rows.withColumn("goes", marked(marks)("k1", "k2", hashes))
+        left = F.filter(lines, lambda line, i: ~F.col("goes")[i])
+    else:
+        drops = found.where("NOT first").groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
+        out = rows.join(drops, ["k1", "k2"], "left")
+        left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("dropped"), shaped_line(line, min_tokens))))
+    out = out.withColumn("left", left)
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(count(lines)).cast("bigint"))
     out = out.withColumn("n_dropped", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines") - count(F.col("left"))).cast("bigint"))

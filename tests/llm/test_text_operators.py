@@ -202,6 +202,13 @@ def test_short_lines_go_as_they_stand(spark):
     assert got[0] == texts[0] and all(got[i] == f"{chr(97 + i)} own{chr(97 + i)}\n\n{i}" for i in range(1, 12))
 
 
+def test_lines_are_joined_where_they_are_too_many_to_send(spark):
+    texts = [f"posted by user{i} on day {i * 7} here\n\tposted  by me on day 7 here\n{i} own\nAll rights reserved." for i in range(15)] * 2 + [None, ""]
+    table = docs(spark, texts, [*range(15), *range(12), None, 20, 21, 7, 22])
+    rows = [sorted(map(repr, line_templates.drop_recurring(table, short_lines=True, broadcast_lines=n).collect())) for n in (0, 1000)]
+    assert rows[0] == rows[1] and sum("n_dropped=3" in r for r in rows[0]) > 20
+
+
 def test_fields_are_generalised_in_the_leaf(spark):
     names = ["ann", "bob", "cid", "dan", "eve", "fay"]
     texts = [f"all rights reserved by {n} and the other authors\n{n} has own text here" for n in names]
