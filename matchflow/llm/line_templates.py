@@ -133,19 +133,19 @@ def drop_recurring(
     return out.withColumn("text", F.array_join("left", "\n")).select(*row_columns(docs), "n_lines", "n_dropped")
 
 
-#: DuckDB SQL for the rows of the query, with the parameters above. Of one id there is one text in the given tables.
+#: DuckDB SQL for the rows of the query, with the parameters above and short lines. Of one id there is one text in the given tables.
 ORACLE_SQL = rf"""
 WITH lines AS (
-    SELECT doc_id, ord, line, CASE WHEN plain SIMILAR TO '.*[0-9].*'
+    SELECT doc_id, ord, line, CASE WHEN plain SIMILAR TO '.*[0-9].*' AND len(string_split(plain, ' ')) >= {MIN_TOKENS}
         THEN array_to_string(list_transform(string_split(plain, ' '), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END), ' ')
         ELSE plain END AS m
     FROM (SELECT doc_id, ord, line, trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'), ' ') AS plain
           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS ord FROM documents))
 ), per_doc AS (
     SELECT DISTINCT doc_id, m, len(string_split(m, ' ')) AS n, array_to_string(string_split(m, ' ')[1:{DEPTH}], ' ') AS lead
-    FROM lines WHERE len(string_split(m, ' ')) >= {MIN_TOKENS}
+    FROM lines WHERE m <> ''
 ), texts AS (
-    SELECT n, lead, m, count(*) AS docs FROM per_doc GROUP BY ALL
+    SELECT n, lead, m, count(*) AS docs FROM per_doc WHERE n >= {MIN_TOKENS} GROUP BY ALL
 ), tokens AS (
     SELECT n, lead, m, docs, unnest(string_split(m, ' ')) AS token, unnest(range(n)) AS place FROM texts
 ), often AS (
@@ -158,6 +158,7 @@ WITH lines AS (
     FROM tokens t LEFT JOIN often o USING (n, lead, place, token) GROUP BY n, lead, m
 ), having_it AS (
     SELECT doc_id, n, lead, m, template FROM per_doc JOIN shaped USING (n, lead, m) WHERE stay > 0 AND stay >= {CONSTANT} * plain
+    UNION ALL SELECT doc_id, n, lead, m, m AS template FROM per_doc WHERE n < {MIN_TOKENS}
 ), recurring AS (
     SELECT n, lead, template, min(doc_id) AS first_id FROM having_it GROUP BY ALL HAVING count(DISTINCT doc_id) >= {MIN_DOCUMENTS}
 ), dropped AS (

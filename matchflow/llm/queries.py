@@ -21,7 +21,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_templates.drop_recurring(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+    return line_templates.drop_recurring(table(spark, sf_dir, "documents"), short_lines=True).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op4_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
