@@ -29,49 +29,42 @@ FIELD = "<*>"
 BROADCAST_LINES = 1_000_000
 
 
-def spaced(line: Column) -> Column:
-    """Tokens of a line with one blank between them; single blanks match nothing and cost little."""
-    return F.trim(F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " "))
-
-
-def masked(line: Column) -> Column:
-    """Tokens of a line with one blank between them, those with a digit as fields."""
-    plain = spaced(line)
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(plain)
-
-
-def shaped_line(line: Column, min_tokens: int) -> Column:
-    """The line as masked, or with its digits if it has fewer than ``min_tokens`` tokens."""
-    plain = spaced(line)
-    return F.when(F.size(F.split(plain, " ")) < min_tokens, plain).otherwise(masked(line))
+def shaped_lines(text: Column, min_tokens: int) -> Column:
+    """The lines of a text with one blank between tokens, and those with a digit as fields; lines of fewer than ``min_tokens``
+    tokens keep their digits. Each step is a transform of its own, so that no line is worked on twice; single blanks match nothing.
+    """
+    plain = F.transform(F.split(text, "\n"), lambda line: F.trim(F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " ")))
+    long = rf"^(?:[^ ]* ){{{min_tokens - 1}}}"
+    fields = lambda line: F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
+    return F.transform(plain, lambda line: F.when(line.rlike("[0-9]") & line.rlike(long), fields(line)).otherwise(line))
 
 
 def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth: int, constant: float, short_lines: bool = False) -> DataFrame:
-    """Columns k1, k2, line, template, documents, least (k1 and k2 of the document that keeps it) and first (whether it is this one); ``rows`` as from keyed."""
-    distinct = F.array_distinct(F.transform(F.split("text", "\n"), lambda line: shaped_line(line, min_tokens)))
+    """Columns k1, k2, line, h (its hash, by which lines of a leaf are told apart), template, documents, least (k1 and k2 of the document that keeps it) and first (whether it is this one); ``rows`` as from keyed."""
+    distinct = F.array_distinct(shaped_lines(F.col("text"), min_tokens))
     lines = rows.where("text IS NOT NULL").select("k1", "k2", F.explode(distinct).alias("line"))
     lines = lines.withColumn("n", F.size(F.split("line", " "))).where("line <> ''" if short_lines else F.col("n") >= min_tokens)
     lines = lines.withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", depth)))
     leaves = materialise(lines.groupBy("leaf").count().where(F.col("count") >= min_documents).select("leaf"), "leaves")
-    reached = materialise(lines.join(leaves, "leaf").select("k1", "k2", "leaf", "line", "n"), "lines")
+    reached = materialise(lines.join(leaves, "leaf").select("k1", "k2", "leaf", "line", F.xxhash64("line").alias("h"), "n"), "lines")
     short, reached = (reached.where(kind).drop("n") for kind in (F.col("n") < min_tokens, F.col("n") >= min_tokens))
-    texts = reached.groupBy("leaf", "line").agg(F.count("*").alias("docs"))
-    tokens = texts.select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    texts = reached.groupBy("leaf", "h").agg(F.count("*").alias("docs"), F.min("line").alias("line"))
+    tokens = texts.select("leaf", "h", "docs", F.posexplode(F.split("line", " ")).alias("place", "token"))
     often = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("often")).where(F.col("often") >= min_documents).drop("often")
     kept = tokens.drop("docs").join(often.withColumn("stays", F.lit(True)), ["leaf", "place", "token"], "left")
     stays = F.coalesce("stays", F.lit(False)) & (F.col("token") != FIELD)
     placed = F.struct("place", F.when(stays, F.col("token")).otherwise(FIELD).alias("token"), (F.col("token") == FIELD).alias("digits"))
-    shaped = kept.groupBy("leaf", "line").agg(F.array_sort(F.collect_list(placed)).alias("places"))
+    shaped = kept.groupBy("leaf", "h").agg(F.array_sort(F.collect_list(placed)).alias("places"))
     stay, digits = F.size(F.filter("places", lambda p: p["token"] != FIELD)), F.size(F.filter("places", lambda p: p["digits"]))
-    templates = shaped.where((stay > 0) & (stay >= constant * (F.size("places") - digits))).select("leaf", "line", F.array_join(F.transform("places", lambda p: p["token"]), " ").alias("template"))
-    having = reached.join(templates, ["leaf", "line"])
+    templates = shaped.where((stay > 0) & (stay >= constant * (F.size("places") - digits))).select("leaf", "h", F.array_join(F.transform("places", lambda p: p["token"]), " ").alias("template"))
+    having = reached.join(templates, ["leaf", "h"])
     if short_lines:
         having = having.unionByName(short.withColumn("template", F.col("line")))
     per_document = having.groupBy("leaf", "template", "k1", "k2").agg(F.lit(1).alias("one"))
     recurring = per_document.groupBy("leaf", "template").agg(F.count("*").alias("documents"), F.min(F.struct("k1", "k2")).alias("least"))
     recurring = recurring.where(F.col("documents") >= min_documents)
     is_first = (F.col("least.k1") == F.col("k1")) & (F.col("least.k2") == F.col("k2"))
-    return having.join(recurring, ["leaf", "template"]).select("k1", "k2", "line", "template", "documents", "least", is_first.alias("first"))
+    return having.join(recurring, ["leaf", "template"]).select("k1", "k2", "line", "h", "template", "documents", "least", is_first.alias("first"))
 
 
 def marked(marks: DataFrame):
@@ -111,21 +104,21 @@ def drop_recurring(
     documents of one id the text's hash decides. Columns n_lines and n_dropped of the input are replaced, others stay.
 
     Up to ``broadcast_lines`` different recurring lines (24 bytes each) are sent to all tasks, so that the documents are not
-    shuffled; lines are then told apart by 64 bits of hash. More lines are joined to the documents, with the same result.
+    shuffled. More lines are joined to the documents, with the same result.
     """
     docs = docs.drop("n_lines", "n_dropped")
     rows = keyed(whole_rows(docs))
     found = recurring_lines(rows, min_documents, min_tokens, depth, constant, short_lines)
-    lines = F.split("text", "\n")
-    marks = materialise(found.select(F.xxhash64("line").alias("h"), "least.k1", "least.k2").distinct(), "marks")
+    lines, shaped = F.split("text", "\n"), shaped_lines(F.col("text"), min_tokens)
+    marks = materialise(found.select("h", "least.k1", "least.k2").distinct(), "marks")
     if marks.count() <= broadcast_lines:
-        hashes = F.transform(lines, lambda line: F.xxhash64(shaped_line(line, min_tokens)))
+        hashes = F.transform(shaped, lambda line: F.xxhash64(line))
         out = rows.withColumn("goes", marked(marks)("k1", "k2", hashes))
         left = F.filter(lines, lambda line, i: ~F.col("goes")[i])
     else:
         drops = found.where("NOT first").groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
-        out = rows.join(drops, ["k1", "k2"], "left")
-        left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("dropped"), shaped_line(line, min_tokens))))
+        out = rows.join(drops, ["k1", "k2"], "left").withColumn("shaped", shaped)
+        left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line, i: ~F.array_contains(F.col("dropped"), F.col("shaped")[i])))
     out = out.withColumn("left", left)
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(count(lines)).cast("bigint"))
