@@ -40,8 +40,11 @@ def shaped_lines(text: Column, min_tokens: int) -> Column:
 
 
 def recurring_lines(rows: DataFrame, min_documents: int, min_tokens: int, depth: int, constant: float, short_lines: bool = False) -> DataFrame:
-    """Columns k1, k2, line, h (its hash, by which lines of a leaf are told apart), template, documents, least (k1 and k2 of the document that keeps it) and first (whether it is this one); ``rows`` as from keyed."""
-    distinct = F.array_distinct(shaped_lines(F.col("text"), min_tokens))
+    """Columns k1, k2, line, h (its hash, by which lines of a leaf are told apart), template, documents, least (k1 and k2 of the document that keeps it) and first (whether it is this one).
+
+    ``rows`` as from keyed; with a column shaped, as from shaped_lines, the texts are not shaped again.
+    """
+    distinct = F.array_distinct(F.col("shaped") if "shaped" in rows.columns else shaped_lines(F.col("text"), min_tokens))
     lines = rows.where("text IS NOT NULL").select("k1", "k2", F.explode(distinct).alias("line"))
     lines = lines.withColumn("n", F.size(F.split("line", " "))).where("line <> ''" if short_lines else F.col("n") >= min_tokens)
     lines = lines.withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", depth)))
@@ -103,21 +106,24 @@ def drop_recurring(
     have no lines; an empty text has one, which is never dropped. A null id counts as 0 for which document is first; of two
     documents of one id the text's hash decides. Columns n_lines and n_dropped of the input are replaced, others stay.
 
+    The shaped lines are written out once beside the rows, as three passes read them.
+
     Up to ``broadcast_lines`` different recurring lines (24 bytes each) are sent to all tasks, so that the documents are not
     shuffled. More lines are joined to the documents, with the same result.
     """
     docs = docs.drop("n_lines", "n_dropped")
     rows = keyed(whole_rows(docs))
-    found = recurring_lines(rows, min_documents, min_tokens, depth, constant, short_lines)
-    lines, shaped = F.split("text", "\n"), shaped_lines(F.col("text"), min_tokens)
+    rows = materialise(rows.withColumn("shaped", shaped_lines(F.col("text"), min_tokens)), "shaped")
+    found = recurring_lines(rows.select("k1", "k2", "text", "shaped"), min_documents, min_tokens, depth, constant, short_lines)
+    lines = F.split("text", "\n")
     marks = materialise(found.select("h", "least.k1", "least.k2").distinct(), "marks")
     if marks.count() <= broadcast_lines:
-        hashes = F.transform(shaped, lambda line: F.xxhash64(line))
+        hashes = F.transform("shaped", lambda line: F.xxhash64(line))
         out = rows.withColumn("goes", marked(marks)("k1", "k2", hashes))
         left = F.filter(lines, lambda line, i: ~F.col("goes")[i])
     else:
         drops = found.where("NOT first").groupBy("k1", "k2").agg(F.collect_set("line").alias("dropped"))
-        out = rows.join(drops, ["k1", "k2"], "left").withColumn("shaped", shaped)
+        out = rows.join(drops, ["k1", "k2"], "left")
         left = F.when(F.col("dropped").isNull(), lines).otherwise(F.filter(lines, lambda line, i: ~F.array_contains(F.col("dropped"), F.col("shaped")[i])))
     out = out.withColumn("left", left)
     count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
