@@ -1,14 +1,17 @@
 """Homomorphic multiset hash of a text's paragraphs, for equality and likeness without regard to order.
 
-Every paragraph is hashed to a sparse vector with a pseudo-random number of 32 bits in one lane. The vectors of all
-paragraphs are summed modulo 2^32. The sum does not depend on the order of the paragraphs; a paragraph is inserted or
-deleted by adding or subtracting its vector; a repeated paragraph counts as often as it stands there. Paragraphs are lines,
-cut further into runs of WORDS words, so that a long line does not hash as one.
+A fingerprint is a vector of SUMS + LANES lanes modulo 2^32, the sum of the vectors of all paragraphs. The sum does not depend
+on the order of the paragraphs; a paragraph is inserted or deleted by adding or subtracting its vector; a repeated paragraph
+counts as often as it stands there.
 
-A paragraph touches one lane only, so lanes of unchanged paragraphs stay equal, and the share of used lanes that are equal
-tells how alike two texts are. That needs lanes that hold a paragraph or two, whatever the length of the text: lanes lie in
-LEVELS levels, and each level gets half as many paragraphs as the one before. Likeness is read from the levels that are not
-crowded in either text.
+Equality: a line of the text, as it stands, adds SUMS pseudo-random numbers of 32 bits, one to each of the first SUMS lanes.
+Two texts that are not made of the same lines have equal sums with a chance of 2^-(32 SUMS).
+
+Likeness: lines are cut further into runs of words, and each run adds one to one of LANES lanes. The products of two such
+vectors, less what lanes share by chance, estimate how many runs the texts have in common; the relative error depends on LANES
+only, not on the length of the texts. Runs are cut where the hash of a word says so, so that a word put in or taken out
+changes the runs next to it and no others. The first HEAD words of a line are cut finer, into pieces of PIECE characters, so
+that texts of a few words are compared by more than one or two runs.
 
 A vector is kept as the array of its used lanes in order, each ``lane * 2^32 + sum``. All of this is built-in functions; no
 Python runs on the executors.
@@ -16,52 +19,69 @@ Python runs on the executors.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = 12
-LANES = 32
-CROWDED = 20
-WORDS = 4
+SUMS = 8
+LANES = 512
+HEAD = 4
+PIECE = 3
+CUTS = 3
 MASK = (1 << 32) - 1
 MAX_BUCKETS = 10_000
 
 
-def paragraphs(text: Column, words: int = WORDS) -> Column:
-    """Paragraphs of a text: its lines, cut into runs of ``words`` words; blanks between words count as one space."""
-    line = F.regexp_replace(text, r"[ \t\r\u000B\f]+", " ")
-    runs = F.regexp_replace(line, rf"((?:[^ \n]+ ){{{words}}})", "$1\n")
-    return F.filter(F.split(runs, r" *\n+ *"), lambda p: (p != "") & (p != " "))
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is made once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def vector(parts: Column) -> Column:
-    """Sum of the vectors of the given paragraphs; the empty array without paragraphs.
+def paragraphs(text: Column) -> Column:
+    """The lines of a text, as they stand; an empty text has none."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
+
 
-    Of a paragraph's 64-bit hash the number of trailing zeros, up to LEVELS - 1, is the level, five further bits are the
-    lane in the level, and the upper 32 bits are the summand.
+def runs(line: Column) -> Column:
+    """What a line is cut into for likeness; blanks between words count as one space.
+
+    The first HEAD words are cut into pieces of PIECE characters, each with its place. The words after them end a run of two
+    words or more where a word's hash is divisible by CUTS.
     """
-    hashes = F.transform(parts, lambda p: F.xxhash64(p))
 
-    def of_level(h: Column) -> Column:
-        return F.least(F.bit_count(h.bitwiseAND(-h) - 1), F.lit(LEVELS - 1))
+    def cut(plain: Column) -> Column:
+        head = F.regexp_extract(plain, rf"^(?:[^ ]+ ?){{1,{HEAD}}}", 0)
+        pieces = F.transform(F.regexp_extract_all(head, F.lit(rf".{{1,{PIECE}}}"), F.lit(0)), lambda p, i: F.concat(i.cast("string"), F.lit(":"), p))
+        rest = F.filter(F.split(F.substring(plain, F.length(head) + 1, F.length(plain)), " "), lambda w: w != "")
+        marked = F.transform(rest, lambda w: F.concat(w, F.when(F.pmod(F.xxhash64(w), F.lit(CUTS)) == 0, F.lit("\n")).otherwise(F.lit(" "))))
+        return F.concat(pieces, F.regexp_extract_all(F.array_join(marked, ""), F.lit(r"[^ \n]+[ \n]?[^\n]*"), F.lit(0)))
+
+    return bind(F.trim(F.regexp_replace(line, r"[\s\u0085\u2028\u2029]+", " ")), cut)
+
 
-    def lane(level: Column, members: Column, i: Column) -> Column:
-        mine = F.filter(members, lambda h: F.shiftrightunsigned(h, LEVELS).bitwiseAND(LANES - 1) == i)
-        total = F.aggregate(mine, F.lit(0).cast("bigint"), lambda s, h: (s + F.shiftrightunsigned(h, 32)).bitwiseAND(MASK))
-        return F.shiftleft((level * LANES + i).cast("bigint"), 32) + total
+def vector(parts: Column) -> Column:
+    """Sum of the vectors of the given paragraphs; the empty array without paragraphs."""
+    lanes = F.sort_array(F.flatten(F.transform(parts, lambda p: F.transform(runs(p), lambda r: F.xxhash64(r).bitwiseAND(LANES - 1)))))
+    return F.concat(bind(parts, _sums), bind(lanes, _counts))
+
+
+def _sums(parts: Column) -> Column:
+    """The used ones of the first SUMS lanes: two of each 64-bit hash of a paragraph."""
+
+    def total(seed: int, shift: int) -> Column:
+        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda s, p: (s + F.shiftrightunsigned(F.xxhash64(p, F.lit(seed)), shift).bitwiseAND(MASK)).bitwiseAND(MASK))
 
-    def lanes(level: Column) -> Column:
-        members = F.array(F.filter(hashes_of, lambda h: of_level(h) == level))
-        return F.flatten(F.transform(members, lambda m: F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: lane(level, m, i))))
+    both = F.array(*(F.lit(i << 32).cast("bigint") + total(i // 2, 32 * (i % 2)) for i in range(SUMS)))
+    return F.filter(both, lambda v: v.bitwiseAND(MASK) != 0)
 
-    def all_levels(found: Column) -> Column:
-        nonlocal hashes_of
-        hashes_of = found
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lanes))
 
-    hashes_of = hashes
-    whole = F.flatten(F.transform(F.array(hashes), all_levels))  # the array of one binds the hashes, so that they are made once
-    return F.filter(whole, lambda v: v.bitwiseAND(MASK) != 0)
+def _counts(lanes: Column) -> Column:
+    """How often each lane stands in the sorted array ``lanes``."""
+    places = F.when(F.size(lanes) > 0, F.sequence(F.lit(0), F.size(lanes) - 1)).otherwise(F.array().cast("array<int>"))
+    ends = F.filter(places, lambda i: ~F.get(lanes, i).eqNullSafe(F.get(lanes, i + 1)))
+    before = lambda found, j: F.coalesce(F.get(found, j - 1), F.lit(-1))
+    return bind(ends, lambda found: F.transform(found, lambda i, j: F.shiftleft(F.get(lanes, i) + SUMS, 32) + (i - before(found, j))))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -76,20 +96,31 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the used lanes that are equal, in the levels that are crowded in neither; 1 for equal vectors."""
-    level = lambda v: F.shiftright(v, 32 + 5)
+    """Twice the product of two vectors of runs over the sum of their squares, from 0 to 1; 1 for equal vectors.
 
-    def crowded(v: Column, i: Column) -> Column:
-        return F.size(F.filter(v, lambda x: level(x) == i)) > CROWDED
-
-    def from_level(first: Column) -> Column:
-        x, y = (F.filter(v, lambda value: level(value) >= first) for v in (a, b))
-        used = F.size(F.array_union(F.transform(x, lambda v: F.shiftright(v, 32)), F.transform(y, lambda v: F.shiftright(v, 32))))
-        return F.struct(F.size(F.array_intersect(x, y)).alias("equal"), used.alias("used"))
-
-    first = F.size(F.filter(F.sequence(F.lit(0), F.lit(LEVELS - 2)), lambda i: crowded(a, i) | crowded(b, i)))
-    found = F.transform(F.array(first), from_level)[0]
-    return F.when(a == b, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(found["equal"], found["used"]), F.lit(0.0)))
+    Of texts without repeated runs this is the share of runs that they have in common. What different runs add by falling
+    into one lane is taken off: n * m / LANES of every product of vectors of n and m runs.
+    """
+    counts = lambda v: F.filter(v, lambda x: F.shiftright(x, 32) >= SUMS)
+    number = lambda x: x.bitwiseAND(MASK).cast("double")
+    total = lambda v, f: F.aggregate(v, F.lit(0.0), lambda s, x: s + f(number(x)))
+
+    def product(merged: Column) -> Column:
+        """Lanes that both have are neighbours in the sorted array of both."""
+        at = lambda i: F.get(merged, i)
+        places = F.when(F.size(merged) > 1, F.sequence(F.lit(0), F.size(merged) - 2)).otherwise(F.array().cast("array<int>"))
+        same = F.filter(places, lambda i: F.shiftright(at(i), 32) == F.shiftright(at(i + 1), 32))
+        return F.aggregate(same, F.lit(0.0), lambda s, i: s + number(at(i)) * number(at(i + 1)))
+
+    def of(found: Column) -> Column:
+        x, y = found["x"], found["y"]
+        n, m = total(x, lambda c: c), total(y, lambda c: c)
+        common = bind(F.sort_array(F.concat(x, y)), product) - n * m / LANES
+        squares = total(x, lambda c: c * c) + total(y, lambda c: c * c) - (n * n + m * m) / LANES
+        return F.coalesce(F.try_divide(2 * common, squares), F.lit(0.0))
+
+    found = bind(F.struct(counts(a).alias("x"), counts(b).alias("y")), of)
+    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), found)))
 
 
 def text_of(v: Column) -> Column:
