@@ -79,7 +79,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     """Fit on rows outside the held-out fold.
 
     Labels that are null, or whose doc_id is null, do not count; of several labels of one document the largest does.
-    Without positives or without documents the score is the prior everywhere (1/2 without any label).
+    Of several texts of one document one counts, so that the driver gets a row per id and no more. Without positives or
+    without documents the score is the prior everywhere (1/2 without any label).
     """
     outside = crc_fold("doc_id", folds) != held_out
     known = labels.where(outside & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -106,7 +107,7 @@ def _vectors(docs: DataFrame) -> np.ndarray:
         for ids, texts in batches:
             yield {"doc_id": ids, "x": [zstandard.compress(features(t or "").astype(np.float32).tobytes()) for t in texts]}
 
-    rows = map_columns(docs, ["doc_id", "text"], work, "doc_id bigint, x binary").collect()
+    rows = map_columns(docs, ["doc_id", "text"], work, "doc_id bigint, x binary").groupBy("doc_id").agg(F.min("x").alias("x")).collect()
     rows = sorted((r["doc_id"], bytes(r["x"])) for r in rows)
     out = np.empty((len(rows), (1 << BUCKETS_LOG) + EXTRA), np.float32)
     for i, (_, packed) in enumerate(rows):

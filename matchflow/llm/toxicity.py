@@ -77,7 +77,8 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, training: int = TRAINING, n_features: int = FEATURES, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
     """Fit on labelled rows outside the held-out fold.
 
-    Labels that are null, or whose doc_id is null, do not count; of several labels of one document the largest does. If
+    Labels that are null, or whose doc_id is null, do not count; of several labels of one document the largest does. Of
+    several texts of one document all count for the ratios and one for the weights, so that the driver gets a row per id and no more. If
     only one class is there, the score is its share of all training rows (1/2 without any).
     """
     known = labels.where((crc_fold("doc_id", folds) != held_out) & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") == 1).cast("int").alias("toxic"))
@@ -103,8 +104,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: int = TRAINING, n_features
             found = [shared.value[grams(t or "")] for t in texts]
             yield {"doc_id": ids, "toxic": toxic, "has": [x[x >= 0].astype("<i4").tobytes() for x in found]}
 
-    data = map_columns(rows, ["doc_id", "text", "toxic"], work, "doc_id bigint, toxic int, has binary").toPandas()
-    data = data.assign(has=data["has"].map(bytes)).sort_values(["doc_id", "has"])
+    data = map_columns(rows, ["doc_id", "text", "toxic"], work, "doc_id bigint, toxic int, has binary")
+    data = data.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("has").alias("has")).toPandas()
+    data = data.assign(has=data["has"].map(bytes)).sort_values("doc_id")
     has = [np.frombuffer(x, "<i4").astype(np.int64) for x in data["has"]]
     weights, intercept = _regression(has, data["toxic"].to_numpy(float), ratio)
     whole = np.zeros(1 << BUCKETS_LOG)

@@ -74,6 +74,19 @@ def test_toxicity_held_out(spark):
     assert np.mean([r.predicted == int(bad[r.doc_id]) for r in got if r.held_out]) > 0.95
 
 
+def test_one_id_in_a_third_of_all_rows(spark):
+    rnd = random.Random(4)
+    bad = [i % 4 == 0 for i in range(120)]
+    texts = [prose(rnd) + (" You worthless moron " if b else " ") + prose(rnd) for b in bad]
+    table = docs(spark, texts + [f"{texts[8]} {i}" for i in range(60)], [*range(120), *[8] * 60])
+    known = labelled(spark, [(i, 1 - int(b), int(b)) for i, b in enumerate(bad)])
+    assert len(pu_quality._vectors(table)) == 120
+    for module, column in ((pu_quality, "quality"), (toxicity, "toxic")):
+        got = module.score(table, module.fit(table, known)).collect()
+        assert len(got) == 180
+        assert np.mean([r.predicted == int(bad[r.doc_id] == (column == "toxic")) for r in got]) > 0.7
+
+
 def test_grams_of_pieces_are_those_of_the_whole(monkeypatch):
     text = prose(random.Random(3), 500)
     whole = sorted(toxicity.grams(text).tolist())

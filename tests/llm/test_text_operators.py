@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -253,6 +254,52 @@ def test_edited_texts(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
 
 
+def cut_by_hand(text, hash_of):
+    """The runs of a text as multiset_hash.runs describes them; ``hash_of`` gives the words' hashes."""
+    found = Counter()
+    for line in text.split("\n"):
+        words = line.split()
+        head = " ".join(words[: multiset_hash.HEAD]) + (" " if len(words) > multiset_hash.HEAD else "")
+        found.update(f"{i // 3}:{head[i : i + 3]}" for i in range(0, len(head), 3))
+        run = []
+        for w in words[multiset_hash.HEAD :]:
+            run.append(w)
+            if len(run) > 1 and hash_of[w] % multiset_hash.CUTS == 0:
+                found[" ".join(run)] += 1
+                run = []
+        if run:
+            found[" ".join(run)] += 1
+    return found
+
+
+def test_likeness_of_any_length_is_that_of_the_runs(spark):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghijklm", k=rnd.randint(2, 8))) for _ in range(5000)]
+    write = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    pairs = []
+    for n in (1, 4, 10, 40, 100, 400, 4_000, 20_000):
+        for _ in range(4):
+            a, b = write(n), write(n)
+            line = write(max(2, n // 5))
+            often = "\n".join([line] * 5)
+            pairs += [(a, a[: len(a) - len(a) // 4] + b[: len(a) // 4]), (a, b), (a, "new " + a), (often, often[: len(often) * 3 // 4])]
+    hashes = spark.createDataFrame([(w,) for w in sorted({w for p in pairs for t in p for w in t.split()})], "w string").select("w", F.xxhash64("w").alias("h"))
+    hash_of = {r.w: r.h for r in hashes.collect()}
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    v = df.select("i", *[multiset_hash.vector(multiset_hash.paragraphs(F.col(c))).alias(c) for c in "ab"])
+    got = {r.i: r.near for r in v.select("i", multiset_hash.likeness(F.col("a"), F.col("b")).alias("near")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        x, y = cut_by_hand(a, hash_of), cut_by_hand(b, hash_of)
+        want = 2 * sum(x[r] * y[r] for r in x) / sum(c * c for z in (x, y) for c in z.values())
+        assert abs(got[i] - want) < 0.12, (i, got[i], want)
+        if i % 4 == 2 and len(a.split()) >= 400:  # a word in front changes the pieces of the head and the runs next to it
+            assert got[i] > 0.8
+        if i % 4 == 3 or (i % 4 == 0 and len(a) > 3):
+            assert got[i] > 0.3
+    long = [got[i] for i in range(0, len(pairs), 4) if len(pairs[i][0].split()) == 20_000]
+    assert max(long) - min(long) < 0.05
+
+
 def test_fingerprints_run_no_python(spark, capsys):
     multiset_hash.edited_fingerprints(docs(spark, ["a"])).explain()
     plan = capsys.readouterr().out
