@@ -112,7 +112,7 @@ def drop_recurring(
     shuffled. More lines are joined to the documents, with the same result.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    rows = keyed(whole_rows(docs))
+    rows = keyed(whole_rows(docs)).withColumn("row", F.col("row").dropFields("text"))
     rows = materialise(rows.withColumn("shaped", shaped_lines(F.col("text"), min_tokens)), "shaped")
     found = recurring_lines(rows.select("k1", "k2", "text", "shaped"), min_documents, min_tokens, depth, constant, short_lines)
     lines = F.split("text", "\n")
