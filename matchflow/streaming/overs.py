@@ -2,20 +2,20 @@
 
 Everything that needs only one over (runs, wickets, teams, flags, rates) is a native projection.
 The part that needs earlier overs is a stateful processor keyed by match. A match has at most
-40 overs; the processor takes out repeats while it reads its input in batches, so it holds no
-more than that however often a message is repeated. Overs that it does not count leave it in the
+40 overs; the processor takes out repeats while it reads its input row by row, so it holds no
+more than that however often a message is repeated. A match has few rows per micro-batch, so it
+works on plain rows: frames would cost more per match than the overs themselves. Overs that it does not count leave it in the
 same pass, with the reason, and go to a table of their own.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Any
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -46,6 +46,14 @@ STATISTICS, DROPPED = "statistics", "dropped"  # tables of the live job
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _nulls_last(values: Iterable) -> list[tuple]:
+    return [(v is None, v or 0) for v in values]
+
+
+def _value(row: Row) -> list[tuple]:
+    return _nulls_last((row["over_runs"], row["over_wickets"]))
+
+
 class OverProcessor(StatefulProcessor):
     """Adds the score carried over from earlier overs to each over of a match.
 
@@ -59,68 +67,65 @@ class OverProcessor(StatefulProcessor):
         self.mean_runs = mean_runs
         self.mean_wickets = mean_wickets
         self.ttl_ms = ttl_ms
+        self.made = Row(*columns, *CARRIED, "dropped")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("match", _STATE)
 
-    def _row(self, rows: pd.DataFrame, reasons: list[str | None], carried: list[tuple] | None = None) -> pd.DataFrame:
-        more = pd.DataFrame(carried or [(None,) * len(CARRIED)] * len(rows), columns=CARRIED).astype("Int64")
-        return pd.concat([rows[self.columns].reset_index(drop=True), more, pd.DataFrame({"dropped": reasons}, dtype=object)], axis=1)
+    def _out(self, row: Row, reason: str | None, carried: tuple = (None,) * len(CARRIED)) -> Row:
+        return self.made(*[row[c] for c in self.columns], *carried, reason)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        overs = pd.DataFrame()
-        for part in rows:
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        first: dict[tuple, Row] = {}
+        for row in rows:
             # of different copies of an over the one with the most runs, then wickets, counts
-            overs = pd.concat([overs, part]).sort_values(["inning", "over", "over_runs", "over_wickets"], kind="stable")
-            again = overs.duplicated(["inning", "over"], keep="last")
-            if again.any():
-                yield self._row(overs[again], [REPEATED] * int(again.sum()))
-            overs = overs[~again]
-        overs = overs.sort_values(["inning", "over"], kind="stable")
-
-        s1, w1, s2, w2, inning, over, last1, c1, c2 = self.state.get() if self.state.exists() else (0, 0, 0, 0, None, None, None, 0, 0)
+            place = (row["inning"], row["over"])
+            other = first.get(place)
+            if other is None:
+                first[place] = row
+                continue
+            if _value(row) >= _value(other):
+                first[place], row = row, other
+            yield self._out(row, REPEATED)
+
+        s1, w1, s2, w2, inning, over, last1, c1, c2 = self.state.get() or (0, 0, 0, 0, None, None, None, 0, 0)
         score, wickets, counted = {1: s1, 2: s2}, {1: w1, 2: w2}, {1: c1, 2: c2}
-        reasons: list[str | None] = []
-        carried: list[tuple] = []
-        for row in overs[["inning", "over", "over_runs", "over_wickets"]].itertuples(index=False):
-            now, number = int(row.inning), int(row.over)
+        for place in sorted(first, key=_nulls_last):
+            row = first[place]
+            now, number = int(row["inning"]), int(row["over"])
             bit = 1 << number if 0 <= number < BITS else 0
             if inning is not None and (now, number) <= (inning, over):
-                reasons.append(REPEATED if counted[now] & bit or (now, number) == (inning, over) else LATE)
-                carried.append((None,) * len(CARRIED))
+                yield self._out(row, REPEATED if counted[now] & bit or (now, number) == (inning, over) else LATE)
                 continue
             if now == inning and number > over + 1:
                 skipped = number - over - 1
                 score[now] += int(skipped * self.mean_runs[now])
                 wickets[now] += int(skipped * self.mean_wickets[now])
-            score[now] += int(row.over_runs)
-            wickets[now] += int(row.over_wickets)
+            score[now] += int(row["over_runs"])
+            wickets[now] += int(row["over_wickets"])
             counted[now] |= bit
             inning, over = now, number
             if now == 1:
                 last1 = number
             second = now == 2
-            reasons.append(None)
-            carried.append((score[now], wickets[now], score[1] * second, wickets[1] * second, last1 if second else None))
+            yield self._out(row, None, (score[now], wickets[now], score[1] * second, wickets[1] * second, last1 if second else None))
         if inning is not None:
             self.state.update((score[1], wickets[1], score[2], wickets[2], inning, over, last1, counted[1], counted[2]))
         if self.ttl_ms:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
-        if len(overs):
-            yield self._row(overs, reasons, carried)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        state = self.state.get()
+        if state is None:
             return
-        s1, w1, s2, w2, inning, over, last1, _, _ = self.state.get()
+        s1, w1, s2, w2, inning, over, last1, _, _ = state
         self.state.clear()
         second = inning == 2
-        last = {"match_id": key[0], "inning": inning, "over": over}
-        row = pd.DataFrame({c: [last.get(c)] for c in self.columns})
-        yield self._row(row, [IDLE], [(s2 if second else s1, w2 if second else w1, s1 * second, w1 * second, last1 if second else None)])
+        row = dict.fromkeys(self.columns) | {"match_id": key[0], "inning": inning, "over": over}
+        yield self._out(row, IDLE, (s2 if second else s1, w2 if second else w1, s1 * second, w1 * second, last1 if second else None))
 
     def close(self) -> None:
         pass
@@ -172,7 +177,7 @@ def tagged_overs(
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in overs.schema.fields]
     schema = ", ".join([*fields, *[f"{name} bigint" for name in CARRIED], "dropped string"])
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return overs.groupBy("match_id").transformWithStateInPandas(processor, schema, "Append", time_mode)
+    return overs.groupBy("match_id").transformWithState(processor, schema, "Append", time_mode)
 
 
 def carry_overs(overs: DataFrame, **options) -> DataFrame:

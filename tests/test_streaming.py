@@ -4,6 +4,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from matchflow import schemas
@@ -370,3 +371,36 @@ def test_kafka_source_needs_its_connector(spark):
 def test_stream_output_schema(spark, tmp_path):
     got = run_football(spark, tmp_path, [[json.dumps(football_events(1)[0])]])
     assert [(f.name, f.dataType) for f in got.schema if f.name != "batch_id"] == [(f.name, f.dataType) for f in schemas.MATCH_STATS]
+
+
+class _Kept:
+    """A state of one value that counts how often it is read and written."""
+
+    def __init__(self):
+        self.value, self.reads, self.writes = None, 0, 0
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+
+def test_over_processor_works_on_plain_rows_with_one_read_and_one_write():
+    columns = ["match_id", "inning", "over", "over_runs", "over_wickets", "city"]
+    processor, state = overs.OverProcessor(columns, {1: 5.5, 2: 0}, {1: 0, 2: 0}), _Kept()
+    processor.state = state
+    asked = []
+
+    def rows(*values):
+        for value in values:
+            asked.append(value)
+            yield Row(*columns)(1, *value, "X")
+
+    found = processor.handleInputRows((1,), rows((1, 2, 4, 0), (1, 2, 9, 0), (1, 0, 1, 0)), None)
+    first = next(found)
+    assert (first.over_runs, first.dropped, first.city, len(asked)) == (4, overs.REPEATED, "X", 2)  # leaves while input is read
+    assert [(r.over, r.cumulative_score, r.dropped) for r in found] == [(0, 1, None), (2, 1 + 5 + 9, None)]
+    assert (state.reads, state.writes) == (1, 1)
+    assert [r.dropped for r in processor.handleInputRows((1,), rows((1, 1, 3, 0), (1, 2, 9, 0)), None)] == [overs.LATE, overs.REPEATED]
