@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from matchflow import schemas
 from matchflow.ml import models
-from matchflow.plans import cricket, football, formula
+from matchflow.plans import catalog, cricket, football, formula
 from matchflow.sources import messages
 from matchflow.streaming.commits import CommitLog
 
@@ -120,3 +120,18 @@ def test_cricket(spark, tmp_path, database):
     out = CommitLog(spark, str(tmp_path / "out")).read("statistics").drop("batch_id")
     assert set(out.columns) == {f.name for f in schemas.OVER_STREAM_ROW}
     assert out.count() == 4 and {r.predicted_winner for r in out.collect()} <= {"Reds", "Blues"}
+
+
+def test_a_landed_part_has_a_file_for_every_core(spark, tmp_path, monkeypatch):
+    """A part of few bytes in one file would be worked off by one task."""
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, name: str(tmp_path / name))
+    rows, begun = spark.range(400).coalesce(1), []
+
+    class Done:
+        def awaitTermination(self):
+            begun.append(len(list((tmp_path / "landed").rglob("*.parquet"))))
+
+    catalog._replayed(spark, [rows, rows], lambda stream: Done())
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1 and begun == [cores, 2 * cores]
+    assert spark.read.parquet(str(tmp_path / "landed")).count() == 800
