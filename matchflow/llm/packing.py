@@ -10,10 +10,11 @@ every shard wastes one bin at most, and all bins below ``reopen`` are packed onc
 
 from __future__ import annotations
 
-import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -32,8 +33,9 @@ SHARD_PIECES = 4096
 REOPEN = 0.98
 CACHE_WORDS = 800_000
 CACHE_LENGTH = 64
+CACHE_OTHERS = 4096
 LATIN_END = "\u0250"  # letters below are letters in every version of Unicode
-UNSAFE = re.compile(r" (?!\S)|<\|")  # white space after a space, and what may begin a special token
+MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a piece of letters
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -44,6 +46,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class Whole(Exception):
+    """A text that has to go through the tokenizer whole."""
+
+
 class WordIds(dict):
     """Ids of a word after a space, as little-endian unsigned 32-bit integers; itself the bounded cache of words."""
 
@@ -52,27 +58,38 @@ class WordIds(dict):
         self.tokenizer = tokenizer
         self.letters = byte_letters()
         self.model = tokenizer.model
-        self.marks = {mark: self.plain(mark) for mark in ",."}
+        self.kept = lru_cache(CACHE_OTHERS)(self.plain)
 
-    def letters_only(self, word: str) -> bytes:
-        """Ids of a space and letters, which the splitter leaves whole: the model alone is asked."""
-        piece = (" " + word).encode().decode("latin-1").translate(self.letters)
+    def letters_only(self, piece: str) -> bytes:
+        """Ids of letters, maybe after a space, which the splitter leaves whole: the model alone is asked."""
+        if piece.isascii():
+            piece = piece.replace(" ", self.letters[32])
+        else:
+            piece = piece.encode().decode("latin-1").translate(self.letters)
         return np.asarray([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, before: str, word: str) -> bytes:
+        """Ids of a word and of what stands before it: a space, or nothing where a text begins.
+
+        The splitter takes the marks that follow letters as a piece of their own.
+        """
+        stem = word.rstrip(MARKS)
+        if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
+            out = self.letters_only(before + stem)
+            return out + self.kept(word[len(stem) :]) if len(stem) < len(word) else out
+        return self.plain(before + word)
+
     def __missing__(self, word: str) -> bytes:
+        if not word or word[0].isspace() or "<|" in word:
+            raise Whole
         if "\n" in word:
             lines = word.split("\n")
             if all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
-                line_break = self.plain("\n")
-                return line_break.join([self[lines[0]], *map(self.plain, lines[1:])])
-        stem, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
-        if stem.isalpha() and max(stem) < LATIN_END:
-            out = self.letters_only(stem) + mark
-        else:
-            out = self.plain(" " + word)
+                return self.kept("\n").join([self[lines[0]], *map(self.plain, lines[1:])])
+        out = self.word(" ", word)
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -87,10 +104,15 @@ class WordIds(dict):
         """
         if not text:
             return b""
-        if UNSAFE.search(text):
+        if text[-1] == " " or "  " in text:
             return self.plain(text)
         words = text.split(" ")
-        return (self.plain(words[0]) if words[0] else b"") + b"".join(map(self.__getitem__, islice(words, 1, None)))
+        if "<|" in words[0]:
+            return self.plain(text)
+        try:
+            return (self.word("", words[0]) if words[0] else b"") + b"".join(map(self.__getitem__, islice(words, 1, None)))
+        except Whole:
+            return self.plain(text)
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:

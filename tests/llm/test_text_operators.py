@@ -81,6 +81,22 @@ def test_words_are_encoded_as_whole_texts_are():
         assert words.encode(text) == (words.plain(text) if text else b"")
 
 
+def test_first_words_and_letters_before_marks_need_no_splitter():
+    words = packing.WordIds(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    texts = [f"{w} tion{w}$$$ the{w},### {w}. {w}... naïve{w}!" for w in ("Stone", "river", "Über")]
+    want = [words.plain(text) for text in texts]
+    asked, whole = [], words.tokenizer
+
+    class Recorder:
+        def encode(self, text, **options):
+            asked.append(text)
+            return whole.encode(text, **options)
+
+    words.tokenizer = Recorder()
+    assert [words.encode(text) for text in texts] == want
+    assert asked and not any(c.isalpha() for text in asked for c in text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 3000])
 def test_best_two_fit_fills_bins(n):
     lengths = np.random.default_rng(n).integers(1, 2049, n) // (3 if n == 3000 else 2) + 1
