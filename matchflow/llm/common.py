@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -21,12 +22,19 @@ _kept: dict[str, object] = {}
 
 def once_per_worker(call: str, make: Callable[[], object]):
     """What ``make`` returns, made once per Python worker and call; that of another call is let go."""
+    let_go(call)
     if call not in _kept:
-        _kept.clear()
         _kept[call] = make()
     return _kept[call]
 
 
+def let_go(call: str | None = None) -> None:
+    """Free what this worker keeps for other calls than ``call``, also where it refers to itself; workers outlive their stages."""
+    if _kept and call not in _kept:
+        _kept.clear()
+        gc.collect()
+
+
 def map_columns(df: DataFrame, columns: Sequence[str], work: Callable[[Iterator[list[list]]], Iterable[dict]], schema: str) -> DataFrame:
     """Run ``work`` on each partition; it gets lists of Python values per column, batch by batch.
 

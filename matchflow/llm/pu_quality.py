@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchflow.llm.common import crc_fold, map_columns, python_crc_fold
+from matchflow.llm.common import crc_fold, let_go, map_columns, python_crc_fold
 from matchflow.llm.linear import bounded_sample, descend, sigmoid
 
 FOLDS, HELD_OUT = 5, 0
@@ -104,6 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
 
 def _vectors(docs: DataFrame) -> np.ndarray:
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
+        let_go()
         for ids, texts in batches:
             yield {"doc_id": ids, "x": [zstandard.compress(features(t or "").astype(np.float32).tobytes()) for t in texts]}
 
@@ -137,6 +138,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
 
     @F.pandas_udf("double")
     def good(texts):
+        let_go()
         return texts.map(lambda t: float(shared.value.score(features(t or "")[None, :])[0])).astype("float64")
 
     return docs.where(good(F.col("text")) >= threshold)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchflow.llm.common import map_columns
+from matchflow.llm.common import let_go, map_columns
 from matchflow.llm.components import components
 from matchflow.llm.suffix_dedup import keyed, whole_rows
 from matchflow.session import materialise
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keys
     names = [key.split()[0] for key in keys.split(", ")]
 
     def work(batches: Iterator[list[list]]) -> Iterator[dict]:
+        let_go()
         for *values, texts in batches:
             bits = np.array([fingerprint(t or "", shingle, seed) for t in texts], np.uint64)
             yield {**dict(zip(names, values)), "bits": bits.view(np.int64).tolist()}

@@ -1,6 +1,8 @@
 """Classifiers, near duplicates, nearest neighbours, revisits and the pipeline on small tables."""
 
+import gc
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -9,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from matchflow.llm import ann_forest, components, pu_quality, revisits, simhash_bk, toxicity
+from matchflow.llm import ann_forest, common, components, pu_quality, revisits, simhash_bk, toxicity
 
 WORDS = "the of and stone river lamp quiet garden window paper winter road seven cloud music table".split()
 
@@ -294,3 +296,40 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(passage not in (t or "") for t in left.values()) and left[0] == texts[0] and {40, 41} <= set(left)
     packed = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == set(left)
+
+
+def test_workers_free_what_a_stage_kept():
+    class Kept:
+        def __init__(self):
+            self.me = self
+
+    kept = weakref.ref(common.once_per_worker("a stage", Kept))
+    gc.disable()
+    try:
+        common.let_go("a stage")
+        assert kept() is not None
+        common.let_go()
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
+def test_stages_hand_small_batches_to_python(spark, tmp_path):
+    before = spark.conf.get(corpus_pipeline.BATCH_CONF)
+    rnd = random.Random(5)
+    texts = [" ".join(str(rnd.random()) for _ in range(25_000)) for _ in range(24)]
+    table = docs(spark, [*texts, *texts[:4], None]).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select([0]).from_pydict({"n": [batch.nbytes]})
+
+    try:
+        for name, stage in corpus_pipeline.STAGES[1:4]:
+            spark.conf.set(corpus_pipeline.BATCH_CONF, before)
+            out = stage(spark, table, str(tmp_path))
+            assert table.mapInArrow(sizes, "n bigint").toPandas()["n"].max() < 3 * corpus_pipeline.BATCH_BYTES, name
+            if name == "near_dedup":
+                assert sorted(r.doc_id for r in out.select("doc_id").collect()) == [*range(24), 28]
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_CONF, before)
