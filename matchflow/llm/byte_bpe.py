@@ -4,7 +4,8 @@ A pre-token that is in the vocabulary is its own token, whatever merges lead the
 hash and one comparison. A pre-token that is not is merged pair by pair: its bytes form a linked list, a heap holds the
 ranks of neighbouring pairs, and a merge only touches the two pairs beside it, so n bytes take O(n log n).
 
-The results of recently seen words are kept per worker, up to CACHE_WORDS; that changes no result.
+The results of recently seen words are kept per worker, up to CACHE_WORDS; that changes no result. They are kept in two
+generations: when the younger is full it takes the place of the older, and a word found in the older goes to the younger.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ WORD = (1 << 64) - 1
 SPREAD, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd 64-bit multipliers
 BREAK = re.compile(r" (?=\S)")
 SPACE_RUN = re.compile(r" (?!\S)")
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # letters in every version of Unicode
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -45,6 +47,11 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
+def is_latin(word: str) -> bool:
+    """Whether a word is made of Latin letters alone, and not empty."""
+    return word.isalpha() and (word.isascii() or LATIN.fullmatch(word) is not None)
+
+
 class PerfectHash:
     """Minimal perfect hash of distinct byte strings by hash and displace.
 
@@ -91,9 +98,10 @@ class PerfectHash:
 
 
 class Encoder(dict):
-    """Maps a word to the decimal ids of its tokens, joined by commas; itself the bounded cache of words.
+    """Maps a word to the decimal ids of its tokens, joined by commas; itself the younger half of the bounded cache of words.
 
-    Keys are the words after a space. Words that a space does not precede go through ``plain``.
+    Keys are the words after a space, which never begin with white space, and line breaks with what follows them up to the
+    next space or break. The first word of a text goes through ``plain``.
     """
 
     def __init__(self, tokens: list[bytes], displacement: list[int], slots: list[int], seed: int, pattern: str):
@@ -102,6 +110,11 @@ class Encoder(dict):
         self.split = regex.compile(pattern).findall
         self.text_of = {str(i): t for i, t in enumerate(tokens)}
         self.ranks: dict[bytes, int] | None = None
+        self.pairs: list[int] = []
+        self.older: dict[str, str] = {}
+        # with this pattern letters after a space are one match, and a comma or full stop behind them another
+        self.by_letters = pattern == public_tokenizers.PATTERN
+        self.marks = {mark: "," + self.plain(mark) for mark in ",."} if self.by_letters else {}
 
     def lookup(self, piece: bytes) -> int:
         """Rank of a whole piece by the perfect hash, or -1."""
@@ -115,33 +128,42 @@ class Encoder(dict):
         """Ids of a piece that is no token: merge the neighbouring pair of lowest rank, leftmost first."""
         if self.ranks is None:
             self.ranks = {t: i for i, t in enumerate(self.tokens)}
-        rank, n = self.ranks.get, len(piece)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # links; after is 0 where a byte is no longer a start
-        heap = [r * n + i for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
+            self.pairs = [self.ranks.get(bytes(divmod(ab, 256)), -1) for ab in range(1 << 16)]
+        rank, pairs, n = self.ranks.get, self.pairs, len(piece)
+        after, before = list(range(1, n + 1)), list(range(-1, n))  # links
+        pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of a part with the next one; -1: no token, or no start of a part
+        pair.append(-1)
+        heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            r, i = divmod(heapq.heappop(heap), n)
-            j = after[i]
-            if not 0 < j < n or rank(piece[i : after[j]]) != r:
+            r, i = divmod(pop(heap), n)
+            if pair[i] != r:
                 continue  # one of the two parts has been merged since
+            j = after[i]
             end = after[i] = after[j]
-            after[j] = 0
-            if end < n:
-                before[end] = i
-                if (r := rank(piece[i : after[end]])) is not None:
-                    heapq.heappush(heap, r * n + i)
-            if (k := before[i]) >= 0 and (r := rank(piece[k:end])) is not None:
-                heapq.heappush(heap, r * n + k)
+            before[end], pair[j] = i, -1
+            if end < n and (r := rank(piece[i : after[end]])) is not None:
+                pair[i] = r
+                push(heap, r * n + i)
+            else:
+                pair[i] = -1
+            if (k := before[i]) >= 0:
+                if (r := rank(piece[k:end])) is not None:
+                    pair[k] = r
+                    push(heap, r * n + k)
+                else:
+                    pair[k] = -1
         out, i = [], 0
         while i < n:
             out.append(self.ranks[piece[i : after[i]]])
             i = after[i]
         return out
 
-    def plain(self, text: str) -> str:
-        """Ids of a text without the cache."""
+    def ids_of(self, matches: list[str]) -> str:
+        """Ids of matches without the cache."""
         ids: list[int] = []
-        for match in self.split(text):
+        for match in matches:
             piece = match.encode()
             rank = self.lookup(piece)
             if rank >= 0:
@@ -150,18 +172,38 @@ class Encoder(dict):
                 ids += self.merge(piece)
         return ",".join(map(str, ids))
 
+    def plain(self, text: str) -> str:
+        """Ids of a text without the cache."""
+        return self.ids_of(self.split(text))
+
     def __missing__(self, word: str) -> str:
+        if (mark := self.marks.get(word[-1])) and is_latin(bare := word[:-1]):
+            return self[bare] + mark  # not kept, as the bare word is
         if "\n" in word:  # a line break between two words: its parts are more often known
             head, *lines = word.split("\n")
             if head and all(line and not line[0].isspace() and not line[-1].isspace() for line in lines) and not head[-1].isspace():
-                return ",".join([self[head], *(self.plain("\n") + "," + self.plain(line) for line in lines)])
-        out = self.plain(" " + word)
+                return ",".join([self[head], *(self["\n" + line] for line in lines)])
+        out = self.older.pop(word, None) or (self.after_break(word[1:]) if word[0] == "\n" else self.after_space(word))
         if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= CACHE_WORDS // 2:
+                self.older = {}  # let go before the copy
+                self.older = dict(self)
                 self.clear()
             self[word] = out
         return out
 
+    def after_break(self, line: str) -> str:
+        return self.plain("\n") + "," + self.plain(line)
+
+    def after_space(self, word: str) -> str:
+        """Ids of a word after a space; what is known of its first match, the word without marks behind it, say, is used."""
+        if self.by_letters and is_latin(word):
+            return self.ids_of([" " + word])
+        head, *rest = self.split(" " + word)
+        if rest and len(head) > 2 and self.split(head) == [head]:
+            return ",".join([self[head[1:]], self.ids_of(rest)])
+        return self.ids_of([head, *rest])
+
     def encode(self, text: str) -> str:
         """Decimal ids joined by commas.
 

@@ -59,6 +59,19 @@ def test_bpe_equals_the_library(encoder, reference):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_bpe_merges_a_word_once(monkeypatch, reference):
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 100)
+    encoder = byte_bpe.make_encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    merged, merge = [], encoder.merge
+    monkeypatch.setattr(encoder, "merge", lambda piece: merged.append(piece) or merge(piece))
+    # before marks, at line ends, and while it is in use among more other words than are kept
+    texts = [f"a qvzthandou qvzthandou, qvzthandou.\nqvthan qvzthandou?! über{i}zvé." for i in range(300)]
+    for text in [*texts, "a qvzthandou,. qvzthandou,\n qvzthandou\n\nb, a,1. ñ, ª. x\ny, \u0250b."]:
+        assert encoder.encode(text) == ",".join(map(str, reference.encode_ordinary(text)))
+    assert merged.count(b" qvzthandou") == merged.count(b"qvthan") == 1
+    assert len(encoder) + len(encoder.older) <= 100
+
+
 def test_bpe_digests(spark, reference):
     texts = [None, "", "hello  world\n", "hello  world\n", "é" * 3000]
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
